@@ -44,7 +44,7 @@ def lda(k: int, optimizer: str = "em", max_iter: int = 20, seed: int | None = 42
     return est
 
 
-def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None = "doc_id",
                     k: int = TOPIC_COUNT, optimizer: str = "em", max_iter: int = 20,
                     seed: int | None = 42, drop: int = TAIL_DROP, end: str = "tail",
                     normalize: bool = True, **lda_params) -> TopicFit:
@@ -60,7 +60,8 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                   .groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
         vocab = vocabulary_from_ranked(rank_terms(counts), drop, end)
         words = vocab_list(vocab)
-        features = count_vectors(terms, words).select(id_col, "features").persist(
+        ids = [id_col] if id_col else []
+        features = count_vectors(terms, words).select(*ids, "features").persist(
             StorageLevel.MEMORY_AND_DISK)
         model = lda(k, optimizer, max_iter, seed, **lda_params).fit(features)
     finally:

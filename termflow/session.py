@@ -90,3 +90,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def stream_checkpoint(spark: SparkSession, query_name: str) -> str | None:
+    """Checkpoint folder of a streaming query, stable across restarts.
+
+    ``None`` when ``spark.sql.streaming.checkpointLocation`` is set (Spark
+    then uses ``<that>/<query name>`` itself); else
+    ``<spark.checkpoint.dir>/streams/<query name>``; else, in local mode
+    only, a fresh temporary folder.
+    """
+    if spark.conf.get("spark.sql.streaming.checkpointLocation", None):
+        return None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if base:
+        return f"{base.rstrip('/')}/streams/{query_name}"
+    if is_local(spark):
+        return tempfile.mkdtemp(prefix=f"termflow-{query_name}-")
+    raise RuntimeError("set spark.checkpoint.dir or spark.sql.streaming.checkpointLocation "
+                       "to a shared folder")
