@@ -27,9 +27,12 @@ def label_topics(tokens: DataFrame, label_col: str) -> DataFrame:
     is the topic and a term's weight is its share of the label's tokens.
     ``topic, term, tf, weight``."""
     tf = tokens.groupBy(label_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    totals = tokens.groupBy(label_col).agg(F.count(F.lit(1)).alias("_total"))
-    # One row per label: tiny, and broadcast by size-based planning.
-    return (tf.join(F.broadcast(totals), label_col)
+    # Totals come from the (label, term) aggregate, so the tokens are read
+    # once (the exchange is reused). A window over the label would put every
+    # term of a label in one task; the join instead lets AQE broadcast the
+    # one-row-per-label side from its measured size.
+    totals = tf.groupBy(label_col).agg(F.sum("tf").alias("_total"))
+    return (tf.join(totals, label_col)
             .select(F.col(label_col).alias("topic"), "term", "tf",
                     (F.col("tf") / F.col("_total")).alias("weight")))
 

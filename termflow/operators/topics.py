@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termflow.functions.constants import (NUMERIC_TOPIC_COUNT, TAIL_DROP, TERMS_PER_TOPIC,
                                           TOPIC_COUNT)
-from termflow.operators.tokens import doc_terms
-from termflow.operators.vectors import count_vectors
-from termflow.operators.vocab import rank_terms, vocab_list, vocabulary_from_ranked
+from termflow.operators.tokens import doc_terms, explode_items
+from termflow.operators.vectors import vectorizer
+from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
 
 
 @dataclass
@@ -47,8 +47,14 @@ def lda(k: int, optimizer: str = "em", max_iter: int = 20, seed: int | None = 42
 def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None = "doc_id",
                     k: int = TOPIC_COUNT, optimizer: str = "em", max_iter: int = 20,
                     seed: int | None = 42, drop: int = TAIL_DROP, end: str = "tail",
-                    normalize: bool = True, **lda_params) -> TopicFit:
-    """Fit LDA on a corpus of documents (one row per document)."""
+                    normalize: bool = True, max_vocab: int = 1 << 22,
+                    **lda_params) -> TopicFit:
+    """Fit LDA on a corpus of documents (one row per document).
+
+    The vocabulary is the whole corpus vocabulary (minus the dropped
+    terms). ``max_vocab`` is a guard, not a cut: a larger vocabulary raises
+    instead of silently exhausting driver memory.
+    """
     from termflow.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(docs.sparkSession)  # EM / long fits checkpoint their state
@@ -56,19 +62,23 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None
     terms = doc_terms(docs, text_col, id_col, normalize).persist(StorageLevel.MEMORY_AND_DISK)
     features = None
     try:
-        counts = (terms.select(F.explode("terms").alias("term"))
+        counts = (explode_items(terms, "terms", "term")
                   .groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
-        vocab = vocabulary_from_ranked(rank_terms(counts), drop, end)
-        words = vocab_list(vocab)
+        ranked = rank_terms(counts)
+        vocab = vocabulary_from_ranked(ranked, drop, end)
+        size = ranked.total - drop
+        if size > max_vocab:
+            raise ValueError(f"vocabulary of {size} terms exceeds max_vocab={max_vocab}: "
+                             "LDA keeps vocab x k doubles on the driver")
         ids = [id_col] if id_col else []
-        features = count_vectors(terms, words).select(*ids, "features").persist(
-            StorageLevel.MEMORY_AND_DISK)
+        features = (vectorizer(vocab, size).transform(terms).select(*ids, "features")
+                    .persist(StorageLevel.MEMORY_AND_DISK))
         model = lda(k, optimizer, max_iter, seed, **lda_params).fit(features)
     finally:
         terms.unpersist()
         if features is not None:
             features.unpersist()
-    return TopicFit(model, vocab, len(words))
+    return TopicFit(model, vocab, size)
 
 
 def describe_topics(fit: TopicFit, terms_per_topic: int = TERMS_PER_TOPIC) -> DataFrame:

@@ -10,10 +10,13 @@ Two forms:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, functions as F
 
 from termflow.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from termflow.session import ensure_checkpoint_dir
 
 
 def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
@@ -36,11 +39,42 @@ def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
         id_col, "term_idx", "tf")
 
 
+def vectorizer(vocab: DataFrame, size: int, terms_col: str = "terms",
+               output_col: str = "features") -> CountVectorizerModel:
+    """A ``CountVectorizerModel`` whose index i is the vocabulary row with
+    ``term_idx = i``, built without passing the terms through Python.
+
+    ``CountVectorizerModel.from_vocabulary`` fills the JVM array with one
+    gateway call per term (about 40 s for 250k terms). Instead a one-term
+    model is saved with the ML writer, its ``data`` (one row, column
+    ``vocabulary``) is replaced by the vocabulary array that Spark assembles
+    in index order, and the model is loaded back. The files go to the
+    session's checkpoint folder, so every node sees them.
+    """
+    if size <= 0:
+        raise ValueError("empty vocabulary")
+    spark = vocab.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vectorizer-{uuid.uuid4().hex}"
+    stub = CountVectorizerModel.from_vocabulary(["_"], inputCol=terms_col, outputCol=output_col)
+    stub.write().overwrite().save(path)
+    words = vocab.agg(F.transform(F.array_sort(F.collect_list(F.struct("term_idx", "term"))),
+                                  lambda x: x["term"]).alias("vocabulary"))
+    words.write.mode("overwrite").parquet(f"{path}/data")
+    model = CountVectorizerModel.load(path)
+    model.set(model.vocabSize, size)
+    return model
+
+
+def list_vectorizer(vocab_terms: list[str], terms_col: str = "terms",
+                    output_col: str = "features") -> CountVectorizerModel:
+    """A ``CountVectorizerModel`` over a short driver-side list."""
+    return CountVectorizerModel.from_vocabulary(vocab_terms, inputCol=terms_col,
+                                                outputCol=output_col)
+
+
 def count_vectors(doc_terms: DataFrame, vocab_terms: list[str], terms_col: str = "terms",
                   output_col: str = "features") -> DataFrame:
-    """``terms ARRAY<STRING>`` → sparse count vector over ``vocab_terms``
-    (index i = ``vocab_terms[i]``). Terms outside the vocabulary are
-    ignored; a document with none gets an empty vector and is kept."""
-    model = CountVectorizerModel.from_vocabulary(vocab_terms, inputCol=terms_col,
-                                                 outputCol=output_col)
-    return model.transform(doc_terms)
+    """``terms ARRAY<STRING>`` → sparse count vector over ``vocab_terms``.
+    Terms outside the vocabulary are ignored; a document with none gets an
+    empty vector and is kept."""
+    return list_vectorizer(vocab_terms, terms_col, output_col).transform(doc_terms)

@@ -137,6 +137,6 @@ def vocab_list(vocab: DataFrame, max_terms: int = 1 << 22) -> list[str]:
         raise ValueError(f"vocabulary of {n} terms exceeds max_terms={max_terms}; "
                          "use a smaller vocabulary (e.g. head terms) for the model")
     out: list[str | None] = [None] * n
-    for row in vocab.select("term", "term_idx").toLocalIterator():
-        out[row["term_idx"]] = row["term"]
+    for idx, term in vocab.select("term_idx", "term").collect():
+        out[idx] = term
     return out  # type: ignore[return-value]

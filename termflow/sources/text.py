@@ -21,7 +21,10 @@ def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def lines_of(df: DataFrame, text_col: str = "text", keep: Iterable[str] = ()) -> DataFrame:
     """One row per line of a text column (same line rules as a file
     reader), with the ``keep`` columns alongside: ``*keep, line_no, value``."""
-    return df.select(*keep, F.posexplode(split_lines(text_col)).alias("line_no", "value"))
+    from termflow.operators.tokens import explode_items
+
+    arr = df.select(*keep, split_lines(text_col).alias("_lines"))
+    return explode_items(arr, "_lines", "value", list(keep), with_pos="line_no")
 
 
 def whole_text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
