@@ -82,3 +82,16 @@ def write_messages(messages: DataFrame, fmt: str, topic: str | None = None,
 def fan_out(messages: DataFrame, topics: list[str]) -> dict[str, DataFrame]:
     """The messages of each named topic (a filter per topic)."""
     return {t: messages.filter(F.col("topic") == F.lit(t)).drop("topic") for t in topics}
+
+
+def document_messages(docs: DataFrame, name_col: str = "doc_name",
+                      content_col: str = "content") -> DataFrame:
+    """Documents as messages: ``key`` = name (path), ``value`` = contents."""
+    return docs.select(F.col(name_col).cast("string").alias("key"),
+                       F.col(content_col).cast("string").alias("value"))
+
+
+def publish_documents(docs: DataFrame, fmt: str = "kafka", topic: str = DOC_TOPIC,
+                      options: dict | None = None, path: str | None = None) -> None:
+    """Send documents to the document topic (or a file folder)."""
+    write_messages(document_messages(docs), fmt, topic=topic, options=options, path=path)

@@ -31,3 +31,20 @@ def doc_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = N
                 .select(F.col("_metadata.file_path").alias("doc_name"),
                         F.col("value").alias("content")))
     return r.schema(DOC_SCHEMA).format(fmt).load(path)
+
+
+def read_documents_once(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
+                        path: str | None = None, bootstrap: str | None = None) -> DataFrame:
+    """One poll: every document available now, as a batch DataFrame
+    (Kafka: from the earliest to the latest offsets of the document topics)."""
+    if fmt == "kafka":
+        opts = options or kafka_options(bootstrap or "localhost:9092",
+                                        subscribe_pattern=DOC_TOPIC_PATTERN,
+                                        endingOffsets="latest")
+        return as_documents(spark.read.format("kafka").options(**opts).load())
+    r = spark.read.options(**(options or {}))
+    if fmt == "text":
+        return (r.option("wholetext", "true").text(path)
+                .select(F.col("_metadata.file_path").alias("doc_name"),
+                        F.col("value").alias("content")))
+    return r.schema(DOC_SCHEMA).format(fmt).load(path)
