@@ -62,12 +62,36 @@ def oldest_first(records: DataFrame) -> DataFrame:
     return records.orderBy(F.to_date("timestamp"), "symbol")
 
 
+def _micros(ts_col: str, dtype: T.DataType) -> Column:
+    """Microseconds since 1970-01-01 as DECIMAL(38,0), free of the session
+    time zone: TIMESTAMP_NTZ from its date and clock fields, TIMESTAMP
+    (an instant) from ``unix_micros``."""
+    dec = "DECIMAL(38,0)"
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(
+            f"CAST(unix_date(CAST(`{ts_col}` AS DATE)) AS {dec}) * 86400000000"
+            f" + CAST(hour(`{ts_col}`) * 3600 + minute(`{ts_col}`) * 60 AS {dec}) * 1000000"
+            f" + CAST(date_part('SECOND', `{ts_col}`) * 1000000 AS {dec})")
+    return F.expr(f"CAST(unix_micros(`{ts_col}`) AS {dec})")
+
+
+def time_order_key(events: DataFrame, ts_col: str, id_col: str) -> Column:
+    """One DECIMAL(38,0) that orders like ``(ts, id)``: micros * 2^64 +
+    (id + 2^63). A single numeric key keeps ``min_by``/``max_by`` in a hash
+    aggregate (a struct key forces a sort-based aggregate, a sort of every
+    event in the partial stage)."""
+    dec = "DECIMAL(38,0)"
+    micros = _micros(ts_col, events.schema[ts_col].dataType)
+    shifted_id = F.expr(f"CAST(`{id_col}` AS {dec}) + CAST('9223372036854775808' AS {dec})")
+    return micros * F.expr(f"CAST('18446744073709551616' AS {dec})") + shifted_id
+
+
 def daily_bars(events: DataFrame, symbol_col: str = "event_type", ts_col: str = "ts",
                value_col: str = "value", id_col: str = "event_id") -> DataFrame:
     """One price record per symbol and day from raw events. Open and close
     are the first and last value by ``(ts, id)``. A hash aggregate with
     partial aggregation, so a hot symbol is folded map-side."""
-    order = F.struct(ts_col, id_col)
+    order = time_order_key(events, ts_col, id_col)
     day = F.to_date(ts_col)
     return (events.groupBy(F.col(symbol_col).alias("symbol"), day.alias("_day"))
             .agg(F.min_by(value_col, order).alias("open"), F.max(value_col).alias("high"),
@@ -109,12 +133,17 @@ def batch_stats(records: DataFrame, batch_col: str | None = None, batch_days: in
     ``digits`` rounds the means (for display or exact comparison).
     """
     batch = F.col(batch_col) if batch_col else batch_of_days("timestamp", batch_days)
+    # Keys as DATE (fixed width) keep every aggregate in a hash aggregate.
+    day = F.to_date("timestamp")
     return (records.groupBy("symbol", batch.alias("batch_id"))
-            .agg(F.max("timestamp").alias("lastTimestamp"),
+            .agg(F.max(day).alias("_last"),
                  _mean("high", digits).alias("meanHigh"), _mean("low", digits).alias("meanLow"),
                  _mean("open", digits).alias("meanOpen"), _mean("close", digits).alias("meanClose"),
                  _mean("volume", digits).alias("meanVolume"),
-                 F.max_by("close", "timestamp").alias("lastClose")))
+                 F.max_by("close", day).alias("lastClose"))
+            .select("symbol", "batch_id",
+                    F.date_format("_last", "yyyy-MM-dd").alias("lastTimestamp"),
+                    "meanHigh", "meanLow", "meanOpen", "meanClose", "meanVolume", "lastClose"))
 
 
 def aggregated_stat() -> Column:

@@ -41,8 +41,11 @@ def top_terms(topics: DataFrame, k: int = TERMS_PER_TOPIC) -> DataFrame:
     """The k heaviest terms of each topic (ties by term ascending), with
     ``rank`` 0..k-1."""
     w = Window.partitionBy("topic").orderBy(F.desc("weight"), F.asc("term"))
-    return (topics.withColumn("rank", F.row_number().over(w) - 1)
-            .filter(F.col("rank") < k))
+    # The filter must be on row_number() itself for Spark to plan the
+    # partial WindowGroupLimit (top k per map task) before the shuffle.
+    return (topics.withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") <= F.lit(k))
+            .withColumn("rank", F.col("_rn") - 1).drop("_rn"))
 
 
 def merge_scores(described: DataFrame, overlap: str = "last") -> DataFrame:
