@@ -18,6 +18,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,6 +57,15 @@ class CorpusJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """The per-batch action (``foreachBatch``)."""
+        # The batch is read three times (empty check, notices, corpus
+        # write); keep it so the source (e.g. Kafka) is fetched once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._process(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
