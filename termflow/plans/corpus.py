@@ -113,10 +113,10 @@ def q_display_words(spark, sf_dir):
 
 def q_quality_term_counts(spark, sf_dir):
     """Term counts per quality label of the labelled documents."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     # labels cover part of the corpus; the join keeps only labelled documents
-    labelled = spread(docs.join(labels, "doc_id"))
+    labelled = docs.join(labels, "doc_id")
     return (term_tokens(labelled, keep=("quality",))
             .groupBy("quality", "term").agg(F.count(F.lit(1)).alias("cnt")))
 

@@ -84,6 +84,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so this never adds a shuffle at scale. A table stored as one parquet row
     group arrives as one partition, and the heavy per-row work after it
     (tokenising) would run on one core; such a frame is spread round-robin.
+
+    Call it on a scan: asking a frame with exchanges for its partitions
+    would run those stages early.
     """
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
