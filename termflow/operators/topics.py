@@ -73,6 +73,8 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None
         ids = [id_col] if id_col else []
         features = (vectorizer(vocab, size).transform(terms).select(*ids, "features")
                     .persist(StorageLevel.MEMORY_AND_DISK))
+        features.count()  # materialise, then free the term arrays before the fit
+        terms.unpersist()
         model = lda(k, optimizer, max_iter, seed, **lda_params).fit(features)
     finally:
         terms.unpersist()

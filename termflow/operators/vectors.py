@@ -57,7 +57,9 @@ def vectorizer(vocab: DataFrame, size: int, terms_col: str = "terms",
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vectorizer-{uuid.uuid4().hex}"
     stub = CountVectorizerModel.from_vocabulary(["_"], inputCol=terms_col, outputCol=output_col)
     stub.write().overwrite().save(path)
-    words = vocab.agg(F.transform(F.array_sort(F.collect_list(F.struct("term_idx", "term"))),
+    # sort_array orders the structs by term_idx (array_sort with its
+    # default comparator was 4x slower on 250k entries)
+    words = vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("term_idx", "term"))),
                                   lambda x: x["term"]).alias("vocabulary"))
     words.write.mode("overwrite").parquet(f"{path}/data")
     model = CountVectorizerModel.load(path)
