@@ -140,3 +140,13 @@ def vocab_list(vocab: DataFrame, max_terms: int = 1 << 22) -> list[str]:
     for idx, term in vocab.select("term_idx", "term").collect():
         out[idx] = term
     return out  # type: ignore[return-value]
+
+
+def index_documents(docs: DataFrame, order: tuple[Column, ...] | list[Column],
+                    name: str = "doc_idx") -> DataFrame:
+    """Number documents that have no key 0..n-1 in a total ``order`` of
+    their columns (e.g. ``batch_id, doc_name``), with the same distributed
+    method as the vocabulary; use an existing key column instead when there
+    is one."""
+    idx = ordered_index(docs, order, name)
+    return idx.df.withColumn(name, F.col(name).cast("long"))

@@ -77,3 +77,13 @@ def test_empty_corpus(spark):
     assert ranked.total == 0
     with pytest.raises(CorpusTooSmall):
         vocabulary_from_ranked(ranked)
+
+
+def test_index_documents(spark):
+    from termflow.operators.vocab import index_documents
+
+    rows = [(b, f"doc{i:03d}", "text") for b in range(3) for i in range(40)]
+    df = spark.createDataFrame(rows, "batch_id int, doc_name string, content string").repartition(5)
+    got = index_documents(df, (F.asc("batch_id"), F.asc("doc_name"))).collect()
+    want = {(b, n): i for i, (b, n, _) in enumerate(sorted(rows))}
+    assert {(r.batch_id, r.doc_name): r.doc_idx for r in got} == want
