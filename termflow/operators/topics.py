@@ -99,15 +99,24 @@ def describe_topics(fit: TopicFit, terms_per_topic: int = TERMS_PER_TOPIC) -> Da
             .select("topic", "rank", "term_idx", "term", "weight"))
 
 
-def topics_matrix(model, spark: SparkSession) -> DataFrame:
+def topics_matrix(model, spark: SparkSession, max_cells: int = 10_000_000) -> DataFrame:
     """The vocab x k topic matrix in long form ``topic, term_idx, weight``.
 
-    The matrix is the model's own driver-side state (``topicsMatrix``), so it
-    is only built on request; prefer :func:`describe_topics`.
+    The matrix is the model's own driver-side state (``topicsMatrix``); it
+    is handed to Spark through Arrow, and refused above ``max_cells``
+    (use :func:`describe_topics` for large vocabularies).
     """
+    import numpy as np
+    import pandas as pd
+
     m = model.topicsMatrix().toArray()
-    rows = [(int(t), int(w), float(m[w, t])) for t in range(m.shape[1]) for w in range(m.shape[0])]
-    return spark.createDataFrame(rows, "topic int, term_idx int, weight double")
+    v, k = m.shape
+    if v * k > max_cells:
+        raise ValueError(f"topic matrix of {v} x {k} exceeds max_cells={max_cells}")
+    pdf = pd.DataFrame({"topic": np.repeat(np.arange(k, dtype=np.int32), v),
+                        "term_idx": np.tile(np.arange(v, dtype=np.int32), k),
+                        "weight": m.T.reshape(-1).astype(np.float64)})
+    return spark.createDataFrame(pdf, "topic int, term_idx int, weight double")
 
 
 def fit_numeric_topics(vectors: DataFrame, values_col: str = "values",

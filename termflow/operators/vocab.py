@@ -128,20 +128,6 @@ def vocab_size(counts: DataFrame, drop: int = TAIL_DROP) -> DataFrame:
     return counts.agg((F.count(F.lit(1)) - F.lit(drop)).alias("vocab_size"))
 
 
-def vocab_list(vocab: DataFrame, max_terms: int = 1 << 22) -> list[str]:
-    """The vocabulary as a driver list in index order, for Spark ML models
-    (they keep vocab x topics on the driver anyway). Refuses a vocabulary
-    larger than ``max_terms`` rather than exhaust driver memory."""
-    n = vocab.count()
-    if n > max_terms:
-        raise ValueError(f"vocabulary of {n} terms exceeds max_terms={max_terms}; "
-                         "use a smaller vocabulary (e.g. head terms) for the model")
-    out: list[str | None] = [None] * n
-    for idx, term in vocab.select("term_idx", "term").collect():
-        out[idx] = term
-    return out  # type: ignore[return-value]
-
-
 def index_documents(docs: DataFrame, order: tuple[Column, ...] | list[Column],
                     name: str = "doc_idx") -> DataFrame:
     """Number documents that have no key 0..n-1 in a total ``order`` of

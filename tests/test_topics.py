@@ -85,6 +85,9 @@ def test_numeric_lda_and_save_load(spark, tmp_dir):
     assert model.vocabSize() == 11
     m = topics_matrix(model, spark)
     assert m.count() == 33
+    dense = model.topicsMatrix().toArray()
+    for r in m.collect():
+        assert r.weight == dense[r.term_idx, r.topic]
     path = f"{tmp_dir}/lda"
     save_model(model, path)
     again = load_model(path)
