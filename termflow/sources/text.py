@@ -54,14 +54,20 @@ def manifest_documents(spark: SparkSession, manifest_path: str) -> DataFrame:
     yields it twice, as the feeder did.
     """
     manifest = spark.read.text(manifest_path).select(F.col("value").alias("doc_name"))
-    paths = [r.doc_name for r in manifest.distinct().collect()]  # path list only
+    # The reader needs the file list on the driver, as any file scan does.
+    paths = [r.doc_name for r in manifest.distinct().collect()]
     files = (spark.read.text(paths, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("file_path"),
+             .select(_path_key(F.col("_metadata.file_path")).alias("_key"),
                      normalize_lines("value").alias("content")))
-    # _metadata.file_path is a URI (file:/...); match on the plain path too.
-    keyed = files.withColumn("doc_name", F.regexp_replace("file_path", r"^file:", ""))
-    return manifest.join(keyed.drop("file_path"), "doc_name", "left").select(
-        "doc_name", "content")
+    return (manifest.withColumn("_key", _path_key(F.col("doc_name")))
+            .join(files, "_key", "left").select("doc_name", "content"))
+
+
+def _path_key(path):
+    """A path without its scheme and authority (``file:``, ``hdfs://nn:8020``,
+    ``s3a://bucket``), so a listed path matches the qualified URI that
+    ``_metadata.file_path`` reports."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
 
 
 def in_memory(spark: SparkSession, rows: list, schema) -> DataFrame:
