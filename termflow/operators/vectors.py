@@ -15,8 +15,11 @@ import uuid
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, functions as F
 
+from termflow.functions.constants import TAIL_DROP
 from termflow.operators.joins import MAX_BROADCAST_ROWS, lookup_join
-from termflow.session import ensure_checkpoint_dir
+from termflow.operators.tokens import term_tokens
+from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
+from termflow.session import checkpoint, ensure_checkpoint_dir
 
 
 def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
@@ -74,6 +77,27 @@ def list_vectorizer(vocab_terms: list[str], terms_col: str = "terms",
                                                 outputCol=output_col)
 
 
+def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                   normalize: bool = True, drop: int = TAIL_DROP,
+                   end: str = "tail") -> tuple[DataFrame, DataFrame, int]:
+    """Documents → ``(tf, vocab, vocab_rows)`` with one pass over the corpus.
+
+    Term occurrences are folded once per ``(doc, term)`` and that table is
+    checkpointed; the corpus counts (a sum over it), the vocabulary and the
+    final lookup all read it, so the text is read and tokenised once.
+    ``tf`` is ``id_col, term_idx, tf``; ``vocab`` is ``term, cnt, term_idx``.
+    """
+    per_doc = checkpoint(term_tokens(docs, text_col, id_col, normalize)
+                         .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    counts = per_doc.groupBy("term").agg(F.sum("tf").alias("cnt"))
+    ranked = rank_terms(counts)
+    vocab = vocabulary_from_ranked(ranked, drop, end)
+    rows = max(ranked.total - drop, 0)
+    tf = lookup_join(per_doc, vocab.select("term", "term_idx"), "term",
+                     small_rows=rows).select(id_col, "term_idx", "tf")
+    return tf, vocab, rows
+
+
 def count_vectors(doc_terms: DataFrame, vocab_terms: list[str], terms_col: str = "terms",
                   output_col: str = "features") -> DataFrame:
     """``terms ARRAY<STRING>`` → sparse count vector over ``vocab_terms``.

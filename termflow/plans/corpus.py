@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from termflow.functions.text import is_not_blank, normalize_lines, notice
 from termflow.operators import scores as sc
 from termflow.operators.tokens import term_counts, term_tokens, word_count_raw
-from termflow.operators.vectors import doc_term_tf
+from termflow.operators.vectors import doc_term_table
 from termflow.operators.vocab import (dropped_terms, rank_terms, vocab_size,
                                       vocabulary_from_ranked)
 from termflow.session import spread
@@ -45,10 +45,8 @@ def q_vocab_size(spark, sf_dir):
 
 
 def q_doc_term_tf(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    ranked = rank_terms(term_counts(docs))
-    vocab = vocabulary_from_ranked(ranked)
-    return doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total)
+    tf, _, _ = doc_term_table(documents(spark, sf_dir))
+    return tf
 
 
 def q_word_count_raw(spark, sf_dir):
