@@ -52,8 +52,11 @@ def ordered_index(df: DataFrame, order: tuple[Column, ...] | list[Column], name:
     """Number the rows of ``df`` 0..n-1 following ``order`` (which must be a
     total order for a deterministic result)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalescing neighbours keeps the ranges contiguous, so order holds).
+    rp = df.repartitionByRange(num_partitions, *order) if num_partitions else \
+        df.repartitionByRange(*order)
+    ranged = (rp.sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS))))
     ranged = checkpoint(ranged)

@@ -87,3 +87,20 @@ def test_index_documents(spark):
     got = index_documents(df, (F.asc("batch_id"), F.asc("doc_name"))).collect()
     want = {(b, n): i for i, (b, n, _) in enumerate(sorted(rows))}
     assert {(r.batch_id, r.doc_name): r.doc_idx for r in got} == want
+
+
+def test_ordered_index_with_coalesced_ranges(spark):
+    """No explicit partition count: AQE coalesces neighbouring ranges and the
+    numbering still follows the global order."""
+    rnd = random.Random(9)
+    rows = [(f"t{i:05d}", rnd.randint(1, 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "term string, cnt long").repartition(5)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        idx = ordered_index(df, (F.desc("cnt"), F.asc("term")), "idx")
+        got = {(r.term, r.idx) for r in idx.df.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    assert got == {(t, i) for i, (t, _) in enumerate(want)}
