@@ -19,7 +19,7 @@ from termflow.functions.constants import TAIL_DROP
 from termflow.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from termflow.operators.tokens import term_tokens
 from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
-from termflow.session import checkpoint, ensure_checkpoint_dir
+from termflow.session import checkpoint, delete_path, ensure_checkpoint_dir
 
 
 def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
@@ -65,7 +65,8 @@ def vectorizer(vocab: DataFrame, size: int, terms_col: str = "terms",
     words = vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("term_idx", "term"))),
                                   lambda x: x["term"]).alias("vocabulary"))
     words.write.mode("overwrite").parquet(f"{path}/data")
-    model = CountVectorizerModel.load(path)
+    model = CountVectorizerModel.load(path)  # reads the vocabulary into the model
+    delete_path(spark, path)
     model.set(model.vocabSize, size)
     return model
 

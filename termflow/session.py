@@ -22,6 +22,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable RDD checkpoints once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -113,3 +115,12 @@ def stream_checkpoint(spark: SparkSession, query_name: str) -> str | None:
         return tempfile.mkdtemp(prefix=f"termflow-{query_name}-")
     raise RuntimeError("set spark.checkpoint.dir or spark.sql.streaming.checkpointLocation "
                        "to a shared folder")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder (recursively) through the Hadoop file system of the
+    path, so it works for local, HDFS and object-store paths alike."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))

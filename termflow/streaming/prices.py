@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from termflow.functions.constants import POSITION_THRESHOLD
 from termflow.operators import prices as P
-from termflow.session import stream_checkpoint
+from termflow.session import delete_path, stream_checkpoint
 
 _STAT_FIELDS = ("batch_id",) + P.STAT_COLUMNS
 
@@ -87,6 +87,9 @@ class PriceJob:
             cur_state = cur_state.unionByName(keep.select("symbol", *_STAT_FIELDS))
         cur_state.write.mode("overwrite").parquet(
             f"{self.state_path.rstrip('/')}/batch_id={batch_id}")
+        # Batch N only ever reads the state of N-1 (also when replayed), so
+        # older state is dropped and the state folder stays two batches deep.
+        delete_path(spark, f"{self.state_path.rstrip('/')}/batch_id={batch_id - 2}")
         if prev is None:
             return
         prev_stat = prev.select("symbol", P.aggregated_stat().alias("prevStat"))

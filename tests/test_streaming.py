@@ -117,6 +117,7 @@ def test_price_stream_equals_batch(spark, tmp_dir):
     want = P.positions(P.deltas(P.batch_stats(recs, batch_col="b")))
     assert got.count() == want.count() == bars.select("symbol").distinct().count()
     _same_lines(got, want)
+    assert sorted(os.listdir(f"{tmp_dir}/state")) == ["batch_id=0", "batch_id=1"]
     # replaying batch 1 rewrites the same output
     wave_b = P.from_price_json(spark.read.json(f"{src}/b.json"))
     job.process(wave_b, 1)
@@ -132,3 +133,16 @@ def _same_lines(a, b):
     for x, y in zip(ra, rb):
         assert (x[0], x[1], x[4]) == (y[0], y[1], y[4])
         assert x[2] == pytest.approx(y[2], rel=1e-9) and x[3] == pytest.approx(y[3], rel=1e-9)
+
+
+def test_price_state_stays_two_batches_deep(spark, tmp_dir):
+    recs = [("s", f"2024-01-0{d}", 1.0 * d, 2.0 * d, 0.5 * d, 1.5 * d, 100 * d) for d in range(1, 4)]
+    schema = ("symbol string, timestamp string, open double, high double, low double, "
+              "close double, volume long")
+    job = SP.PriceJob(stats_path=f"{tmp_dir}/stats", state_path=f"{tmp_dir}/state",
+                      output_path=f"{tmp_dir}/lines")
+    for b, r in enumerate(recs):
+        job.process(spark.createDataFrame([r], schema), b)
+    assert sorted(os.listdir(f"{tmp_dir}/state")) == ["batch_id=1", "batch_id=2"]
+    lines = spark.read.json(f"{tmp_dir}/lines").orderBy("lastTimestamp").collect()
+    assert [r.lastTimestamp for r in lines] == ["2024-01-02", "2024-01-03"]
