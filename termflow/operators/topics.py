@@ -55,11 +55,22 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None
     terms). ``max_vocab`` is a guard, not a cut: a larger vocabulary raises
     instead of silently exhausting driver memory.
     """
+    terms = doc_terms(docs, text_col, id_col, normalize)
+    return fit_term_topics(terms, id_col, k, optimizer, max_iter, seed, drop, end, max_vocab,
+                           **lda_params)
+
+
+def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TOPIC_COUNT,
+                    optimizer: str = "em", max_iter: int = 20, seed: int | None = 42,
+                    drop: int = TAIL_DROP, end: str = "tail", max_vocab: int = 1 << 22,
+                    **lda_params) -> TopicFit:
+    """:func:`fit_text_topics` from already tokenised documents
+    (``terms ARRAY<STRING>``, e.g. stored with a stream's corpus)."""
     from termflow.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(docs.sparkSession)  # EM / long fits checkpoint their state
-    # Tokenise once: the term arrays feed both the counts and the vectors.
-    terms = doc_terms(docs, text_col, id_col, normalize).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(terms.sparkSession)  # EM / long fits checkpoint their state
+    # One read of the term arrays feeds both the counts and the vectors.
+    terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
     features = None
     try:
         counts = (explode_items(terms, "terms", "term")

@@ -3,7 +3,8 @@
     documents stream --foreachBatch--> per batch:
         nothing arrived           -> no run
         named documents           -> arrival notices           (notice sink)
-        non-blank documents       -> corpus table, batch_id=N  (overwrite: replay-safe)
+        non-blank documents       -> corpus table, batch_id=N  (name, contents, terms;
+                                                                overwrite: replay-safe)
         whole corpus (all batches)-> vocabulary, LDA, top terms, merged top scores
                                   -> one {term: score} message (score sink)
 
@@ -25,7 +26,8 @@ from pyspark.sql.streaming import StreamingQuery
 from termflow.functions.constants import TOP_SCORES, TOPIC_COUNT
 from termflow.functions.text import is_not_blank, notice
 from termflow.operators.scores import score_message
-from termflow.operators.topics import describe_topics, fit_text_topics
+from termflow.operators.tokens import doc_terms
+from termflow.operators.topics import describe_topics, fit_term_topics
 from termflow.operators.vocab import CorpusTooSmall
 from termflow.plans.topics import topic_scores
 from termflow.session import stream_checkpoint
@@ -71,7 +73,10 @@ class CorpusJob:
             return
         named = batch.filter(F.col("doc_name").isNotNull())
         self._write(named.select(notice("doc_name").alias("value")), self.notice_topic, batch_id)
-        docs = batch.filter(is_not_blank("content")).select("doc_name", "content")
+        # Each document is tokenised once, when it arrives: its term array is
+        # stored next to its contents, and every later refit reads the arrays.
+        docs = doc_terms(batch.filter(is_not_blank("content")), "content", None,
+                         self.normalize, keep=("doc_name", "content"))
         (docs.write.mode("overwrite").parquet(f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}"))
         corpus = spark.read.parquet(self.corpus_path)
         if self.scope == "batch":
@@ -79,9 +84,9 @@ class CorpusJob:
         if corpus.isEmpty():
             return
         try:
-            fit = fit_text_topics(corpus, text_col="content", id_col=None, k=self.k,
+            fit = fit_term_topics(corpus.select("terms"), id_col=None, k=self.k,
                                   optimizer=self.optimizer, max_iter=self.max_iter,
-                                  seed=self.seed, normalize=self.normalize)
+                                  seed=self.seed)
         except CorpusTooSmall as e:
             if self.on_small == "raise":
                 raise
