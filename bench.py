@@ -6,8 +6,9 @@ Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf"}.
 Each query is run to completion with the ``noop`` sink (every row computed,
 nothing collected on the driver). The session start and a warm-up of the
 same code paths on the smallest data set (sf0.001: JIT, code generation,
-Spark ML class loading) are not timed, so the numbers are steady-state. ``lda_scores`` is the whole text
-pipeline: tokens, vocabulary, vectors, online LDA, topics, merged top scores.
+Spark ML class loading) are not timed, so the numbers are steady-state.
+``lda_scores`` is the whole text pipeline: tokens, vocabulary, vectors,
+online LDA, topics, merged top scores.
 """
 
 from __future__ import annotations
