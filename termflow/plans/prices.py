@@ -4,7 +4,6 @@ statistics and the deltas built on them compare exactly across engines."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from termflow.operators import prices as P
 from termflow.session import spread

@@ -1,6 +1,5 @@
 """Physical-plan properties the design relies on at scale."""
 
-from pyspark.sql import functions as F
 
 from termflow.operators import prices as P
 from termflow.operators import scores as sc

@@ -4,7 +4,6 @@ and the printable outputs."""
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from termflow.sinks import messages as M
 from termflow.sinks.text import topic_lines, word_count_lines

@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from termflow.operators.topics import (describe_topics, fit_numeric_topics, fit_text_topics,
                                        load_model, save_model, topics_matrix)
