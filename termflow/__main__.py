@@ -19,6 +19,8 @@ import sys
 
 from pyspark.sql import SparkSession, functions as F
 
+from termflow.functions.constants import DOC_TOPIC, POSITION_THRESHOLD, PRICE_TOPIC
+
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("termflow").getOrCreate()
@@ -99,7 +101,8 @@ def cmd_corpus_stream(args) -> None:
                            sink_format=args.sink_format,
                            sink_options={"kafka.bootstrap.servers": args.bootstrap}
                            if args.sink_format == "kafka" else {},
-                           scope=args.scope, optimizer=args.optimizer, k=args.k)
+                           scope=args.scope, optimizer=args.optimizer, k=args.k,
+                           max_iter=args.max_iter, seed=args.seed)
     corpus.start(src, job, args.checkpoint, _trigger(args)).awaitTermination()
 
 
@@ -151,7 +154,7 @@ def parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("feed")
     sp.add_argument("manifest")
     sp.add_argument("--format", default="kafka")
-    sp.add_argument("--topic", default="docs")
+    sp.add_argument("--topic", default=DOC_TOPIC)
     sp.add_argument("--bootstrap", default="localhost:9092")
     sp.add_argument("--path", help="output folder for file formats")
     sp.set_defaults(fn=cmd_feed)
@@ -175,11 +178,11 @@ def parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("price-stream")
     stream_args(sp)
-    sp.add_argument("--topic", default="prices")
+    sp.add_argument("--topic", default=PRICE_TOPIC)
     sp.add_argument("--stats", required=True)
     sp.add_argument("--state", required=True)
     sp.add_argument("--output-path", required=True)
-    sp.add_argument("--threshold", type=float, default=0.01)
+    sp.add_argument("--threshold", type=float, default=POSITION_THRESHOLD)
     sp.set_defaults(fn=cmd_price_stream)
     return p
 

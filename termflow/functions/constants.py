@@ -21,3 +21,10 @@ POSITION_BUY = "buy"
 POSITION_HOLD = "hold"
 # Numeric LDA of the original job: topics.
 NUMERIC_TOPIC_COUNT = 3
+# Message topics of the original deployment: documents in (subscribed by a
+# case-insensitive pattern), arrival notices and score messages out, prices.
+DOC_TOPIC = "docs"
+DOC_TOPIC_PATTERN = "(?i)docs"
+NOTICE_TOPIC = "tcmeta"
+SCORE_TOPIC = "tcdata"
+PRICE_TOPIC = "prices"

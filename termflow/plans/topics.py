@@ -71,13 +71,13 @@ QUERIES = {
 }
 
 _NUMERIC_LINES = """
-    SELECT u.user_id, string_agg(CAST(coalesce(c.n, 0) AS VARCHAR), ' ' ORDER BY t.event_type)
-               AS value
-    FROM (SELECT DISTINCT user_id FROM events) u
-    CROSS JOIN (SELECT DISTINCT event_type FROM events) t
-    LEFT JOIN (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) c
-      ON c.user_id = u.user_id AND c.event_type = t.event_type
-    GROUP BY u.user_id"""
+    SELECT user_id,
+           array_to_string(list_transform(
+               (SELECT list(DISTINCT event_type ORDER BY event_type) FROM events),
+               lambda t: CAST(coalesce(counts[t], 0) AS VARCHAR)), ' ') AS value
+    FROM (SELECT user_id, map(list(event_type), list(n)) AS counts
+          FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) c
+          GROUP BY user_id) m"""
 
 ORACLE = {
     "numeric_lines": _NUMERIC_LINES,

@@ -11,12 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Defaults matching the original deployment: documents in, notices and
-# scores out.
-DOC_TOPIC = "docs"
-DOC_TOPIC_PATTERN = "(?i)docs"
-NOTICE_TOPIC = "tcmeta"
-SCORE_TOPIC = "tcdata"
+from termflow.functions.constants import (DOC_TOPIC, DOC_TOPIC_PATTERN,  # noqa: F401
+                                          NOTICE_TOPIC, SCORE_TOPIC)
 
 
 def kafka_options(bootstrap: str, subscribe_pattern: str | None = None,

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from termflow.functions.constants import POSITION_THRESHOLD
+from termflow.functions.constants import POSITION_THRESHOLD, PRICE_TOPIC
 from termflow.operators import prices as P
 from termflow.session import delete_path, stream_checkpoint
 
@@ -28,7 +28,7 @@ _STAT_FIELDS = ("batch_id",) + P.STAT_COLUMNS
 
 
 def price_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
-                 path: str | None = None, topic: str = "prices",
+                 path: str | None = None, topic: str = PRICE_TOPIC,
                  bootstrap: str = "localhost:9092") -> DataFrame:
     """Price records ``symbol, timestamp, open, high, low, close, volume``
     from messages (Kafka, or files of ``key, value`` JSON-lines)."""
