@@ -5,7 +5,7 @@ Two forms:
 * SQL form, ``doc_id, term_idx, tf`` (coordinate rows): fully distributed,
   any vocabulary size, checked exactly against SQL.
 * ML form, ``doc_id, features`` (sparse ``Vector``) for Spark ML, made by a
-  ``CountVectorizerModel`` built from the vocabulary list.
+  ``CountVectorizerModel`` built from the vocabulary frame.
 """
 
 from __future__ import annotations
@@ -53,6 +53,11 @@ def vectorizer(vocab: DataFrame, size: int, terms_col: str = "terms",
     ``vocabulary``) is replaced by the vocabulary array that Spark assembles
     in index order, and the model is loaded back. The files go to the
     session's checkpoint folder, so every node sees them.
+
+    The array is assembled in one task and the model holds it on the driver
+    and broadcasts it to every task, as any ``CountVectorizerModel`` does;
+    callers bound ``size`` (``fit_term_topics`` refuses more than
+    ``max_vocab`` terms).
     """
     if size <= 0:
         raise ValueError("empty vocabulary")
