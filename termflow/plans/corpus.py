@@ -62,6 +62,12 @@ def q_nonblank_lines(spark, sf_dir):
     return lines.filter(is_not_blank("value")).select("doc_id", "line_no")
 
 
+def q_doc_filter(spark, sf_dir):
+    """Documents that are not blank in Java terms (null or only chars
+    <= U+0020 are dropped)."""
+    return documents(spark, sf_dir).filter(is_not_blank("text")).select("doc_id")
+
+
 def q_normalized_docs(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", normalize_lines("text").alias("content"))
 
@@ -129,6 +135,7 @@ QUERIES = {
     "word_count_raw": q_word_count_raw,
     "doc_lines": q_doc_lines,
     "nonblank_lines": q_nonblank_lines,
+    "doc_filter": q_doc_filter,
     "normalized_docs": q_normalized_docs,
     "arrival_notices": q_arrival_notices,
     "conversation_term_counts": q_conversation_term_counts,

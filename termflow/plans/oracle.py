@@ -89,6 +89,9 @@ CORPUS_SQL = {
     "nonblank_lines": f"""
         SELECT doc_id, CAST(line_no AS INTEGER) AS line_no FROM ({_LINES}) l
         WHERE value IS NOT NULL AND regexp_matches(value, '[^\\x00-\\x20]')""",
+    "doc_filter": """
+        SELECT doc_id FROM documents
+        WHERE text IS NOT NULL AND regexp_matches(text, '[^\\x00-\\x20]')""",
     "normalized_docs": _NORMALIZED,
     "arrival_notices": """
         SELECT page_id, 'New doc received: ' || url AS value FROM pages WHERE url IS NOT NULL""",
