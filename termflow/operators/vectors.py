@@ -84,8 +84,9 @@ def list_vectorizer(vocab_terms: list[str], terms_col: str = "terms",
 
 
 def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                   normalize: bool = True, drop: int = TAIL_DROP,
-                   end: str = "tail") -> tuple[DataFrame, DataFrame, int]:
+                   normalize: bool = True, drop: int = TAIL_DROP, end: str = "tail",
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                   ) -> tuple[DataFrame, DataFrame, int]:
     """Documents → ``(tf, vocab, vocab_rows)`` with one pass over the corpus.
 
     Term occurrences are folded once per ``(doc, term)`` and that table is
@@ -99,8 +100,8 @@ def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     ranked = rank_terms(counts)
     vocab = vocabulary_from_ranked(ranked, drop, end)
     rows = max(ranked.total - drop, 0)
-    tf = lookup_join(per_doc, vocab.select("term", "term_idx"), "term",
-                     small_rows=rows).select(id_col, "term_idx", "tf")
+    tf = lookup_join(per_doc, vocab.select("term", "term_idx"), "term", small_rows=rows,
+                     max_broadcast_rows=max_broadcast_rows).select(id_col, "term_idx", "tf")
     return tf, vocab, rows
 
 

@@ -56,3 +56,30 @@ def test_hot_term_and_hot_label(spark):
     assert {(r.topic, r.term) for r in top} == {("lang_a", "hotterm"), ("lang_b", "hotterm")}
     w = {r.topic: r.weight for r in top}
     assert abs(w["lang_a"] - 1 / 3) < 1e-12 and abs(w["lang_b"] - 1 / 3) < 1e-12
+
+
+def test_doc_term_table_shuffle_path_equals_broadcast_path(spark):
+    """A vocabulary above the broadcast limit takes a shuffle join; the rows
+    are the same."""
+    from termflow.operators.vectors import doc_term_table
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    small, _, n = doc_term_table(docs)
+    want = sorted(map(tuple, small.collect()))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:  # a large vocabulary: Spark's own size check would not broadcast it either
+        spark.conf.set(k, "-1")
+    try:
+        big, _, _ = doc_term_table(docs, max_broadcast_rows=10)
+        assert n > 10
+        plan = _plan(big)
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        got = sorted(map(tuple, big.collect()))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want
