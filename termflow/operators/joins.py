@@ -1,21 +1,5 @@
-"""Lookup joins with a size-checked broadcast."""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, functions as F
+"""Broadcast limits for lookup joins."""
 
 # Largest lookup side (rows) we broadcast on our own say. A vocabulary row is
 # a short string and an int, so 1M rows stay well under 100 MB per executor.
 MAX_BROADCAST_ROWS = 1_000_000
-
-
-def lookup_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
-                small_rows: int | None = None,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``big`` to a lookup table. The lookup side is broadcast only when
-    its row count is known and within ``max_broadcast_rows``; otherwise it is
-    a shuffle join, which AQE may still turn into a broadcast at run time
-    from measured sizes, and whose hot keys AQE skew-join splits."""
-    if small_rows is not None and small_rows <= max_broadcast_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)

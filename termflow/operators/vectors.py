@@ -16,7 +16,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, functions as F
 
 from termflow.functions.constants import TAIL_DROP
-from termflow.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from termflow.operators.joins import MAX_BROADCAST_ROWS
 from termflow.operators.tokens import term_tokens
 from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
 from termflow.session import checkpoint, delete_path, ensure_checkpoint_dir
@@ -31,14 +31,13 @@ def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
     With a broadcastable vocabulary the join runs map-side first, so the
     aggregate shuffles small ``(doc, int)`` keys and out-of-vocabulary tokens
     never reach the shuffle. Otherwise tokens are first folded per
-    ``(doc, term)`` and then shuffle-joined on the term.
+    ``(doc, term)`` and looked up with :func:`head_tail_lookup`.
     """
-    lookup = vocab.select("term", "term_idx")
     if vocab_rows is not None and vocab_rows <= max_broadcast_rows:
-        joined = tokens.join(F.broadcast(lookup), "term")
+        joined = tokens.join(F.broadcast(vocab.select("term", "term_idx")), "term")
         return joined.groupBy(id_col, "term_idx").agg(F.count(F.lit(1)).alias("tf"))
     per_doc = tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    return lookup_join(per_doc, lookup, "term", small_rows=vocab_rows).select(
+    return head_tail_lookup(per_doc, vocab, max_broadcast_rows).select(
         id_col, "term_idx", "tf")
 
 
@@ -100,9 +99,31 @@ def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     ranked = rank_terms(counts)
     vocab = vocabulary_from_ranked(ranked, drop, end)
     rows = max(ranked.total - drop, 0)
-    tf = lookup_join(per_doc, vocab.select("term", "term_idx"), "term", small_rows=rows,
-                     max_broadcast_rows=max_broadcast_rows).select(id_col, "term_idx", "tf")
-    return tf, vocab, rows
+    if rows <= max_broadcast_rows:
+        tf = per_doc.join(F.broadcast(vocab.select("term", "term_idx")), "term")
+    else:
+        tf = head_tail_lookup(per_doc, vocab, max_broadcast_rows)
+    return tf.select(id_col, "term_idx", "tf"), vocab, rows
+
+
+def head_tail_lookup(keyed: DataFrame, vocab: DataFrame, head_rows: int) -> DataFrame:
+    """Join ``keyed`` (with a ``term`` column) to a vocabulary too large to
+    broadcast, without a hot join key.
+
+    Vocabulary indices follow frequency, so the hot terms are the head. The
+    first ``head_rows`` terms (a fixed row bound) are broadcast; only the
+    rows they do not match go through a shuffle join with the tail. The
+    k-th most frequent term occurs at most total/k times, so no tail key
+    holds more than a 1/``head_rows`` share of the rows; this holds without
+    relying on AQE's skew handling.
+    """
+    head = (vocab.filter(F.col("term_idx") < F.lit(head_rows))
+            .select("term", F.col("term_idx").alias("_head_idx")))
+    tagged = keyed.join(F.broadcast(head), "term", "left")
+    hot = tagged.filter(F.col("_head_idx").isNotNull()).withColumnRenamed("_head_idx", "term_idx")
+    tail = vocab.filter(F.col("term_idx") >= F.lit(head_rows)).select("term", "term_idx")
+    rest = tagged.filter(F.col("_head_idx").isNull()).drop("_head_idx").join(tail, "term")
+    return hot.unionByName(rest)
 
 
 def count_vectors(doc_terms: DataFrame, vocab_terms: list[str], terms_col: str = "terms",

@@ -83,3 +83,16 @@ def test_doc_term_table_shuffle_path_equals_broadcast_path(spark):
             else:
                 spark.conf.set(k, v)
     assert got == want
+
+
+def test_doc_term_tf_head_tail_equals_broadcast(spark):
+    from termflow.operators.tokens import term_counts as tc
+    from termflow.operators.vectors import doc_term_tf
+    from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    ranked = rank_terms(tc(docs))
+    vocab = vocabulary_from_ranked(ranked)
+    a = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total)
+    b = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total, max_broadcast_rows=25)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
