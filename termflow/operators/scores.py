@@ -37,6 +37,26 @@ def label_topics(tokens: DataFrame, label_col: str) -> DataFrame:
                     (F.col("tf") / F.col("_total")).alias("weight")))
 
 
+def top_label_terms(tokens: DataFrame, label_col: str, k: int = TERMS_PER_TOPIC) -> DataFrame:
+    """The k heaviest terms of each label topic (see :func:`label_topics`),
+    ``topic, rank, term, tf, weight``, without a join on the label over all
+    terms.
+
+    Within a label the share ``tf / total`` orders exactly like ``tf`` (one
+    positive divisor), so the top k are picked by ``tf`` (partial group
+    limit before the shuffle), and only those k rows per label meet the
+    per-label totals. A label holding most of the corpus never becomes a
+    hot join key.
+    """
+    tf = tokens.groupBy(label_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    picked = top_terms(tf.select(F.col(label_col).alias("topic"), "term", "tf",
+                                 F.col("tf").alias("weight")), k).drop("weight")
+    totals = (tf.groupBy(label_col).agg(F.sum("tf").alias("_total"))
+              .withColumnRenamed(label_col, "topic"))
+    return picked.join(totals, "topic").select(
+        "topic", "rank", "term", "tf", (F.col("tf") / F.col("_total")).alias("weight"))
+
+
 def top_terms(topics: DataFrame, k: int = TERMS_PER_TOPIC) -> DataFrame:
     """The k heaviest terms of each topic (ties by term ascending), with
     ``rank`` 0..k-1."""

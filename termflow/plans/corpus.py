@@ -83,22 +83,22 @@ def q_conversation_term_counts(spark, sf_dir):
     return term_counts(conv)
 
 
-def _label_topics(spark, sf_dir):
+def _top_label_terms(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
-    return sc.label_topics(term_tokens(docs, keep=("lang",)), "lang")
+    return sc.top_label_terms(term_tokens(docs, keep=("lang",)), "lang")
 
 
 def q_top_terms_by_label(spark, sf_dir):
-    return sc.top_terms(_label_topics(spark, sf_dir)).select(
+    return _top_label_terms(spark, sf_dir).select(
         "topic", F.col("rank").cast("int").alias("rank"), "term", "tf", "weight")
 
 
 def q_merged_scores_last(spark, sf_dir):
-    return sc.merge_scores(sc.top_terms(_label_topics(spark, sf_dir)), "last")
+    return sc.merge_scores(_top_label_terms(spark, sf_dir), "last")
 
 
 def q_merged_scores_max(spark, sf_dir):
-    return sc.merge_scores(sc.top_terms(_label_topics(spark, sf_dir)), "max")
+    return sc.merge_scores(_top_label_terms(spark, sf_dir), "max")
 
 
 def q_top_scores(spark, sf_dir):

@@ -96,3 +96,13 @@ def test_doc_term_tf_head_tail_equals_broadcast(spark):
     a = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total)
     b = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total, max_broadcast_rows=25)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_top_label_terms_equals_full_topic_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    tokens = term_tokens(docs, keep=("lang",))
+    full = sc.top_terms(sc.label_topics(tokens, "lang")).select("topic", "rank", "term", "tf", "weight")
+    fast = sc.top_label_terms(tokens, "lang")
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, fast.collect()))
+    plan = _plan(fast)
+    assert "WindowGroupLimit" in plan
