@@ -124,3 +124,25 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of (compressed) input.
+
+    Scan splits and shuffle partitions are sized so one task's data stays
+    around ``target_partition_bytes``. Text expands when decompressed and
+    tokenised, so the shuffle gets roughly twice the scan's partition count
+    as its starting point, and AQE coalesces from there. Skew-join and
+    checkpoint clean-up are on.
+    """
+    scan = max(1, input_bytes // target_partition_bytes)
+    shuffle = int(min(max(2 * scan, min_partitions), max_partitions))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    }

@@ -104,3 +104,15 @@ def test_ordered_index_with_coalesced_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     want = sorted(rows, key=lambda r: (-r[1], r[0]))
     assert got == {(t, i) for i, (t, _) in enumerate(want)}
+
+
+def test_scale_conf():
+    from termflow.session import scale_conf
+
+    c = scale_conf(100 << 40)  # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    small = scale_conf(1 << 30)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    mid = scale_conf(10 << 40)  # 10 TiB -> 40960 scan splits -> 81920 shuffle partitions
+    assert int(mid["spark.sql.shuffle.partitions"]) == 81920
