@@ -11,6 +11,9 @@ TERMS_PER_TOPIC = 10
 TOP_SCORES = 10
 # Arrival notice for a named document.
 NOTICE_FORMAT = "New doc received: %s"
+# Printed lines: a word count, and a described topic term (index, term, weight).
+WORD_COUNT_FORMAT = "%s: %d"
+TOPIC_TERM_FORMAT = "%d: %s : %f"
 # Word-cloud size: base + weight * scale, truncated toward zero.
 DISPLAY_BASE = 10
 DISPLAY_SCALE = 1000
