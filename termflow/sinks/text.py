@@ -10,7 +10,8 @@ from termflow.functions.constants import TOPIC_TERM_FORMAT, WORD_COUNT_FORMAT
 
 def word_count_lines(counts: DataFrame, word_col: str = "word") -> DataFrame:
     """``word: count`` lines."""
-    return counts.select(F.format_string(WORD_COUNT_FORMAT, F.col(word_col), F.col("cnt")).alias("value"))
+    return counts.select(
+        F.format_string(WORD_COUNT_FORMAT, F.col(word_col), F.col("cnt")).alias("value"))
 
 
 def topic_lines(described: DataFrame) -> DataFrame:
