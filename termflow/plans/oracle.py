@@ -30,6 +30,7 @@ def _tokens(source: str, keep: str = "") -> str:
 _DOC_TOKENS = _tokens(_NORMALIZED, "doc_id")
 
 _LANG_SOURCE = _NORMALIZED.replace("SELECT doc_id,", "SELECT doc_id, lang,")
+_CONV_SOURCE = _NORMALIZED.replace("doc_id,", "").replace("documents", "conversations")
 _LANG_TOKENS = _tokens(_LANG_SOURCE, "lang")
 
 _TERM_COUNTS = f"SELECT term, count(*) AS cnt FROM ({_DOC_TOKENS}) x GROUP BY term"
@@ -96,7 +97,7 @@ CORPUS_SQL = {
     "arrival_notices": """
         SELECT page_id, 'New doc received: ' || url AS value FROM pages WHERE url IS NOT NULL""",
     "conversation_term_counts": f"""
-        SELECT term, count(*) AS cnt FROM ({_tokens(_NORMALIZED.replace('doc_id,', '').replace('documents', 'conversations'))}) x
+        SELECT term, count(*) AS cnt FROM ({_tokens(_CONV_SOURCE)}) x
         GROUP BY term""",
     "quality_term_counts": f"""
         SELECT quality, term, count(*) AS cnt FROM ({_tokens(

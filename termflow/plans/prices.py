@@ -57,7 +57,8 @@ _BARS = """
     FROM events GROUP BY event_type, CAST(ts AS DATE)"""
 
 _STATS = f"""
-    SELECT symbol, CAST(floor((CAST(timestamp AS DATE) - DATE '1970-01-01') / {BATCH_DAYS}) AS BIGINT)
+    SELECT symbol,
+           CAST(floor((CAST(timestamp AS DATE) - DATE '1970-01-01') / {BATCH_DAYS}) AS BIGINT)
                AS batch_id,
            max(timestamp) AS lastTimestamp,
            round(avg(high), {DIGITS}) AS meanHigh, round(avg(low), {DIGITS}) AS meanLow,

@@ -84,5 +84,6 @@ ORACLE = {
     "numeric_vectors": f"""
         SELECT user_id, CAST(unnest(range(len(parts))) AS INTEGER) AS pos,
                unnest(list_transform(parts, lambda x: CAST(x AS DOUBLE))) AS value
-        FROM (SELECT user_id, string_split(trim(value), ' ') AS parts FROM ({_NUMERIC_LINES}) l) p""",
+        FROM (SELECT user_id, string_split(trim(value), ' ') AS parts
+              FROM ({_NUMERIC_LINES}) l) p""",
 }

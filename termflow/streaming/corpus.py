@@ -77,7 +77,8 @@ class CorpusJob:
         # stored next to its contents, and every later refit reads the arrays.
         docs = doc_terms(batch.filter(is_not_blank("content")), "content", None,
                          self.normalize, keep=("doc_name", "content"))
-        (docs.write.mode("overwrite").parquet(f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}"))
+        docs.write.mode("overwrite").parquet(
+            f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}")
         corpus = spark.read.parquet(self.corpus_path)
         if self.scope == "batch":
             corpus = corpus.filter(F.col("batch_id") == F.lit(batch_id))
