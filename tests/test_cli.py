@@ -60,3 +60,18 @@ def test_feed_then_corpus_stream(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/corpus").count() == 6
     assert spark.read.json(f"{tmp_dir}/sink/topic=tcmeta").count() == 6
     assert spark.read.json(f"{tmp_dir}/sink/topic=tcdata").count() == 1
+
+
+def test_price_stream_command(spark, tmp_dir):
+    from termflow.operators import prices as P
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    P.to_price_json(P.daily_bars(ev)).write.json(f"{tmp_dir}/prices_in")
+    main(["price-stream", "--source", "json", "--path", f"{tmp_dir}/prices_in",
+          "--stats", f"{tmp_dir}/stats", "--state", f"{tmp_dir}/state",
+          "--output-path", f"{tmp_dir}/lines", "--checkpoint", f"{tmp_dir}/ckpt",
+          "--available-now"])
+    # one micro-batch: statistics for every symbol, no previous batch, no lines yet
+    stats = spark.read.parquet(f"{tmp_dir}/stats")
+    assert stats.count() == ev.select("event_type").distinct().count()
+    assert not os.path.exists(f"{tmp_dir}/lines")
