@@ -50,7 +50,8 @@ def cmd_lda_numeric(args) -> None:
     spark = _session()
     vec = numeric_vectors(text_lines(spark, args.input), strict=True)
     model = fit_numeric_topics(vec, k=args.k, optimizer=args.optimizer,
-                               max_iter=args.max_iter, seed=args.seed)
+                               max_iter=args.max_iter, seed=args.seed,
+                           min_new_docs=args.min_new_docs)
     if args.model_path:
         save_model(model, args.model_path)
         model = load_model(args.model_path)
@@ -102,7 +103,8 @@ def cmd_corpus_stream(args) -> None:
                            sink_options={"kafka.bootstrap.servers": args.bootstrap}
                            if args.sink_format == "kafka" else {},
                            scope=args.scope, optimizer=args.optimizer, k=args.k,
-                           max_iter=args.max_iter, seed=args.seed)
+                           max_iter=args.max_iter, seed=args.seed,
+                           min_new_docs=args.min_new_docs)
     corpus.start(src, job, args.checkpoint, _trigger(args)).awaitTermination()
 
 
@@ -173,6 +175,8 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--sink-format", default="kafka")
     sp.add_argument("--sink-path")
     sp.add_argument("--scope", choices=["all", "batch"], default="all")
+    sp.add_argument("--min-new-docs", type=int, default=1,
+                    help="refit only after this many new documents")
     lda_args(sp, 10, "online")
     sp.set_defaults(fn=cmd_corpus_stream)
 

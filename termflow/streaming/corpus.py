@@ -52,6 +52,20 @@ class CorpusJob:
     max_iter: int = 20
     seed: int | None = 42
     top: int = TOP_SCORES
+    # Refit only once this many documents arrived since the last published
+    # fit (1: every batch with documents, as the original did). A refit reads
+    # the whole corpus, so a larger value bounds the cost of a fast stream.
+    min_new_docs: int = 1
+
+    @property
+    def _marker(self) -> str:
+        return f"{self.corpus_path.rstrip('/')}_last_fit"
+
+    def _last_fit(self, spark) -> int:
+        try:
+            return int(spark.read.json(self._marker).first()["batch_id"])
+        except Exception:  # noqa: BLE001 - no marker yet
+            return -1
 
     def _write(self, df: DataFrame, topic: str, batch_id: int) -> None:
         write_messages(df, self.sink_format, topic=topic, options=self.sink_options,
@@ -84,6 +98,12 @@ class CorpusJob:
             corpus = corpus.filter(F.col("batch_id") == F.lit(batch_id))
         if corpus.isEmpty():
             return
+        if self.min_new_docs > 1:
+            last = self._last_fit(spark)
+            new_docs = corpus.filter((F.col("batch_id") > F.lit(last))
+                                     & (F.col("batch_id") <= F.lit(batch_id))).count()
+            if new_docs < self.min_new_docs:
+                return
         try:
             fit = fit_term_topics(corpus.select("terms"), id_col=None, k=self.k,
                                   optimizer=self.optimizer, max_iter=self.max_iter,
@@ -95,6 +115,9 @@ class CorpusJob:
             return
         scores = topic_scores(describe_topics(fit), self.top)
         self._write(score_message(scores), self.score_topic, batch_id)
+        if self.min_new_docs > 1:
+            spark.createDataFrame([(batch_id,)], "batch_id long").write.mode(
+                "overwrite").json(self._marker)
 
 
 def start(source: DataFrame, job: CorpusJob, checkpoint_location: str | None = None,

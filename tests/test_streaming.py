@@ -146,3 +146,15 @@ def test_price_state_stays_two_batches_deep(spark, tmp_dir):
     assert sorted(os.listdir(f"{tmp_dir}/state")) == ["batch_id=1", "batch_id=2"]
     lines = spark.read.json(f"{tmp_dir}/lines").orderBy("lastTimestamp").collect()
     assert [r.lastTimestamp for r in lines] == ["2024-01-02", "2024-01-03"]
+
+
+def test_corpus_refit_waits_for_new_documents(spark, tmp_dir, docs):
+    job = C.CorpusJob(corpus_path=f"{tmp_dir}/corpus", sink_path=f"{tmp_dir}/out",
+                      max_iter=2, optimizer="online", min_new_docs=30)
+    schema = "doc_name string, content string"
+    job.process(spark.createDataFrame(docs[:40], schema), 0)   # 40 new: fit
+    job.process(spark.createDataFrame(docs[40:60], schema), 1)  # 20 new: wait
+    job.process(spark.createDataFrame(docs[60:75], schema), 2)  # 35 new since fit: fit
+    published = sorted(os.listdir(f"{tmp_dir}/out/topic=tcdata"))
+    assert published == ["batch_id=0", "batch_id=2"]
+    assert spark.read.parquet(job.corpus_path).count() == 75
