@@ -71,7 +71,11 @@ def top_terms(topics: DataFrame, k: int = TERMS_PER_TOPIC) -> DataFrame:
 def merge_scores(described: DataFrame, overlap: str = "last") -> DataFrame:
     """One score per term, ``term, score``. A term described in several
     topics keeps the weight of the last topic (``overlap='last'``, as the
-    original map did) or its largest weight (``overlap='max'``)."""
+    original map did) or its largest weight (``overlap='max'``).
+
+    The input is the described topics, at most k rows per topic, so the
+    plan's aggregate (sort-based when topics are strings) is small at any
+    corpus size."""
     if overlap == "last":
         agg = F.max_by("weight", "topic")
     elif overlap == "max":
