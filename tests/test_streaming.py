@@ -158,3 +158,22 @@ def test_corpus_refit_waits_for_new_documents(spark, tmp_dir, docs):
     published = sorted(os.listdir(f"{tmp_dir}/out/topic=tcdata"))
     assert published == ["batch_id=0", "batch_id=2"]
     assert spark.read.parquet(job.corpus_path).count() == 75
+
+
+def test_text_file_stream_names_documents_by_path(spark, tmp_dir):
+    words = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    os.makedirs(f"{tmp_dir}/incoming")
+    for i in range(3):
+        with open(f"{tmp_dir}/incoming/doc{i}.txt", "w") as f:
+            f.write(words + "\n")
+    job = C.CorpusJob(corpus_path=f"{tmp_dir}/corpus", sink_path=f"{tmp_dir}/out",
+                      max_iter=2, optimizer="online")
+    q = C.start(doc_stream(spark, "text", path=f"{tmp_dir}/incoming"), job, f"{tmp_dir}/ckpt",
+                {"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    names = sorted(os.path.basename(r.doc_name)
+                   for r in spark.read.parquet(job.corpus_path).collect())
+    assert names == ["doc0.txt", "doc1.txt", "doc2.txt"]
+    notices = sorted(r.value for r in spark.read.json(f"{tmp_dir}/out/topic=tcmeta").collect())
+    assert all(v.startswith("New doc received: ") and v.endswith(".txt") for v in notices)
