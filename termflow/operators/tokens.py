@@ -4,7 +4,7 @@
                                                        |
                                            groupBy(term).count()  (partial + final aggregate)
 
-Everything is Spark SQL: split, filter with a lambda, explode, hash
+Everything is Spark SQL: one regex extraction per document, explode, hash
 aggregate. A hot term (say one third of all tokens) costs nothing extra: the
 partial aggregate folds it to one row per map task before the shuffle.
 """
@@ -37,7 +37,8 @@ def explode_items(df: DataFrame, array_col: str, name: str, keep: list[str] | tu
     ``explode`` Catalyst infers ``size(array) > 0`` and pushes that filter
     down to the scan, which evaluates the whole tokenising expression a
     second time (and, below a repartition, in the scan's few tasks).
-    Elements are never NULL here (split results), so the rows are the same.
+    Elements are never NULL here (split or regex-extract results), so the
+    rows are the same.
     """
     if with_pos:
         gen = F.posexplode_outer(array_col).alias(with_pos, name)
