@@ -24,6 +24,8 @@ RECOMMENDED_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # remove reliable RDD checkpoints once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # task results (e.g. LDA's per-task topic statistics) and shuffled rows
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
@@ -144,5 +146,4 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     }
