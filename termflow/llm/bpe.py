@@ -21,6 +21,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from termflow.llm.common import source, whole_text
 from termflow.llm.words import WordTable
 
 NONE = np.int64(1) << 40
+#: From here on, letters and digits depend on the version of Unicode.
+FIRST_ODD = "\u0530"
 
 
 class WordBpe:
@@ -38,6 +41,9 @@ class WordBpe:
     over NFC lower-case text split by the file's own pattern."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.rules = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -128,6 +134,21 @@ class WordBpe:
         text = "".join([c.lower() for c in text]) if "\u03a3" in text else text.lower()
         return self.pattern.findall(text)
 
+    def pieces_of_lines(self, lines: list[str]) -> list[str]:
+        """As of all lines in one text. Lines with characters beyond the scripts whose
+        properties are the same in every Unicode version are normalised and cut by the
+        file's own rules."""
+        out: list[str] = []
+        for n, (odd, run) in enumerate(groupby(lines, lambda x: max(x, default="") >= FIRST_ODD)):
+            out += ["\n"] * (n > 0)
+            if not odd:
+                out += self.pieces_of("\n".join(run))
+                continue
+            for k, line in enumerate(run):
+                line = self.rules.normalizer.normalize_str(line)
+                out += ["\n"] * (k > 0) + [line[a:b] for _, (a, b) in self.rules.pre_tokenizer.pre_tokenize_str(line)]
+        return out
+
     def encode_words(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in one array, and where each word's ids end. Words
         are cut as lines of one text; those with added tokens around them."""
@@ -141,7 +162,7 @@ class WordBpe:
                 at = m.end()
             lines.append(w[at:])
             owner.append(i)
-        pieces = self.pieces_of("\n".join(lines))
+        pieces = self.pieces_of_lines(lines)
         number: dict[str, int] = {"\n": 0}
         piece = np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.int64, len(pieces))
         ids, end = self.merge([b"" if w == "\n" else w.encode("utf-8") for w in number])
