@@ -25,10 +25,11 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from termflow.llm.common import source, whole_text
+from termflow.llm.common import free_name, source, whole_text
 from termflow.llm.words import WordTable
 
 NONE = np.int64(1) << 40
@@ -52,9 +53,10 @@ class WordBpe:
         self.pattern = regex.compile(split["pattern"]["Regex"] + r"|\n")
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.added_re = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
-        self.tokens: list[str | None] = [None] * (1 + max([*vocab.values(), *self.added.values()]))
+        tokens = [""] * (1 + max([*vocab.values(), *self.added.values()]))
         for token, i in [*vocab.items(), *self.added.items()]:
-            self.tokens[i] = token
+            tokens[i] = token
+        self.tokens = pa.array(tokens, pa.string())
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
         self.final = np.array([vocab[c + self.suffix] for c in letters], np.int64)
@@ -181,11 +183,18 @@ class WordBpe:
         sizes = np.bincount(np.array(owner, np.int64)[line], count, len(new)) if len(line) else np.zeros(len(new))
         return flat, np.cumsum(sizes).astype(np.int64)
 
-    def decode(self, ids: list[int]) -> str:
-        """The tokens joined by a space, as for a tokenizer file without decoder."""
-        if ids and not 0 <= min(ids) <= max(ids) < len(self.tokens):
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """Each list's tokens joined by a space, as for a tokenizer file without
+        decoder (null: the empty text)."""
+        flat = ids.flatten()
+        known = np.asarray(flat) if len(flat) else np.empty(0, np.int32)
+        if len(known) and not (0 <= known.min() and known.max() < len(self.tokens)):
             raise ValueError("an id outside the vocabulary")
-        return " ".join([t for i in ids if (t := self.tokens[i]) is not None])
+        sizes = pc.fill_null(pc.list_value_length(ids), 0)
+        ends = np.concatenate([[0], np.cumsum(np.asarray(sizes))])
+        tokens = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()),
+                                               self.tokens.take(flat).cast(pa.large_string()))
+        return pc.binary_join(tokens, " ").cast(pa.string())
 
 
 def byte_letters() -> list[str]:
@@ -225,15 +234,26 @@ def decode(ids: Column, path: str) -> Column:
     def bpe_decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model(path)
         for lists in batches:
-            yield pa.array([m.decode(x or []) for x in lists.to_pylist()], pa.string())
+            yield m.decode(lists)
 
     return bpe_decode(ids)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
                    decoded: str = "decoded") -> DataFrame:
-    """``docs`` with the ids of each text and the text decoded from them."""
-    return docs.withColumn(ids, encode(F.col(text), path)).withColumn(decoded, decode(F.col(ids), path))
+    """``docs`` with the ids of each text and the text decoded from them, in one
+    pass through Python."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def encode_decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = model(path)
+        for texts in batches:
+            made = id_lists(*m.table.encode(texts))
+            yield pa.StructArray.from_arrays([made, m.decode(made)], ["ids", "decoded"])
+
+    both = free_name(docs, "both")
+    return (docs.withColumn(both, encode_decode(whole_text(text)))
+            .withColumns({ids: F.col(f"{both}.ids"), decoded: F.col(f"{both}.decoded")}).drop(both))
 
 
 def op3_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:

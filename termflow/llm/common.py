@@ -11,8 +11,8 @@ from termflow.sources.tables import read_table
 
 #: Rows and bytes of one Arrow batch between the JVM and Python, so that a
 #: batch of long texts stays small in a worker's memory.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def bounded_batches(spark: SparkSession) -> None:

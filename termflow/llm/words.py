@@ -70,8 +70,9 @@ class Words:
         return h
 
 
-def cut(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of a batch of texts without nulls; ``lower`` maps A-Z to a-z."""
+def cut(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> Words:
+    """The words of a batch of texts without nulls, between bytes that ``space``
+    marks; ``lower`` maps A-Z to a-z."""
     texts = texts.cast(pa.large_binary())
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
@@ -81,7 +82,7 @@ def cut(texts: pa.Array, lower: bool = False) -> Words:
     off = off - off[0]
     if lower:
         buf[(buf >= 0x41) & (buf <= 0x5A)] |= 0x20
-    word = ~SPACE[buf[:len(raw)]]
+    word = ~space[buf[:len(raw)]]
     begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
     ends[:-1] &= ~word[1:]
@@ -103,7 +104,7 @@ class WordTable:
     """
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 limit: int = 1_500_000):
+                 limit: int = 600_000):
         self.encode_new, self.limit = encode_new, limit
         self.clear()
 

@@ -1,6 +1,5 @@
 import random
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -101,5 +100,5 @@ def test_nulls_repeats_and_clashing_columns(spark):
 
 def test_unknown_id():
     with pytest.raises(ValueError):
-        MODELS[0].decode([10**6])
-    assert np.array(MODELS[0].decode([])) == ""
+        MODELS[0].decode(pa.array([[10**6]], pa.list_(pa.int32())))
+    assert MODELS[0].decode(pa.array([[], None], pa.list_(pa.int32()))).to_pylist() == ["", ""]
