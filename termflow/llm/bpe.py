@@ -192,9 +192,7 @@ class WordBpe:
             raise ValueError("an id outside the vocabulary")
         sizes = pc.fill_null(pc.list_value_length(ids), 0)
         ends = np.concatenate([[0], np.cumsum(np.asarray(sizes))])
-        tokens = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()),
-                                               self.tokens.take(flat).cast(pa.large_string()))
-        return pc.binary_join(tokens, " ").cast(pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.tokens.take(flat)), " ")
 
 
 def byte_letters() -> list[str]:
