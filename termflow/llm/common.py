@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,9 +16,18 @@ ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
               "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
-def bounded_batches(spark: SparkSession) -> None:
+#: The folder of the package, which Python workers on this machine import it from.
+#: On a cluster the package is installed or sent with --py-files.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session (a setting that the session
-    carries already with another value than Spark's default is kept)."""
+    carries already with another value than Spark's default is kept), and let
+    its Python workers find this package."""
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     for key, value in ARROW_CONF.items():
         now = spark.conf.get(key, None)
         if now is None or now in ("10000", "-1", str(2**63 - 1), str(2**31 - 1)):
@@ -26,7 +36,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def source(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; batches to Python are bounded from here on."""
-    bounded_batches(spark)
+    prepare(spark)
     return read_table(spark, sf_dir, name).select(*columns)
 
 

@@ -13,6 +13,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 from termflow.llm.words import WordTable
 
@@ -78,3 +79,11 @@ class LibraryEncoder:
 def encoder(path: str) -> LibraryEncoder:
     """The encoder of a file, made once in each Python worker."""
     return LibraryEncoder(path)
+
+
+def ids_with_end(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch of texts as unsigned 32-bit integers, each text's
+    followed by ``end``, and for each text and one past the last where it begins."""
+    flat, ends = encoder(path).table.encode(texts)
+    flat = np.insert(flat.astype("<u4", copy=False), ends[1:], end)
+    return flat, ends + np.arange(len(ends))
