@@ -4,11 +4,13 @@ express them."""
 from __future__ import annotations
 
 from termflow.llm.bpe import op3_bpe_encoding
+from termflow.llm.jaccard import op2_ngram_jaccard_join
 from termflow.llm.packing import op10_best_fit_packing
 from termflow.llm.secrets import op4_secret_scans
 from termflow.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_encoding": op3_bpe_encoding,
     "op4_secret_scans": op4_secret_scans,
     "op8_toxicity": op8_toxicity,
