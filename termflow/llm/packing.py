@@ -205,7 +205,7 @@ def pack(pieces: DataFrame, capacity: int, shard: int = SHARD) -> DataFrame:
         last = shards == 1 and level > 1 or n <= shard
 
         key = F.pmod(F.xxhash64(F.lit(level), *[c for c in columns if c != "length"]), F.lit(shards)).alias("shard")
-        got = checkpoint(rest.select(*columns, key).groupBy("shard").applyInArrow(packer(capacity, level, last), schema))
+        got = checkpoint(rest.select(*columns, key).repartition(shards, "shard").groupBy("shard").applyInArrow(packer(capacity, level, last), schema))
         out = out.unionByName(got.where("settled").drop("settled"))
         if last:
             return out
