@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl(), doc_id: str
     made = rows.select("label", "index").mapInArrow(learn, "intercept double, index binary, weight binary").collect()
     if not made:
         return Weights(s.bits, -np.inf, np.empty(0, np.int64), np.empty(0))
-    return Weights(s.bits, made[0].intercept, np.frombuffer(made[0].index, "<i8"), np.frombuffer(made[0].weight, "<f8"))
+    intercept, index, weight = made[0]
+    return Weights(s.bits, intercept, np.frombuffer(index, "<i8"), np.frombuffer(weight, "<f8"))
 
 
 def score(spark: SparkSession, text: Column, weights: Weights) -> Column:
