@@ -26,6 +26,7 @@ empty table gives no rows. Other columns play no part. Shingles and classes are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,8 @@ WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Slots of the document counts; one byte of each goes to every task. More slots
-#: separate counts better: about one for every 100 shingles of the corpus does.
-SLOT_BITS = 22
+#: separate counts better: one for every ten shingles of the corpus does.
+SLOT_BITS = 24
 FRAGMENTS = 8
 #: Rows of ids that may be broadcast: 16 MB.
 BROADCAST_IDS = 1_000_000
@@ -95,39 +96,42 @@ def slots(value: np.ndarray, bits: int) -> np.ndarray:
 
 
 def count_levels(docs: DataFrame, text: str, bits: int = SLOT_BITS) -> np.ndarray:
-    """The level of each slot's document count: 0 up to twice the mean, then one
-    more for each doubling. Counted by slot in each task and summed by block of slots."""
-    block = 1 << 16
+    """The level of each slot's document count: 0 up to twice the mean, then about
+    one more for each doubling. A task counts by slot (up to 255, which can only
+    lower a level), and the tasks' counts are summed by block of slots. The driver
+    gets a byte for each slot, whatever the input."""
+    size = 1 << min(bits, 16)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.zeros(1 << bits, np.uint32)
+        got = np.zeros(1 << bits, np.uint8)
         for b in batches:
             value, _ = shingle_sets(b.column(0))
-            got += np.bincount(slots(value, bits), minlength=1 << bits).astype(np.uint32)
-        if got.any():
-            parts = got.reshape(-1, min(block, 1 << bits))
-            for i, p in enumerate(parts):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()),
-                                                  "counts": [np.minimum(p, 0xFFFF).astype("<u2").tobytes()]})
+            slot, n = np.unique(slots(value, bits), return_counts=True)
+            got[slot] = np.minimum(got[slot] + n, 255)
+        for i, part in enumerate(got.reshape(-1, size) if got.any() else ()):
+            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()),
+                                              "counts": [zlib.compress(part, 1)]})
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(min(block, 1 << bits), np.uint64)
+        total = np.zeros(size, np.int64)
         for b in batches:
             for c in b.column(1):
-                total += np.frombuffer(c.as_buffer(), "<u2")
-        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()),
-                                          "counts": [total.astype("<u8").tobytes()]})
+                total += np.frombuffer(zlib.decompress(c.as_buffer()), np.uint8)
+        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "sum": pa.array([int(total.sum())]),
+                                          "code": [scale(total).astype(np.uint8).tobytes()]})
 
     parts = (docs.select(whole_text(text).alias("text")).mapInArrow(count, "block int, counts binary")
-             .groupBy("block").applyInArrow(add, "block int, counts binary").collect())
-    total = np.zeros(1 << bits, np.uint64)
+             .groupBy("block").applyInArrow(add, "block int, sum bigint, code binary").collect())
+    code = np.zeros(1 << bits, np.uint8)
     for r in parts:
-        part = np.frombuffer(r["counts"], "<u8")
-        total[r["block"] * len(part):(r["block"] + 1) * len(part)] = part
-    base = max(1.0, 2 * float(total.mean()))
-    with np.errstate(divide="ignore"):
-        return np.maximum(0, 1 + np.floor(np.log2(total / base)), where=total > base,
-                          out=np.zeros(len(total))).astype(np.uint8)
+        code[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["code"], np.uint8)
+    base = scale(max(1.0, 2 * sum(r["sum"] for r in parts) / len(code)))
+    return np.maximum(0, np.ceil((np.arange(256) - base) / 4)).astype(np.uint8)[code]
+
+
+def scale(count) -> np.ndarray:
+    """Four steps for each doubling."""
+    return np.floor(4 * np.log2(np.asarray(count) + 1.0))
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -188,7 +192,7 @@ def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels,
 
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     return texts.join(wanted, "doc_id").select("class", "text").mapInArrow(
-        cut_sets, "class bigint, fragment int, shingles array<bigint>").dropDuplicates(["class", "fragment"])
+        cut_sets, "class bigint, fragment int, shingles array<bigint>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +204,9 @@ def similar(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -
     left = sets.select(F.col("class").alias("a"), "fragment", F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), "fragment", F.col("shingles").alias("sb"))
     partial = (near.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common")))
+               .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("sa", "sb")).alias("common")))
+    # Rows of one id and text give a segment each; they count once.
+    partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
     return total.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
@@ -211,8 +217,7 @@ def relabelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
     edges = (links.join(parts.withColumnsRenamed({"class": "a", "part": "pa"}), "a")
              .join(parts.withColumnsRenamed({"class": "b", "part": "pb"}), "b").select("pa", "pb"))
     roots = star_roots(edges).withColumnsRenamed({"node": "part"})
-    return checkpoint(buckets.join(roots, "part", "left")
-                      .select("shingle", "class", F.coalesce("root", "part").alias("part")))
+    return buckets.join(roots, "part", "left").select("shingle", "class", F.coalesce("root", "part").alias("part"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
@@ -229,20 +234,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     early = (known.select("class", F.explode("early").alias("shingle"))
              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle"))
     shared = early.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    buckets = checkpoint(early.join(shared.select("shingle").hint("shuffle_hash"), "shingle")
-                         .select("shingle", "class", F.col("class").alias("part")).distinct())
+    paths = [path]
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df, at = written(df, name)
+        paths.append(at)
+        return df
+
+    buckets = kept(early.join(shared.select("shingle").hint("shuffle_hash"), "shingle")
+                   .select("shingle", "class", F.col("class").alias("part")).distinct(), "buckets")
     active = buckets.select("class").distinct()
-    wanted = checkpoint(classes.join(active, "class"))
+    wanted = kept(classes.join(active, "class"), "wanted")
     ids = wanted.select("doc_id", "class")
-    sets = checkpoint(segments(docs, doc_id, text, F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids,
-                               levels, slot_bits))
+    sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids,
+                         levels, slot_bits), "sets")
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        links = checkpoint(similar(pairs, sets, wanted, percent))
+        return kept(relabelled(buckets, links), "buckets")
 
     for pivot in ("min", "max"):
         ends = buckets.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"),
                                               F.expr(f"{pivot}_by(struct(class, part), class)").alias("pivot"))
-        pairs = (buckets.join(ends.where("low < high"), "shingle").where("part <> pivot.part")
-                 .select(F.least("class", "pivot.class").alias("a"), F.greatest("class", "pivot.class").alias("b")).distinct())
-        buckets = relabelled(buckets, checkpoint(similar(pairs, sets, wanted, percent)))
+        buckets = joined(
+            buckets.join(ends.where("low < high"), "shingle").where("part <> pivot.part")
+            .select(F.least("class", "pivot.class").alias("a"), F.greatest("class", "pivot.class").alias("b")).distinct())
 
     # All pairs across components; the largest component of a bucket only as partner.
     most = (buckets.groupBy("shingle", "part").count()
@@ -251,9 +267,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     left = buckets.join(most, "shingle").where("part <> largest").select(
         "shingle", F.col("class").alias("l"), F.col("part").alias("pl"), "largest")
     right = buckets.select("shingle", F.col("class").alias("r"), F.col("part").alias("pr"))
-    pairs = (left.join(right, "shingle").where("pl <> pr AND (pr = largest OR l < r)")
-             .select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct())
-    buckets = relabelled(buckets, checkpoint(similar(pairs, sets, wanted, percent)))
+    buckets = joined(left.join(right, "shingle").where("pl <> pr AND (pr = largest OR l < r)")
+                     .select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct())
 
     # Classes to components, components to their smallest id; rows of one id are one document.
     part_of = buckets.select("class", "part").distinct()
@@ -268,7 +283,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component = of.distinct().join(smallest, "part").select("doc_id", "component_id")
     out = checkpoint(rows.select("doc_id", "n").join(component, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
-    drop_written(spark, path)
+    drop_written(spark, *paths)
     levels.unpersist()
     return out
 
