@@ -7,7 +7,9 @@ a Jaccard similarity of at least t share a shingle among the first
 ``n - ceil(t * n) + 1`` of either, so only documents that meet there can link.
 
 The order is cut into fragments. For a candidate pair the overlap is counted in
-each fragment by itself, and the partial counts are summed per pair.
+each fragment by itself, and the partial counts are summed per pair. The early
+shingles are counted first: a pair that cannot reach t with all that may follow
+is dropped there, and only the sets of the others are cut and sent.
 
 Equal sets are one class and stand for all their copies. In a bucket of classes
 that share an early shingle, all are first compared with the smallest one, then,
@@ -139,8 +141,8 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent: int) -> DataFrame:
-    """Rows of id, set size, class and the early shingles; of the copies that one
-    task meets only the first has these."""
+    """Rows of id, set size, class, where the early shingles end in the order, and
+    the early shingles; of the copies that one task meets only the first has these."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
@@ -158,13 +160,18 @@ def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent
                 seen.add(c)
             first = np.concatenate([[0], np.cumsum(take)])
             at = np.repeat(ends[:-1], take) + np.arange(first[-1]) - np.repeat(first[:-1], take)
+            # Where the early shingles end in the global order: level, then hash.
+            last = np.zeros(len(n), np.int64)
+            some = n > 0
+            end = value[ends[:-1][some] + prefix_size(n, percent)[some] - 1]
+            last[some] = level[slots(end, bits)].astype(np.int64) << 56 | (end >> np.uint64(8)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(of),
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(of), pa.array(last),
                  pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value[at].view(np.int64)))],
-                ["doc_id", "n", "class", "early"])
+                ["doc_id", "n", "class", "last", "early"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(
-        sketch, "doc_id bigint, n bigint, class bigint, early array<bigint>")
+        sketch, "doc_id bigint, n bigint, class bigint, last bigint, early array<bigint>")
 
 
 def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels, bits: int) -> DataFrame:
@@ -195,12 +202,26 @@ def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels,
         cut_sets, "class bigint, fragment int, shingles array<bigint>")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def promising(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that can link by their sizes and the overlap of
+    their early shingles. All shingles that they share up to the first end of the
+    two are among these; of the others the set that ends first has no more than it
+    has late shingles."""
+    def front(c: str) -> DataFrame:
+        return fronts.select(F.col("class").alias(c), *[F.col(x).alias(x + c) for x in ("n", "last", "early")])
+
+    def late(c: str) -> str:
+        return f"((n{c} * {percent} + 99) div 100 - 1)"
+    sized = (pairs.join(front("a"), "a").join(front("b"), "b")
+             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    most = sized.withColumn("most", F.size(F.array_intersect("earlya", "earlyb")) + F.expr(
+        f"CASE WHEN lasta < lastb THEN {late('a')} WHEN lastb < lasta THEN {late('b')} "
+        f"ELSE greatest({late('a')}, {late('b')}) END"))
+    return most.where(100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).select("a", "b", "na", "nb")
+
+
+def similar(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link: overlaps counted by fragment, summed by pair."""
-    def size(c: str) -> DataFrame:
-        return sizes.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"))
-    near = (pairs.join(size("a"), "a").join(size("b"), "b")
-            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
     left = sets.select(F.col("class").alias("a"), "fragment", F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), "fragment", F.col("shingles").alias("sb"))
     partial = (near.join(left, "a").join(right, ["b", "fragment"])
@@ -228,12 +249,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     levels = spark.sparkContext.broadcast(count_levels(docs, text, slot_bits))
     rows, path = written(sketches(docs, doc_id, text, levels, slot_bits, percent), "sketches")
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-
-    # Classes that share an early shingle with another class.
-    early = (known.select("class", F.explode("early").alias("shingle"))
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle"))
-    shared = early.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     paths = [path]
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -241,17 +256,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         paths.append(at)
         return df
 
+    # Classes that share an early shingle with another class.
+    early = (known.select("class", F.explode("early").alias("shingle"))
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle"))
+    shared = early.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     buckets = kept(early.join(shared.select("shingle").hint("shuffle_hash"), "shingle")
                    .select("shingle", "class", F.col("class").alias("part")).distinct(), "buckets")
-    active = buckets.select("class").distinct()
-    wanted = kept(classes.join(active, "class"), "wanted")
-    ids = wanted.select("doc_id", "class")
-    sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids,
-                         levels, slot_bits), "sets")
+    classes = known.groupBy("class").agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "last")])
+    fronts = kept(buckets.groupBy("class").agg(F.collect_list("shingle").alias("early")).join(classes, "class"), "fronts")
 
     def joined(pairs: DataFrame) -> DataFrame:
-        links = checkpoint(similar(pairs, sets, wanted, percent))
-        return kept(relabelled(buckets, links), "buckets")
+        near = kept(promising(pairs, fronts, percent), "pairs")
+        members = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        ids = kept(fronts.select("doc_id", "class").join(members, "class"), "members")
+        sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids,
+                             levels, slot_bits), "sets")
+        return kept(relabelled(buckets, checkpoint(similar(near, sets, percent))), "buckets")
 
     for pivot in ("min", "max"):
         ends = buckets.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"),
