@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from termflow.llm.ann import op5_nearest_neighbours
 from termflow.llm.bpe import op3_bpe_encoding
+from termflow.llm.html import op1_html_extraction
 from termflow.llm.jaccard import op2_ngram_jaccard_join
 from termflow.llm.packing import op10_best_fit_packing
 from termflow.llm.secrets import op4_secret_scans
@@ -14,6 +15,7 @@ from termflow.llm.warc import ORACLE_SQL as WARC_SQL, op7_warc_archives
 from termflow.llm.wavelet import op9_wavelet_token_files
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_encoding": op3_bpe_encoding,
     "op4_secret_scans": op4_secret_scans,
