@@ -48,6 +48,7 @@ TABLE_DEPTH, COLUMN = 40, 80
 _SPACE = " \t\n\r\f"
 _NAME = re.compile(r"[a-zA-Z][^\t\n\f\r />]*")
 _ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>=][^\s/>=]*+|=[^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?""")
+_OPEN_QUOTE = re.compile(r"[ \t\n\r\f]*+=[ \t\n\r\f]*+[\"']")
 _RULE = re.compile(r"([^{}]*+)\{([^{}]*+)\}")
 _SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
 
@@ -70,6 +71,8 @@ def attributes_of(page: str, at: int) -> tuple[dict[str, str], int]:
     while True:
         m = _ATTRIBUTE.match(page, at)
         if m:
+            if m[2] is None and _OPEN_QUOTE.match(page, m.end()):
+                return {}, -1  # a quoted value without end
             value = m[2] or ""
             if value[:1] in ("'", '"') and value:
                 value = value[1:-1]
@@ -82,8 +85,6 @@ def attributes_of(page: str, at: int) -> tuple[dict[str, str], int]:
             return {}, -1
         if page[at] == ">":
             return found, at + 1
-        if page[at] in "\"'" and page.find(page[at], at + 1) < 0:
-            return {}, -1  # a quoted value without end
         at += 1
 
 
