@@ -41,17 +41,15 @@ SHARD_TOKENS = 4 << 20
 
 def build(ids: np.ndarray) -> tuple[list[np.ndarray], list[int], int]:
     """The packed planes of an array of ids, each plane's zeros, and their number."""
-    n, planes, zeros = len(ids), [], []
-    height = max(1, int(ids.max()).bit_length()) if n else 1
+    planes, zeros = [], []
+    height = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     now = ids.astype(np.uint16 if height <= 16 else np.uint32)
     for level in range(height - 1, -1, -1):
-        one = (now & now.dtype.type(1 << level)) != 0
+        one = (now & now.dtype.type(1 << level)).astype(bool)
         planes.append(np.packbits(one))
-        z = n - int(np.count_nonzero(one))
-        zeros.append(z)
-        after = np.empty_like(now)
-        after[:z], after[z:] = now[~one], now[one]
-        now = after
+        low, high = np.flatnonzero(~one), np.flatnonzero(one)
+        zeros.append(len(low))
+        now = np.concatenate([now.take(low), now.take(high)])
     return planes, zeros, height
 
 
@@ -61,9 +59,11 @@ def restore(planes: list[np.ndarray], zeros: list[int], n: int) -> np.ndarray:
     now = np.zeros(n, np.uint16 if height <= 16 else np.uint32)
     for level, (plane, z) in enumerate(zip(reversed(planes), reversed(zeros))):
         one = np.unpackbits(plane, count=n).view(bool)
+        now[z:] |= now.dtype.type(1 << level)
         before = np.empty_like(now)
-        before[~one] = now[:z]
-        before[one] = now[z:] | now.dtype.type(1 << level)
+        before[one] = now[z:]
+        np.logical_not(one, out=one)
+        before[one] = now[:z]
         now = before
     return now
 

@@ -104,7 +104,7 @@ class WordTable:
     """
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 limit: int = 600_000):
+                 limit: int = 2_000_000):
         self.encode_new, self.limit = encode_new, limit
         self.clear()
 
