@@ -36,6 +36,8 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 STATES = len(ALPHABET) + 1
 MASK = "[SECRET]"
+#: Counts that a character's own frequency weighs in a state.
+BACK_OFF = 8
 NO_SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -129,9 +131,16 @@ def fit(samples: DataFrame) -> list[float]:
         counts[r["label"]][r["pair"]] = r["count"]
     if not any(counts[0]) or not any(counts[1]):
         return [0.0] * STATES**2
+    single = [[sum(c[a * STATES + b] for a in range(STATES)) for b in range(STATES)] for c in counts]
     after = [[sum(c[a * STATES:(a + 1) * STATES]) for a in range(STATES)] for c in counts]
-    return [log((counts[1][p] + 1) / (after[1][p // STATES] + STATES))
-            - log((counts[0][p] + 1) / (after[0][p // STATES] + STATES)) for p in range(STATES**2)]
+
+    def log_probability(label: int, pair: int) -> float:
+        """A character after a state; rare states fall back on how frequent the character is."""
+        state, char = divmod(pair, STATES)
+        alone = (single[label][char] + 1) / (sum(single[label]) + STATES)
+        return log((counts[label][pair] + BACK_OFF * alone) / (after[label][state] + BACK_OFF))
+
+    return [log_probability(1, p) - log_probability(0, p) for p in range(STATES**2)]
 
 
 def log_ratio(token: Column, ratios: list[float]) -> Column:
