@@ -5,8 +5,8 @@ The other pieces are dealt at random into shards of a bounded number of pieces.
 A shard is packed best fit first, and a local search between underfull bins then
 moves a document, exchanges one for one or two for one, always so that the sum
 of squared fills grows, until bins run empty or no exchange helps. The bins that
-stay underfull are dealt into fewer shards and packed again, until one shard
-holds all that is left. Work and memory of a task are those of one shard.
+stay least filled, with up to 1/8 of the pieces, are dealt into fewer shards and
+packed again, until one shard holds all that is left. Work and memory of a task are those of one shard.
 
 Defined results: a null or empty text is one piece that holds the end id alone;
 every row is packed, repeated rows and rows with equal or null ids each for
@@ -168,6 +168,21 @@ def pack_shard(length: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
     return where, offset, np.bincount(where, length)[where].astype(np.int64)
 
 
+def left_over(where: np.ndarray, fill: np.ndarray, capacity: int) -> np.ndarray:
+    """The pieces to pack again with those of other shards: the least filled bins
+    that leave more than 1/64 free, up to 1/8 of the pieces, so that each round
+    has at most 1/8 of the last one's; the least filled bin in any case."""
+    by_fill = np.lexsort((where, fill))
+    again = np.arange(1, len(where) + 1) * 8 <= len(where)
+    again &= fill[by_fill] * 64 < capacity * 63
+    some = np.unique(where[by_fill[again]])
+    # A bin goes whole or not at all.
+    some = some[np.isin(some, where[by_fill[~again]], invert=True)]
+    if not len(some) and len(where) > 1:
+        some = where[by_fill[:1]]
+    return np.isin(where, some)
+
+
 def packer(capacity: int, level: int, last: bool):
     """Packs the pieces of one shard, given as a table with a column ``shard``."""
 
@@ -178,7 +193,7 @@ def packer(capacity: int, level: int, last: bool):
                                if pa.types.is_integer(group[c].type)])
         length = group["length"].to_numpy()
         where, offset, fill = pack_shard(length, capacity)
-        settled = np.full(len(length), last) | (fill * 64 >= capacity * 63) & (fill > fill.min())
+        settled = np.full(len(length), last) | ~left_over(where, fill, capacity)
         number = (level << 56) + (key[0].as_py() << 20) + where
         for name, column in (("sequence_id", number), ("offset", offset), ("settled", settled)):
             group = group.append_column(name, pa.array(column))
@@ -189,20 +204,21 @@ def packer(capacity: int, level: int, last: bool):
 
 def pack(pieces: DataFrame, capacity: int, shard: int = SHARD) -> DataFrame:
     """``pieces`` (with a column ``length`` of 1 to ``capacity``) with the columns
-    ``sequence_id`` and ``offset``. Bins that leave more than 1/64 of a sequence
-    free, and the least filled one of a shard, are packed again with those of others."""
+    ``sequence_id`` and ``offset``."""
     columns = pieces.columns
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, " \
              "sequence_id bigint, offset bigint, settled boolean"
     pieces = checkpoint(pieces)
     out = pieces.where(F.col("length") >= capacity).select(
         *columns, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest, level = pieces.where(F.col("length") < capacity), 0
+    rest, level, before = pieces.where(F.col("length") < capacity), 0, None
     while True:
         n = rest.count()
         shards = max(1, -(-n // shard))
         level += 1
-        last = shards == 1 and level > 1 or n <= shard
+        # What no longer shrinks is settled where it is.
+        last = n <= shard or before is not None and 2 * n > before
+        before = n
 
         key = F.pmod(F.xxhash64(F.lit(level), *[c for c in columns if c != "length"]), F.lit(shards)).alias("shard")
         got = checkpoint(rest.select(*columns, key).repartition(shards, "shard").groupBy("shard").applyInArrow(packer(capacity, level, last), schema))
