@@ -7,9 +7,11 @@ a Jaccard similarity of at least t share a shingle among the first
 ``n - ceil(t * n) + 1`` of either, so only documents that meet there can link.
 
 The order is cut into fragments. For a candidate pair the overlap is counted in
-each fragment by itself, and the partial counts are summed per pair. The early
-shingles are counted first: a pair that cannot reach t with all that may follow
-is dropped there, and only the sets of the others are cut and sent.
+each fragment by itself, and the partial counts are summed per pair. Before that,
+exact bounds drop pairs that cannot reach t: their sizes, the parities of their
+shingles on 512 bits (sets differ in at least as many shingles as in bits), and
+the overlap of their early shingles with all that may follow. Only the sets of
+pairs that are left are cut and sent.
 
 Equal sets are one class and stand for all their copies. In a bucket of classes
 that share an early shingle, all are first compared with the smallest one, then,
@@ -49,6 +51,9 @@ SLOT_BITS = 24
 FRAGMENTS = 8
 #: Rows of ids that may be broadcast: 16 MB.
 BROADCAST_IDS = 1_000_000
+#: 64-bit words of parities.
+PARITY = 8
+BITS = tuple(f"bits{i}" for i in range(PARITY))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,8 +146,8 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent: int) -> DataFrame:
-    """Rows of id, set size, class, where the early shingles end in the order, and
-    the early shingles; of the copies that one task meets only the first has these."""
+    """Rows of id, set size, class, where the early shingles end in the order, the
+    parities of the set, and the early shingles; of the copies that one task meets only the first has these."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
@@ -165,13 +170,25 @@ def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent
             some = n > 0
             end = value[ends[:-1][some] + prefix_size(n, percent)[some] - 1]
             last[some] = level[slots(end, bits)].astype(np.int64) << 56 | (end >> np.uint64(8)).astype(np.int64)
+            parity = parities(value, row, len(n))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(of), pa.array(last),
+                 *[pa.array(parity[:, i].copy()) for i in range(PARITY)],
                  pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value[at].view(np.int64)))],
-                ["doc_id", "n", "class", "last", "early"])
+                ["doc_id", "n", "class", "last", *BITS, "early"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(
-        sketch, "doc_id bigint, n bigint, class bigint, last bigint, early array<bigint>")
+        sketch, f"doc_id bigint, n bigint, class bigint, last bigint, {', '.join(f'{b} bigint' for b in BITS)}, "
+                "early array<bigint>")
+
+
+def parities(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each set, ``64 * PARITY`` bits: of a hash of its shingles, how many fall
+    on the bit, odd or even. A shingle that only one of two sets has changes one
+    bit, so two sets differ in as many shingles at least as in bits."""
+    bit = (mix(value ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)).astype(np.int64) * (64 * PARITY) >> 32
+    odd = np.bincount(row * (64 * PARITY) + bit, minlength=rows * 64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(rows, PARITY)
 
 
 def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels, bits: int) -> DataFrame:
@@ -202,22 +219,41 @@ def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels,
         cut_sets, "class bigint, fragment int, shingles array<bigint>")
 
 
-def promising(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that can link by their sizes and the overlap of
-    their early shingles. All shingles that they share up to the first end of the
-    two are among these; of the others the set that ends first has no more than it
-    has late shingles."""
-    def front(c: str) -> DataFrame:
-        return fronts.select(F.col("class").alias(c), *[F.col(x).alias(x + c) for x in ("n", "last", "early")])
+def can_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can link by their sizes and parities; the columns of the
+    two have the prefixes ``a`` and ``b``."""
+    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum((F.bit_count(F.col(a + x).bitwiseXOR(F.col(b + x))) for x in BITS), F.lit(0))
+    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            # 100 * common >= percent * union, with common = (na + nb - apart) / 2 at most
+            & (100 * (na + nb - apart) >= percent * (na + nb + apart)))
+
+
+def prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(prefix + c) for c in columns])
+
+
+def promising(pairs: DataFrame, fronts: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes of different parts that can link by their sizes,
+    parities and the overlap of their early shingles. All shingles that they share
+    up to the first end of the two are among these; of the others the set that ends
+    first has no more than it has late shingles."""
+    known = fronts.drop("early", "last", "doc_id").join(parts, "class")
+    columns = ("class", "n", "part", *BITS)
+    near = (pairs.join(prefixed(known, "a_", *columns), F.col("a") == F.col("a_class"))
+            .join(prefixed(known, "b_", *columns), F.col("b") == F.col("b_class"))
+            .where((F.col("a_part") != F.col("b_part")) & can_link("a_", "b_", percent)).select("a", "b"))
 
     def late(c: str) -> str:
-        return f"((n{c} * {percent} + 99) div 100 - 1)"
-    sized = (pairs.join(front("a"), "a").join(front("b"), "b")
-             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    most = sized.withColumn("most", F.size(F.array_intersect("earlya", "earlyb")) + F.expr(
-        f"CASE WHEN lasta < lastb THEN {late('a')} WHEN lastb < lasta THEN {late('b')} "
-        f"ELSE greatest({late('a')}, {late('b')}) END"))
-    return most.where(100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).select("a", "b", "na", "nb")
+        return f"(({c}n * {percent} + 99) div 100 - 1)"
+    columns = ("class", "n", "last", "early")
+    fully = (near.join(prefixed(fronts, "a_", *columns), F.col("a") == F.col("a_class"))
+             .join(prefixed(fronts, "b_", *columns), F.col("b") == F.col("b_class"))
+             .select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb"),
+                     (F.size(F.array_intersect("a_early", "b_early")) + F.expr(
+                         f"CASE WHEN a_last < b_last THEN {late('a_')} WHEN b_last < a_last THEN {late('b_')} "
+                         f"ELSE greatest({late('a_')}, {late('b_')}) END")).alias("most")))
+    return fully.where(100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).drop("most")
 
 
 def similar(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -232,13 +268,12 @@ def similar(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def relabelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """``buckets`` (shingle, class, part) with the parts that the links join made one."""
-    parts = buckets.select("class", "part").distinct()
-    edges = (links.join(parts.withColumnsRenamed({"class": "a", "part": "pa"}), "a")
-             .join(parts.withColumnsRenamed({"class": "b", "part": "pb"}), "b").select("pa", "pb"))
+def relabelled(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (class, part) with the parts that the links join made one."""
+    edges = (links.join(prefixed(parts, "a_", "class", "part"), F.col("a") == F.col("a_class"))
+             .join(prefixed(parts, "b_", "class", "part"), F.col("b") == F.col("b_class")).select("a_part", "b_part"))
     roots = star_roots(edges).withColumnsRenamed({"node": "part"})
-    return buckets.join(roots, "part", "left").select("shingle", "class", F.coalesce("root", "part").alias("part"))
+    return parts.join(roots, "part", "left").select("class", F.coalesce("root", "part").alias("part"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
@@ -256,44 +291,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         paths.append(at)
         return df
 
-    # Classes that share an early shingle with another class.
+    # Buckets: classes that share an early shingle, with how many share it, and
+    # the smallest and the largest of them.
     early = (known.select("class", F.explode("early").alias("shingle"))
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle"))
-    shared = early.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    buckets = kept(early.join(shared.select("shingle").hint("shuffle_hash"), "shingle")
-                   .select("shingle", "class", F.col("class").alias("part")).distinct(), "buckets")
-    classes = known.groupBy("class").agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "last")])
-    fronts = kept(buckets.groupBy("class").agg(F.collect_list("shingle").alias("early")).join(classes, "class"), "fronts")
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle").distinct())
+    shared = early.groupBy("shingle").agg(F.count("*").alias("size"), F.min("class").alias("low"),
+                                          F.max("class").alias("high")).where("size > 1")
+    buckets = kept(early.join(shared.hint("shuffle_hash"), "shingle"), "buckets")
+    active = buckets.groupBy("class").agg(F.collect_list("shingle").alias("early"))
+    facts = known.groupBy("class").agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "last", *BITS)])
+    fronts = kept(active.join(facts, "class"), "fronts")
+    parts = fronts.select("class", F.col("class").alias("part"))
 
     def joined(pairs: DataFrame) -> DataFrame:
-        near = kept(promising(pairs, fronts, percent), "pairs")
+        near = kept(promising(pairs, fronts, parts, percent), "pairs")
         members = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         ids = kept(fronts.select("doc_id", "class").join(members, "class"), "members")
         sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids,
                              levels, slot_bits), "sets")
-        return kept(relabelled(buckets, checkpoint(similar(near, sets, percent))), "buckets")
+        return kept(relabelled(parts, checkpoint(similar(near, sets, percent))), "parts")
 
-    for pivot in ("min", "max"):
-        ends = buckets.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"),
-                                              F.expr(f"{pivot}_by(struct(class, part), class)").alias("pivot"))
-        buckets = joined(
-            buckets.join(ends.where("low < high"), "shingle").where("part <> pivot.part")
-            .select(F.least("class", "pivot.class").alias("a"), F.greatest("class", "pivot.class").alias("b")).distinct())
+    # All with a bucket's smallest class, then the others with its largest.
+    parts = joined(buckets.where("class <> low").select(F.col("low").alias("a"), F.col("class").alias("b")).distinct())
+    parts = joined(buckets.where("class <> low AND class <> high").select(
+        F.col("class").alias("a"), F.col("high").alias("b")).distinct())
 
-    # All pairs across components; the largest component of a bucket only as partner.
-    most = (buckets.groupBy("shingle", "part").count()
+    # All other pairs across components; a bucket's largest component only as partner.
+    rest = (buckets.where("class <> low AND class <> high AND size > 3").select("shingle", "class")
+            .join(fronts.select("class", "n", *BITS).join(parts, "class"), "class"))
+    most = (rest.groupBy("shingle", "part").count()
             .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"))
-            .where("parts > 1"))
-    left = buckets.join(most, "shingle").where("part <> largest").select(
-        "shingle", F.col("class").alias("l"), F.col("part").alias("pl"), "largest")
-    right = buckets.select("shingle", F.col("class").alias("r"), F.col("part").alias("pr"))
-    buckets = joined(left.join(right, "shingle").where("pl <> pr AND (pr = largest OR l < r)")
-                     .select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct())
+            .where("parts > 1").select("shingle", "largest"))
+    columns = ("shingle", "class", "part", "n", *BITS)
+    left = prefixed(rest.join(most, "shingle").where("part <> largest"), "l_", *columns, "largest")
+    across = left.join(prefixed(rest, "r_", *columns), (
+        F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_part") != F.col("r_part")) & (
+        (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent))
+    parts = joined(across.select(F.least("l_class", "r_class").alias("a"), F.greatest("l_class", "r_class").alias("b")).distinct())
 
     # Classes to components, components to their smallest id; rows of one id are one document.
-    part_of = buckets.select("class", "part").distinct()
     part = F.coalesce("part", "class")
-    of = known.select("doc_id", "class").join(part_of, "class", "left").select("doc_id", part.alias("part"))
+    of = known.select("doc_id", "class").join(parts, "class", "left").select("doc_id", part.alias("part"))
     several = of.groupBy("doc_id").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     if not several.isEmpty():
         edges = of.join(several, "doc_id").where("part <> low").select("low", "part")
