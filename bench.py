@@ -7,8 +7,8 @@ Each query is run to completion with the ``noop`` sink (every row computed,
 nothing collected on the driver). The session start and a warm-up of the
 same code paths on the smallest data set (sf0.001: JIT, code generation,
 Spark ML class loading) are not timed, so the numbers are steady-state.
-``lda_scores`` is the whole text pipeline: tokens, vocabulary, vectors,
-online LDA, topics, merged top scores.
+``lda_text_topics`` is the whole text pipeline: tokens, vocabulary, vectors, EM
+over every document, described topics.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from termflow.operators.topics import FEATURE_PARTITIONS  # noqa: E402
 from termflow.plans import QUERIES  # noqa: E402
 from termflow.session import local_session  # noqa: E402
 
@@ -33,7 +34,8 @@ HEADLINE = [
     "top_terms_by_label",
     "top_scores",
     "price_position",
-    "lda_scores",
+    "lda_numeric",
+    "lda_text_topics",
 ]
 WARMUP_DIR = "/root/testdata/sf0.001"
 
@@ -47,7 +49,7 @@ def main() -> None:
                                  "spark.driver.memory": "16g"})
     # Untimed warm-up on the smallest data: JIT and code generation, not query work.
     if os.path.isdir(WARMUP_DIR):
-        for name in ("term_counts", "price_position", "lda_scores"):
+        for name in ("term_counts", "price_position", "lda_numeric"):
             QUERIES[name](spark, WARMUP_DIR).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in only:
@@ -57,7 +59,8 @@ def main() -> None:
         print(f"# {name}: {times[name]:.2f}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+                      "unit": "sec", "queries": times,
+                      "feature_partitions": FEATURE_PARTITIONS, "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 
 

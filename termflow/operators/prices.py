@@ -51,15 +51,20 @@ def read_price_csv(spark, path: str, symbol: str) -> DataFrame:
     """A CSV export as price records ``symbol, timestamp, open, high, low,
     close, volume`` (``Adj Close`` dropped), oldest first."""
     df = spark.read.csv(path, header=True, schema=CSV_SCHEMA)
-    return oldest_first(df.select(
-        F.lit(symbol).alias("symbol"), F.col("Date").alias("timestamp"),
-        F.col("Open").alias("open"), F.col("High").alias("high"), F.col("Low").alias("low"),
-        F.col("Close").alias("close"), F.col("Volume").alias("volume")))
+    return oldest_first(csv_records(df.withColumn("symbol", F.lit(symbol))))
+
+
+def csv_records(rows: DataFrame) -> DataFrame:
+    """Rows of the export's columns and a symbol as price records."""
+    return rows.select("symbol", F.col("Date").alias("timestamp"),
+                       F.col("Open").alias("open"), F.col("High").alias("high"),
+                       F.col("Low").alias("low"), F.col("Close").alias("close"),
+                       F.col("Volume").alias("volume"))
 
 
 def oldest_first(records: DataFrame) -> DataFrame:
     """The export is newest first; replay needs time order."""
-    return records.orderBy(F.to_date("timestamp"), "symbol")
+    return records.orderBy(F.to_timestamp("timestamp"), "symbol")
 
 
 def _micros(ts_col: str, dtype: T.DataType) -> Column:
@@ -133,17 +138,18 @@ def batch_stats(records: DataFrame, batch_col: str | None = None, batch_days: in
     ``digits`` rounds the means (for display or exact comparison).
     """
     batch = F.col(batch_col) if batch_col else batch_of_days("timestamp", batch_days)
-    # Keys as DATE (fixed width) keep every aggregate in a hash aggregate.
-    day = F.to_date("timestamp")
+    # The last record by its full time; of several of one time the one with the
+    # highest close.
+    last = F.max(F.struct(F.to_timestamp("timestamp").alias("t"), F.col("close"),
+                          F.col("timestamp").alias("given")))
     return (records.groupBy("symbol", batch.alias("batch_id"))
-            .agg(F.max(day).alias("_last"),
+            .agg(last.alias("_last"),
                  _mean("high", digits).alias("meanHigh"), _mean("low", digits).alias("meanLow"),
                  _mean("open", digits).alias("meanOpen"), _mean("close", digits).alias("meanClose"),
-                 _mean("volume", digits).alias("meanVolume"),
-                 F.max_by("close", day).alias("lastClose"))
+                 _mean("volume", digits).alias("meanVolume"))
             .select("symbol", "batch_id",
-                    F.date_format("_last", "yyyy-MM-dd").alias("lastTimestamp"),
-                    "meanHigh", "meanLow", "meanOpen", "meanClose", "meanVolume", "lastClose"))
+                    F.col("_last.given").alias("lastTimestamp"), "meanHigh", "meanLow", "meanOpen",
+                    "meanClose", "meanVolume", F.col("_last.close").alias("lastClose")))
 
 
 def aggregated_stat() -> Column:

@@ -13,18 +13,24 @@ parameter so results repeat.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, DistributedLDAModel, LocalLDAModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termflow.functions.constants import (NUMERIC_TOPIC_COUNT, TAIL_DROP, TERMS_PER_TOPIC,
                                           TOPIC_COUNT)
 from termflow.operators.tokens import doc_terms, explode_items
-from termflow.operators.vectors import vectorizer
-from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
+from termflow.operators.vectors import sparse_vectors, term_table
+from termflow.session import checkpoint, ensure_checkpoint_dir
+
+
+#: Partitions of the features that a model is fitted on; with the seed they fix
+#: the start of EM. Set it to a small multiple of the cluster's cores.
+FEATURE_PARTITIONS = 16
 
 
 @dataclass
@@ -37,6 +43,8 @@ class TopicFit:
 
 def lda(k: int, optimizer: str = "em", max_iter: int = 20, seed: int | None = 42,
         checkpoint_interval: int = 10, **params) -> LDA:
+    if optimizer == "online":
+        params = {"subsamplingRate": 1.0, **params}  # every document in every iteration
     est = LDA(k=k, optimizer=optimizer, maxIter=max_iter,
               checkpointInterval=checkpoint_interval, featuresCol="features", **params)
     if seed is not None:
@@ -47,50 +55,37 @@ def lda(k: int, optimizer: str = "em", max_iter: int = 20, seed: int | None = 42
 def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None = "doc_id",
                     k: int = TOPIC_COUNT, optimizer: str = "em", max_iter: int = 20,
                     seed: int | None = 42, drop: int = TAIL_DROP, end: str = "tail",
-                    normalize: bool = True, max_vocab: int = 1 << 22,
+                    normalize: bool = True, partitions: int = FEATURE_PARTITIONS,
                     **lda_params) -> TopicFit:
-    """Fit LDA on a corpus of documents (one row per document).
-
-    The vocabulary is the whole corpus vocabulary (minus the dropped
-    terms). ``max_vocab`` is a guard, not a cut: a larger vocabulary raises
-    instead of silently exhausting driver memory.
-    """
+    """Fit LDA on a corpus of documents, with its whole vocabulary minus the
+    dropped terms. Rows of one id are one document."""
     terms = doc_terms(docs, text_col, id_col, normalize)
-    return fit_term_topics(terms, id_col, k, optimizer, max_iter, seed, drop, end, max_vocab,
+    return fit_term_topics(terms, id_col, k, optimizer, max_iter, seed, drop, end, partitions,
                            **lda_params)
 
 
 def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TOPIC_COUNT,
                     optimizer: str = "em", max_iter: int = 20, seed: int | None = 42,
-                    drop: int = TAIL_DROP, end: str = "tail", max_vocab: int = 1 << 22,
+                    drop: int = TAIL_DROP, end: str = "tail", partitions: int = FEATURE_PARTITIONS,
                     **lda_params) -> TopicFit:
     """:func:`fit_text_topics` from already tokenised documents
-    (``terms ARRAY<STRING>``, e.g. stored with a stream's corpus)."""
-    from termflow.session import ensure_checkpoint_dir
+    (``terms ARRAY<STRING>``, e.g. stored with a stream's corpus).
 
+    The features come from the ``(doc, term, count)`` table; neither they nor
+    the vocabulary pass through the driver. EM keeps its state in distributed
+    vertices; the online optimizer keeps k x vocabulary numbers on the driver.
+    """
     ensure_checkpoint_dir(terms.sparkSession)  # EM / long fits checkpoint their state
-    # One read of the term arrays feeds both the counts and the vectors.
-    terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
-    features = None
+    if id_col is None:
+        id_col = "_doc"
+        terms = checkpoint(terms.withColumn(id_col, F.monotonically_increasing_id()))
+    tf, vocab, size = term_table(explode_items(terms, "terms", "term", keep=(id_col,)), id_col,
+                                 drop, end)
+    features = sparse_vectors(tf, terms, size, partitions, id_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = (explode_items(terms, "terms", "term")
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
-        ranked = rank_terms(counts)
-        vocab = vocabulary_from_ranked(ranked, drop, end)
-        size = ranked.total - drop
-        if size > max_vocab:
-            raise ValueError(f"vocabulary of {size} terms exceeds max_vocab={max_vocab}: "
-                             "LDA keeps vocab x k doubles on the driver")
-        ids = [id_col] if id_col else []
-        features = (vectorizer(vocab, size).transform(terms).select(*ids, "features")
-                    .persist(StorageLevel.MEMORY_AND_DISK))
-        features.count()  # materialise, then free the term arrays before the fit
-        terms.unpersist()
         model = lda(k, optimizer, max_iter, seed, **lda_params).fit(features)
     finally:
-        terms.unpersist()
-        if features is not None:
-            features.unpersist()
+        features.unpersist()
     return TopicFit(model, vocab, size)
 
 
@@ -110,34 +105,44 @@ def describe_topics(fit: TopicFit, terms_per_topic: int = TERMS_PER_TOPIC) -> Da
             .select("topic", "rank", "term_idx", "term", "weight"))
 
 
-def topics_matrix(model, spark: SparkSession, max_cells: int = 10_000_000) -> DataFrame:
+def topics_matrix(model, spark: SparkSession) -> DataFrame:
     """The vocab x k topic matrix in long form ``topic, term_idx, weight``.
 
-    The matrix is the model's own driver-side state (``topicsMatrix``); it
-    is handed to Spark through Arrow, and refused above ``max_cells``
-    (use :func:`describe_topics` for large vocabularies).
+    An EM model is saved to the checkpoint folder and its term vertices are
+    read back as a table, so the matrix never meets in one place. (A saved
+    model keeps a term's vertex under the number ``-term_idx - 1``.) An online
+    model has its matrix on the driver, which hands it to Spark.
     """
+    if isinstance(model, DistributedLDAModel):
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lda-{uuid.uuid4().hex}"
+        model.write().save(path)
+        vertices = spark.read.parquet(f"{path}/oldModel/data/topicCounts").where("id < 0")
+        return vertices.select(
+            (-F.col("id") - 1).alias("term_idx"),
+            F.posexplode(vector_to_array("topicWeights")).alias("topic", "weight")).select(
+            "topic", "term_idx", "weight")
     import numpy as np
     import pandas as pd
 
     m = model.topicsMatrix().toArray()
     v, k = m.shape
-    if v * k > max_cells:
-        raise ValueError(f"topic matrix of {v} x {k} exceeds max_cells={max_cells}")
     pdf = pd.DataFrame({"topic": np.repeat(np.arange(k, dtype=np.int32), v),
-                        "term_idx": np.tile(np.arange(v, dtype=np.int32), k),
+                        "term_idx": np.tile(np.arange(v, dtype=np.int64), k),
                         "weight": m.T.reshape(-1).astype(np.float64)})
-    return spark.createDataFrame(pdf, "topic int, term_idx int, weight double")
+    return spark.createDataFrame(pdf, "topic int, term_idx long, weight double")
 
 
 def fit_numeric_topics(vectors: DataFrame, values_col: str = "values",
                        k: int = NUMERIC_TOPIC_COUNT, optimizer: str = "em",
-                       max_iter: int = 20, seed: int | None = 42, **lda_params):
-    """LDA on rows of numeric term counts ``ARRAY<DOUBLE>`` (dense)."""
-    from termflow.session import ensure_checkpoint_dir
-
+                       max_iter: int = 20, seed: int | None = 42, id_col: str = "id",
+                       partitions: int = FEATURE_PARTITIONS, **lda_params):
+    """LDA on rows of numeric term counts ``ARRAY<DOUBLE>`` (dense). Rows are
+    dealt by id into a fixed number of partitions, as for text."""
     ensure_checkpoint_dir(vectors.sparkSession)
-    feats = vectors.withColumn("features", array_to_vector(values_col)).persist()
+    key = [id_col] if id_col in vectors.columns else []
+    feats = (vectors.withColumn("features", array_to_vector(values_col))
+             .repartition(partitions, *key or [values_col])
+             .sortWithinPartitions(*key, values_col).persist())
     try:
         return lda(k, optimizer, max_iter, seed, **lda_params).fit(feats)
     finally:
@@ -150,8 +155,9 @@ def save_model(model, path: str) -> None:
 
 def load_model(path: str):
     """Load an LDA model saved by :func:`save_model` (EM → distributed,
-    online → local)."""
-    try:
-        return DistributedLDAModel.load(path)
-    except Exception:  # noqa: BLE001 - the other class reads the other kind
-        return LocalLDAModel.load(path)
+    online → local), by the class that its metadata names."""
+    from pyspark.ml.util import DefaultParamsReader
+
+    spark = SparkSession.getActiveSession()
+    kind = DefaultParamsReader.loadMetadata(path, spark)["class"]
+    return (DistributedLDAModel if kind.endswith("DistributedLDAModel") else LocalLDAModel).load(path)

@@ -4,115 +4,107 @@ Two forms:
 
 * SQL form, ``doc_id, term_idx, tf`` (coordinate rows): fully distributed,
   any vocabulary size, checked exactly against SQL.
-* ML form, ``doc_id, features`` (sparse ``Vector``) for Spark ML, made by a
-  ``CountVectorizerModel`` built from the vocabulary frame.
+* ML form, ``doc_id, features`` (sparse ``Vector``) for Spark ML, assembled
+  from the coordinate rows; no vocabulary passes through one task or the driver.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from termflow.functions.constants import TAIL_DROP
-from termflow.operators.joins import MAX_BROADCAST_ROWS
+from termflow.operators.joins import MAX_BROADCAST_BYTES, head_that_fits
 from termflow.operators.tokens import term_tokens
 from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
-from termflow.session import checkpoint, delete_path, ensure_checkpoint_dir
+from termflow.session import checkpoint, ensure_checkpoint_dir
 
 
 def doc_term_tf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
-                vocab_rows: int | None = None,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                vocab_rows: int = 0, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Term occurrences ``id_col, term`` → ``id_col, term_idx, tf`` for terms
-    in the vocabulary.
+    in the vocabulary of ``vocab_rows`` rows.
 
     With a broadcastable vocabulary the join runs map-side first, so the
-    aggregate shuffles small ``(doc, int)`` keys and out-of-vocabulary tokens
+    aggregate shuffles small ``(doc, number)`` keys and out-of-vocabulary tokens
     never reach the shuffle. Otherwise tokens are first folded per
     ``(doc, term)`` and looked up with :func:`head_tail_lookup`.
     """
-    if vocab_rows is not None and vocab_rows <= max_broadcast_rows:
+    head = head_that_fits(vocab, vocab_rows, max_broadcast_bytes)
+    if 0 < vocab_rows <= head:
         joined = tokens.join(F.broadcast(vocab.select("term", "term_idx")), "term")
         return joined.groupBy(id_col, "term_idx").agg(F.count(F.lit(1)).alias("tf"))
     per_doc = tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    return head_tail_lookup(per_doc, vocab, max_broadcast_rows).select(
-        id_col, "term_idx", "tf")
-
-
-def vectorizer(vocab: DataFrame, size: int, terms_col: str = "terms",
-               output_col: str = "features") -> CountVectorizerModel:
-    """A ``CountVectorizerModel`` whose index i is the vocabulary row with
-    ``term_idx = i``, built without passing the terms through Python.
-
-    ``CountVectorizerModel.from_vocabulary`` fills the JVM array with one
-    gateway call per term (about 40 s for 250k terms). Instead a one-term
-    model is saved with the ML writer, its ``data`` (one row, column
-    ``vocabulary``) is replaced by the vocabulary array that Spark assembles
-    in index order, and the model is loaded back. The files go to the
-    session's checkpoint folder, so every node sees them.
-
-    The array is assembled in one task and the model holds it on the driver
-    and broadcasts it to every task, as any ``CountVectorizerModel`` does;
-    callers bound ``size`` (``fit_term_topics`` refuses more than
-    ``max_vocab`` terms).
-    """
-    if size <= 0:
-        raise ValueError("empty vocabulary")
-    spark = vocab.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vectorizer-{uuid.uuid4().hex}"
-    stub = CountVectorizerModel.from_vocabulary(["_"], inputCol=terms_col, outputCol=output_col)
-    stub.write().overwrite().save(path)
-    # sort_array orders the structs by term_idx (array_sort with its
-    # default comparator was 4x slower on 250k entries)
-    words = vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("term_idx", "term"))),
-                                  lambda x: x["term"]).alias("vocabulary"))
-    words.write.mode("overwrite").parquet(f"{path}/data")
-    model = CountVectorizerModel.load(path)  # reads the vocabulary into the model
-    delete_path(spark, path)
-    model.set(model.vocabSize, size)
-    return model
-
-
-def list_vectorizer(vocab_terms: list[str], terms_col: str = "terms",
-                    output_col: str = "features") -> CountVectorizerModel:
-    """A ``CountVectorizerModel`` over a short driver-side list."""
-    return CountVectorizerModel.from_vocabulary(vocab_terms, inputCol=terms_col,
-                                                outputCol=output_col)
+    return head_tail_lookup(per_doc, vocab, head).select(id_col, "term_idx", "tf")
 
 
-def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                   normalize: bool = True, drop: int = TAIL_DROP, end: str = "tail",
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                   ) -> tuple[DataFrame, DataFrame, int]:
-    """Documents → ``(tf, vocab, vocab_rows)`` with one pass over the corpus.
+def term_table(tokens: DataFrame, id_col: str = "doc_id", drop: int = TAIL_DROP, end: str = "tail",
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame, int]:
+    """Term occurrences ``id_col, term`` → ``(tf, vocab, vocab_rows)``.
 
-    Term occurrences are folded once per ``(doc, term)`` and that table is
+    Occurrences are folded once per ``(doc, term)`` and that table is
     checkpointed; the corpus counts (a sum over it), the vocabulary and the
     final lookup all read it, so the text is read and tokenised once.
     ``tf`` is ``id_col, term_idx, tf``; ``vocab`` is ``term, cnt, term_idx``.
     """
-    per_doc = checkpoint(term_tokens(docs, text_col, id_col, normalize)
-                         .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    counts = per_doc.groupBy("term").agg(F.sum("tf").alias("cnt"))
-    ranked = rank_terms(counts)
+    per_doc = checkpoint(tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    ranked = rank_terms(per_doc.groupBy("term").agg(F.sum("tf").alias("cnt")))
     vocab = vocabulary_from_ranked(ranked, drop, end)
     rows = max(ranked.total - drop, 0)
-    if rows <= max_broadcast_rows:
+    head = head_that_fits(vocab, rows, max_broadcast_bytes)
+    if rows <= head:
         tf = per_doc.join(F.broadcast(vocab.select("term", "term_idx")), "term")
     else:
-        tf = head_tail_lookup(per_doc, vocab, max_broadcast_rows)
+        tf = head_tail_lookup(per_doc, vocab, head)
     return tf.select(id_col, "term_idx", "tf"), vocab, rows
 
 
+def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                   normalize: bool = True, drop: int = TAIL_DROP, end: str = "tail",
+                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                   ) -> tuple[DataFrame, DataFrame, int]:
+    """Documents → ``(tf, vocab, vocab_rows)`` with one pass over the corpus;
+    see :func:`term_table`."""
+    return term_table(term_tokens(docs, text_col, id_col, normalize), id_col, drop, end,
+                      max_broadcast_bytes)
+
+
+def sparse_vectors(tf: DataFrame, ids: DataFrame, size: int, partitions: int,
+                   id_col: str = "doc_id") -> DataFrame:
+    """``id_col, features``: each document's counts as a sparse vector of
+    ``size`` places; a document without terms has an empty one and is kept.
+
+    A vector is assembled from its own rows and written in the columns that
+    Spark ML stores a vector in, so reading the files back gives vectors. The
+    frame has ``partitions`` partitions, dealt by id and sorted by it: EM draws
+    its start from partition numbers and row order, so with both fixed a seed
+    gives the same start on any machine.
+    """
+    spark = tf.sparkSession
+    rows = (tf.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("term_idx").cast("int").alias("i"), F.col("tf").cast("double").alias("v")))).alias("e")))
+    rows = ids.select(id_col).distinct().join(rows, id_col, "left")
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.coalesce(F.col("e.i"), F.array().cast("array<int>")).alias("indices"),
+                      F.coalesce(F.col("e.v"), F.array().cast("array<double>")).alias("values"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    rows.select(id_col, vector.alias("features")).write.parquet(path)
+    schema = StructType([StructField(id_col, tf.schema[id_col].dataType),
+                         StructField("features", VectorUDT())])
+    return (spark.read.schema(schema).parquet(path).repartition(partitions, id_col)
+            .sortWithinPartitions(id_col))
+
+
 def head_tail_lookup(keyed: DataFrame, vocab: DataFrame, head_rows: int) -> DataFrame:
     """Join ``keyed`` (with a ``term`` column) to a vocabulary too large to
     broadcast, without a hot join key.
 
     Vocabulary indices follow frequency, so the hot terms are the head. The
-    first ``head_rows`` terms (a fixed row bound) are broadcast; only the
-    rows they do not match go through a shuffle join with the tail. The
+    first ``head_rows`` terms (as many as fit the byte bound) are broadcast; only
+    the rows they do not match go through a shuffle join with the tail. The
     k-th most frequent term occurs at most total/k times, so no tail key
     holds more than a 1/``head_rows`` share of the rows; this holds without
     relying on AQE's skew handling.
@@ -124,11 +116,3 @@ def head_tail_lookup(keyed: DataFrame, vocab: DataFrame, head_rows: int) -> Data
     tail = vocab.filter(F.col("term_idx") >= F.lit(head_rows)).select("term", "term_idx")
     rest = tagged.filter(F.col("_head_idx").isNull()).drop("_head_idx").join(tail, "term")
     return hot.unionByName(rest)
-
-
-def count_vectors(doc_terms: DataFrame, vocab_terms: list[str], terms_col: str = "terms",
-                  output_col: str = "features") -> DataFrame:
-    """``terms ARRAY<STRING>`` → sparse count vector over ``vocab_terms``.
-    Terms outside the vocabulary are ignored; a document with none gets an
-    empty vector and is kept."""
-    return list_vectorizer(vocab_terms, terms_col, output_col).transform(doc_terms)

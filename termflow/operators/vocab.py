@@ -103,7 +103,7 @@ def vocabulary_from_ranked(ranked: Indexed, drop: int = TAIL_DROP, end: str = "t
         idx = F.col("rank") - F.lit(drop)
     else:
         raise ValueError(f"end must be 'tail' or 'head', not {end!r}")
-    return kept.select("term", "cnt", idx.cast("int").alias("term_idx"))
+    return kept.select("term", "cnt", idx.alias("term_idx"))
 
 
 def dropped_terms(ranked: Indexed, drop: int = TAIL_DROP, end: str = "tail") -> DataFrame:

@@ -41,7 +41,7 @@ _RANKED = f"""
     FROM ({_TERM_COUNTS}) c"""
 
 _VOCAB = f"""
-    SELECT term, cnt, CAST(rank AS INTEGER) AS term_idx FROM ({_RANKED}) r
+    SELECT term, cnt, rank AS term_idx FROM ({_RANKED}) r
     WHERE rank < total - 20"""
 
 _LINES = r"""
@@ -69,9 +69,23 @@ _MERGED_LAST = f"SELECT term, arg_max(weight, topic) AS score FROM ({_TOP_TERMS}
 _MERGED_MAX = f"SELECT term, max(weight) AS score FROM ({_TOP_TERMS}) t GROUP BY term"
 _TOP_SCORES = f"SELECT term, score FROM ({_MERGED_LAST}) m ORDER BY score DESC, term ASC LIMIT 10"
 
+# The edge texts: blank, null, carriage returns, adjacent and trailing spaces.
+_EDGE = r"""(SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN NULL
+    WHEN 1 THEN ' ' || chr(9) || chr(13) || chr(10) || chr(0) || ' '
+    WHEN 2 THEN replace(text, chr(10), chr(13)) WHEN 3 THEN replace(text, chr(10), chr(13) || chr(10))
+    WHEN 4 THEN replace(text, ' ', '  ') WHEN 5 THEN text || '  ' || chr(10) || chr(10)
+    ELSE text END AS text FROM documents) e"""
+
+
+def _by_source(sql: str) -> str:
+    return sql.replace("lang", "source")
+
+
+_BATCH_TOKENS = _tokens(_NORMALIZED.replace("SELECT doc_id,", "SELECT doc_id % 4 AS batch_id,"), "batch_id")
+
 CORPUS_SQL = {
     "term_counts": _TERM_COUNTS,
-    "term_rank": f"SELECT term, cnt, CAST(rank AS INTEGER) AS rank FROM ({_RANKED}) r",
+    "term_rank": f"SELECT term, cnt, rank FROM ({_RANKED}) r",
     "tail_dropped_terms": f"SELECT term, cnt FROM ({_RANKED}) r WHERE rank >= total - 20",
     "vocabulary": _VOCAB,
     "vocab_size": f"SELECT count(*) - 20 AS vocab_size FROM ({_TERM_COUNTS}) c",
@@ -112,4 +126,28 @@ CORPUS_SQL = {
     "display_words": f"""
         SELECT term AS text, CAST(trunc(10 + score * 1000) AS INTEGER) AS size
         FROM ({_TOP_SCORES}) s ORDER BY size DESC, text ASC""",
+    "edge_doc_filter": f"""
+        SELECT doc_id FROM {_EDGE}
+        WHERE text IS NOT NULL AND regexp_matches(text, '[^\\x00-\\x20]')""",
+    "edge_normalized_docs": _NORMALIZED.replace("FROM documents", f"FROM {_EDGE}"),
+    "edge_arrival_notices": """
+        SELECT page_id, 'New doc received: ' || url AS value FROM pages
+        WHERE url IS NOT NULL AND page_id % 3 <> 0""",
+    "source_scores_last": _by_source(_MERGED_LAST),
+    "source_scores_max": _by_source(_MERGED_MAX),
+    "batch_union_counts": f"""
+        SELECT b.batch_id, t.term, count(*) AS cnt FROM ({_BATCH_TOKENS}) t
+        JOIN (SELECT unnest(range(4)) AS batch_id) b ON t.batch_id <= b.batch_id GROUP BY 1, 2""",
+    "document_index": """
+        SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS doc_idx
+        FROM conversations""",
+    "score_messages": """
+        SELECT doc_id, raw, CASE WHEN kind = 5 THEN 1 WHEN kind = 4 THEN 0 END AS n_scores,
+               CASE WHEN kind = 5 THEN doc_id / 8 END AS score
+        FROM (SELECT doc_id, doc_id % 6 AS kind, CASE doc_id % 6 WHEN 0 THEN good || ' junk'
+              WHEN 1 THEN '[' || good || ']' WHEN 2 THEN 'w' || doc_id WHEN 3 THEN '{"w' || doc_id || '":"x"}'
+              WHEN 4 THEN '{}' ELSE good END AS raw
+              FROM (SELECT doc_id, '{"w' || doc_id || '":' || CAST(doc_id / 8 AS VARCHAR) || '}' AS good
+                    FROM documents) g) r""",
 }
+CORPUS_SQL["edge_word_count_raw"] = CORPUS_SQL["word_count_raw"].replace("FROM documents", f"FROM {_EDGE}")

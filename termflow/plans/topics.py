@@ -1,5 +1,7 @@
-"""Registered topic-model queries. LDA output depends on the optimizer and
-seed, so these have no SQL oracle; the tests check their invariants."""
+"""Registered topic-model queries. The topics depend on the optimizer and the
+seed and have no SQL; what holds for any fit does: EM keeps each term's count
+over the topics, and described topics are distinct terms of the vocabulary in
+descending order of weight."""
 
 from __future__ import annotations
 
@@ -10,7 +12,7 @@ from termflow.operators import scores as sc
 from termflow.operators.topics import (describe_topics, fit_numeric_topics, fit_text_topics,
                                        topics_matrix)
 from termflow.plans.corpus import documents
-from termflow.session import spread
+from termflow.plans.oracle import CORPUS_SQL
 from termflow.sources.tables import read_table
 from termflow.sources.text import numeric_vectors
 
@@ -23,8 +25,7 @@ def q_lda_text_topics(spark, sf_dir):
 
 
 def q_lda_text_topics_online(spark, sf_dir):
-    """The same with the online optimizer (the one that scales: each
-    iteration samples a mini-batch and only k x V stays on the driver)."""
+    """The same with the online optimizer, every document in every iteration."""
     return describe_topics(fit_text_topics(documents(spark, sf_dir), optimizer="online",
                                            seed=SEED))
 
@@ -35,17 +36,48 @@ def topic_scores(described, n: int = TOP_SCORES):
 
 
 def q_lda_scores(spark, sf_dir):
-    return topic_scores(q_lda_text_topics_online(spark, sf_dir))
+    return topic_scores(q_lda_text_topics(spark, sf_dir))
+
+
+def q_lda_term_mass(spark, sf_dir):
+    """Each term's weight over all topics of the EM model: its count in the
+    corpus, if every token of every document entered the fit."""
+    fit = fit_text_topics(documents(spark, sf_dir), optimizer="em", seed=SEED)
+    mass = topics_matrix(fit.model, spark).groupBy("term_idx").agg(F.round(F.sum("weight"), 6).alias("mass"))
+    return fit.vocab.select("term_idx", "term").join(mass, "term_idx")
+
+
+def q_lda_topic_shape(spark, sf_dir):
+    """Of each described topic: distinct terms, those whose name and number agree
+    with the vocabulary, and whether weights are positive and descend."""
+    fit = fit_text_topics(documents(spark, sf_dir), optimizer="em", max_iter=5, seed=SEED)
+    vocab = fit.vocab.select("term", F.col("term_idx").alias("number"))
+    rows = describe_topics(fit).join(vocab, "term")
+    order = F.transform(F.sort_array(F.collect_list(F.struct("rank", "weight"))), lambda x: x["weight"])
+    return rows.groupBy("topic").agg(
+        F.countDistinct("term").alias("terms"), F.sum((F.col("number") == F.col("term_idx")).cast("int")).alias("named"),
+        ((F.min("weight") > 0) & (order == F.sort_array(F.collect_list("weight"), asc=False))).alias("descending"))
+
+
+def q_topic_score_shape(spark, sf_dir):
+    """The published scores: how many, how many of the vocabulary, in order."""
+    fit = fit_text_topics(documents(spark, sf_dir), optimizer="em", max_iter=5, seed=SEED)
+    scores = topic_scores(describe_topics(fit))
+    return scores.join(fit.vocab.select("term"), "term").agg(
+        F.count("*").alias("scores"), F.countDistinct("term").alias("terms"), (F.min("score") > 0).alias("positive"))
 
 
 def q_numeric_lines(spark, sf_dir):
     """Lines of space-separated counts: one per user, the user's number of
     events of each type (types in name order), as a text matrix."""
     ev = read_table(spark, sf_dir, "events").select("user_id", "event_type")
-    counts = ev.groupBy("user_id").pivot("event_type").count()  # pivot values: distinct types
-    types = sorted(c for c in counts.columns if c != "user_id")
-    line = F.concat_ws(" ", *[F.coalesce(F.col(f"`{t}`"), F.lit(0)).cast("string") for t in types])
-    return counts.select("user_id", line.alias("value"))
+    counts = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    # The types of events in order, which is the width of every line: one value.
+    types = ev.agg(F.sort_array(F.collect_set("event_type")).alias("types")).scalar()
+    of = counts.groupBy("user_id").agg(F.map_from_entries(
+        F.collect_list(F.struct("event_type", "n"))).alias("of"))
+    line = F.array_join(F.transform("types", lambda t: F.coalesce(F.col("of")[t], F.lit(0)).cast("string")), " ")
+    return of.withColumn("types", types).select("user_id", line.alias("value"))
 
 
 def q_numeric_vectors(spark, sf_dir):
@@ -55,10 +87,11 @@ def q_numeric_vectors(spark, sf_dir):
 
 
 def q_lda_numeric(spark, sf_dir):
-    """Numeric LDA (EM, k=3) on the count lines; the topic matrix."""
-    vec = spread(numeric_vectors(q_numeric_lines(spark, sf_dir), id_col="user_id"))
-    model = fit_numeric_topics(vec, seed=SEED)
-    return topics_matrix(model, spark)
+    """Numeric LDA (EM, k=3) on the count lines; the weight of each place over
+    the topics, which is its total count."""
+    vec = numeric_vectors(q_numeric_lines(spark, sf_dir), id_col="user_id")
+    matrix = topics_matrix(fit_numeric_topics(vec, seed=SEED), spark)
+    return matrix.groupBy("term_idx").agg(F.count("*").alias("topics"), F.round(F.sum("weight"), 6).alias("mass"))
 
 
 QUERIES = {
@@ -68,6 +101,9 @@ QUERIES = {
     "lda_text_topics": q_lda_text_topics,
     "lda_text_topics_online": q_lda_text_topics_online,
     "lda_scores": q_lda_scores,
+    "lda_term_mass": q_lda_term_mass,
+    "lda_topic_shape": q_lda_topic_shape,
+    "topic_score_shape": q_topic_score_shape,
 }
 
 _NUMERIC_LINES = """
@@ -80,6 +116,14 @@ _NUMERIC_LINES = """
           GROUP BY user_id) m"""
 
 ORACLE = {
+    "lda_term_mass": f"SELECT term_idx, term, CAST(cnt AS DOUBLE) AS mass FROM ({CORPUS_SQL['vocabulary']}) v",
+    "lda_topic_shape": """
+        SELECT CAST(unnest(range(10)) AS INTEGER) AS topic, CAST(10 AS BIGINT) AS terms,
+               CAST(10 AS BIGINT) AS named, true AS descending""",
+    "topic_score_shape": "SELECT CAST(10 AS BIGINT) AS scores, CAST(10 AS BIGINT) AS terms, true AS positive",
+    "lda_numeric": """
+        SELECT row_number() OVER (ORDER BY event_type) - 1 AS term_idx, CAST(3 AS BIGINT) AS topics,
+               CAST(count(*) AS DOUBLE) AS mass FROM events GROUP BY event_type""",
     "numeric_lines": _NUMERIC_LINES,
     "numeric_vectors": f"""
         SELECT user_id, CAST(unnest(range(len(parts))) AS INTEGER) AS pos,

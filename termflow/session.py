@@ -81,42 +81,49 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least ``default parallelism`` partitions.
+#: Inputs from this size on arrive in enough file splits of their own.
+SMALL_INPUT = 1 << 30
 
-    A large table already arrives in many file splits and is returned as is,
-    so this never adds a shuffle at scale. A table stored as one parquet row
-    group arrives as one partition, and the heavy per-row work after it
-    (tokenising) would run on one core; such a frame is spread round-robin.
+
+def spread(df: DataFrame, min_partitions: int | None = None, small: int = SMALL_INPUT) -> DataFrame:
+    """Give the scan of a small input at least ``default parallelism`` partitions.
+
+    A small table stored as one parquet row group arrives as one partition, and
+    the heavy per-row work after it (tokenising) would run on one core; such a
+    frame is dealt out round-robin. An input of ``small`` bytes or more, by the
+    scan's own size, is returned as it is, whatever the number of cores.
 
     Call it on a scan: asking a frame with exchanges for its partitions
     would run those stages early.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= small:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
 
 
-def stream_checkpoint(spark: SparkSession, query_name: str) -> str | None:
-    """Checkpoint folder of a streaming query, stable across restarts.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
-    ``None`` when ``spark.sql.streaming.checkpointLocation`` is set (Spark
-    then uses ``<that>/<query name>`` itself); else
-    ``<spark.checkpoint.dir>/streams/<query name>``; else, in local mode
-    only, a fresh temporary folder.
+
+def stream_checkpoint(spark: SparkSession, data_path: str, location: str | None = None) -> str:
+    """Checkpoint folder of a stream: ``location``, or the one beside the data
+    that the stream writes, so that both are kept, moved and deleted together.
+
+    The data of a stream is keyed by batch number, and the numbers come from the
+    checkpoint. Without it they would start again from 0 over the old data, so a
+    start on data whose checkpoint is gone is refused.
     """
-    if spark.conf.get("spark.sql.streaming.checkpointLocation", None):
-        return None
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/streams/{query_name}"
-    if is_local(spark):
-        return tempfile.mkdtemp(prefix=f"termflow-{query_name}-")
-    raise RuntimeError("set spark.checkpoint.dir or spark.sql.streaming.checkpointLocation "
-                       "to a shared folder")
+    location = location or f"{data_path.rstrip('/')}_checkpoint"
+    if path_exists(spark, data_path) and not path_exists(spark, f"{location.rstrip('/')}/offsets"):
+        raise RuntimeError(f"{data_path} has data of a stream whose checkpoint is not in {location}; "
+                           "name that checkpoint, or a new data path")
+    return location
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

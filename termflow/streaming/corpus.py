@@ -30,7 +30,7 @@ from termflow.operators.tokens import doc_terms
 from termflow.operators.topics import describe_topics, fit_term_topics
 from termflow.operators.vocab import CorpusTooSmall
 from termflow.plans.topics import topic_scores
-from termflow.session import stream_checkpoint
+from termflow.session import path_exists, stream_checkpoint
 from termflow.sinks.messages import NOTICE_TOPIC, SCORE_TOPIC, write_messages
 
 log = logging.getLogger(__name__)
@@ -48,13 +48,14 @@ class CorpusJob:
     on_small: str = "skip"                # too few terms: 'skip' the run or 'raise'
     normalize: bool = False               # contents already arrive as sent
     k: int = TOPIC_COUNT
-    optimizer: str = "online"
+    optimizer: str = "em"
     max_iter: int = 20
     seed: int | None = 42
     top: int = TOP_SCORES
     # Refit only once this many documents arrived since the last published
     # fit (1: every batch with documents, as the original did). A refit reads
-    # the whole corpus, so a larger value bounds the cost of a fast stream.
+    # the whole corpus, so a larger value bounds the cost of a fast stream;
+    # documents after the last refit then stay unpublished until the next one.
     min_new_docs: int = 1
 
     @property
@@ -62,10 +63,9 @@ class CorpusJob:
         return f"{self.corpus_path.rstrip('/')}_last_fit"
 
     def _last_fit(self, spark) -> int:
-        try:
-            return int(spark.read.json(self._marker).first()["batch_id"])
-        except Exception:  # noqa: BLE001 - no marker yet
+        if not path_exists(spark, self._marker):
             return -1
+        return int(spark.read.json(self._marker).first()["batch_id"])
 
     def _write(self, df: DataFrame, topic: str, batch_id: int) -> None:
         write_messages(df, self.sink_format, topic=topic, options=self.sink_options,
@@ -91,13 +91,14 @@ class CorpusJob:
         # stored next to its contents, and every later refit reads the arrays.
         docs = doc_terms(batch.filter(is_not_blank("content")), "content", None,
                          self.normalize, keep=("doc_name", "content"))
-        docs.write.mode("overwrite").parquet(
-            f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}")
-        corpus = spark.read.parquet(self.corpus_path)
+        here = f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}"
+        docs.write.mode("overwrite").parquet(here)
+        if spark.read.parquet(here).isEmpty():
+            return  # only blank documents: nothing new to fit
+        # Up to this batch, so that a replay sees the corpus of its time.
+        corpus = spark.read.parquet(self.corpus_path).filter(F.col("batch_id") <= F.lit(batch_id))
         if self.scope == "batch":
             corpus = corpus.filter(F.col("batch_id") == F.lit(batch_id))
-        if corpus.isEmpty():
-            return
         if self.min_new_docs > 1:
             last = self._last_fit(spark)
             new_docs = corpus.filter((F.col("batch_id") > F.lit(last))
@@ -124,8 +125,7 @@ def start(source: DataFrame, job: CorpusJob, checkpoint_location: str | None = N
           trigger: dict | None = None, query_name: str = "termflow_corpus") -> StreamingQuery:
     """Start the job on a streaming ``doc_name, content`` frame. Default
     trigger: a micro-batch every 5 seconds."""
-    loc = checkpoint_location or stream_checkpoint(source.sparkSession, query_name)
-    w = source.writeStream.queryName(query_name).foreachBatch(job.process)
-    if loc:
-        w = w.option("checkpointLocation", loc)
+    loc = stream_checkpoint(source.sparkSession, job.corpus_path, checkpoint_location)
+    w = (source.writeStream.queryName(query_name).foreachBatch(job.process)
+         .option("checkpointLocation", loc))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

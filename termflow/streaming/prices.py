@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from termflow.functions.constants import POSITION_THRESHOLD, PRICE_TOPIC
 from termflow.operators import prices as P
-from termflow.session import delete_path, stream_checkpoint
+from termflow.session import delete_path, path_exists, stream_checkpoint
 
 _STAT_FIELDS = ("batch_id",) + P.STAT_COLUMNS
 
@@ -43,12 +43,6 @@ def price_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     return P.from_price_json(raw)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 @dataclass
 class PriceJob:
     stats_path: str
@@ -63,9 +57,9 @@ class PriceJob:
         if batch_id < 0:
             return None
         part = f"{self.state_path.rstrip('/')}/batch_id={batch_id}"
-        if _exists(spark, part):
+        if path_exists(spark, part):
             return spark.read.parquet(part)
-        if not _exists(spark, self.stats_path):
+        if not path_exists(spark, self.stats_path):
             return None
         # No state for that batch (e.g. the job was changed): rebuild it from
         # the statistics table, one row per symbol.
@@ -105,8 +99,7 @@ class PriceJob:
 def start(source: DataFrame, job: PriceJob, checkpoint_location: str | None = None,
           trigger: dict | None = None, query_name: str = "termflow_prices") -> StreamingQuery:
     """Default trigger: a micro-batch every 5 seconds."""
-    loc = checkpoint_location or stream_checkpoint(source.sparkSession, query_name)
-    w = source.writeStream.queryName(query_name).foreachBatch(job.process)
-    if loc:
-        w = w.option("checkpointLocation", loc)
+    loc = stream_checkpoint(source.sparkSession, job.stats_path, checkpoint_location)
+    w = (source.writeStream.queryName(query_name).foreachBatch(job.process)
+         .option("checkpointLocation", loc))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

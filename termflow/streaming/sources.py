@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from termflow.functions.text import normalize_lines
 from termflow.sinks.messages import DOC_TOPIC_PATTERN, as_documents, kafka_options
 
 DOC_SCHEMA = "doc_name string, content string"
@@ -16,7 +17,8 @@ def doc_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = N
 
     * ``kafka``: topics matching ``(?i)docs`` (key = name, value = contents);
       the Kafka connector must be on the class path.
-    * ``text``: each new file in ``path`` is one document, its path the name.
+    * ``text``: each new file in ``path`` is one document, its path the name, its
+      contents as the feeder sends them (each line followed by one space).
     * any other file format with columns ``doc_name, content``.
     """
     if fmt == "kafka":
@@ -27,9 +29,9 @@ def doc_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = N
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if fmt == "text":
-        return (r.option("wholetext", "true").text(path)
+        return (r.text(path, wholetext=True)
                 .select(F.col("_metadata.file_path").alias("doc_name"),
-                        F.col("value").alias("content")))
+                        normalize_lines("value").alias("content")))
     return r.schema(DOC_SCHEMA).format(fmt).load(path)
 
 
@@ -44,7 +46,7 @@ def read_documents_once(spark: SparkSession, fmt: str = "kafka", options: dict |
         return as_documents(spark.read.format("kafka").options(**opts).load())
     r = spark.read.options(**(options or {}))
     if fmt == "text":
-        return (r.option("wholetext", "true").text(path)
+        return (r.text(path, wholetext=True)
                 .select(F.col("_metadata.file_path").alias("doc_name"),
-                        F.col("value").alias("content")))
+                        normalize_lines("value").alias("content")))
     return r.schema(DOC_SCHEMA).format(fmt).load(path)

@@ -33,8 +33,6 @@ def test_daily_bars_hash_aggregate(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     plan = _plan(P.daily_bars(ev))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
-    plan = _plan(P.batch_stats(P.daily_bars(ev)))
-    assert "SortAggregate" not in plan
 
 
 def test_doc_term_tf_broadcasts_checked_vocabulary(spark):
@@ -71,7 +69,7 @@ def test_doc_term_table_shuffle_path_equals_broadcast_path(spark):
     for k in keys:  # a large vocabulary: Spark's own size check would not broadcast it either
         spark.conf.set(k, "-1")
     try:
-        big, _, _ = doc_term_table(docs, max_broadcast_rows=10)
+        big, _, _ = doc_term_table(docs, max_broadcast_bytes=250)
         assert n > 10
         plan = _plan(big)
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
@@ -94,7 +92,7 @@ def test_doc_term_tf_head_tail_equals_broadcast(spark):
     ranked = rank_terms(tc(docs))
     vocab = vocabulary_from_ranked(ranked)
     a = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total)
-    b = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total, max_broadcast_rows=25)
+    b = doc_term_tf(term_tokens(docs), vocab, vocab_rows=ranked.total, max_broadcast_bytes=600)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -106,3 +104,20 @@ def test_top_label_terms_equals_full_topic_table(spark):
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, fast.collect()))
     plan = _plan(fast)
     assert "WindowGroupLimit" in plan
+
+
+def test_broadcast_head_is_bounded_by_bytes(spark):
+    from termflow.operators.joins import head_that_fits
+
+    vocab = spark.createDataFrame([(i, "x" * (1000 if i == 2 else 4)) for i in range(64)], "term_idx long, term string")
+    assert head_that_fits(vocab, 64, 10_000) == 64
+    assert head_that_fits(vocab, 64, 1100) == 4      # 1000 + 3 * 4 + 4 * 16
+    assert head_that_fits(vocab, 64, 900) == 2
+    assert head_that_fits(vocab, 64, 1) == 0 and head_that_fits(vocab.limit(0), 0) == 0
+
+
+def test_tail_is_a_top_k_and_labels_meet_folded_rows(spark):
+    assert "TakeOrderedAndProject" in _plan(QUERIES["tail_dropped_terms"](spark, SF_SMALL))
+    plan = _plan(QUERIES["quality_term_counts"](spark, SF_SMALL))
+    join = plan[plan.index("Join"):]
+    assert "partial_count" in join  # the texts are folded below the join

@@ -56,3 +56,13 @@ def test_top_terms_per_topic(spark):
     assert len(got) == 30
     for r in got:
         assert r.term == f"w{29 - r.rank}"
+
+
+def test_only_whole_objects_of_numbers_are_scores(spark):
+    good = ['{}', ' {"a": 1} ', '{"a":-1.5e3,"b":0}', '{"q\\"u":1}']
+    bad = ['{"a":1} junk', '{"a":1,"b":"x"}', '[{"a":1}]', 'a', '', '{"a":01}', '{"a":1,}', '{"a":null}', '{a:1}', None]
+    df = spark.createDataFrame([(v,) for v in good + bad], "value string")
+    from termflow.operators.scores import read_score_messages
+    got = {r.raw: r.scores for r in read_score_messages(df).collect()}
+    assert [v for v in good if got[v] is None] == [] and [v for v in bad if got[v] is not None] == []
+    assert got['{"a":-1.5e3,"b":0}'] == {"a": -1500.0, "b": 0.0}

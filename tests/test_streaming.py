@@ -165,7 +165,7 @@ def test_text_file_stream_names_documents_by_path(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/incoming")
     for i in range(3):
         with open(f"{tmp_dir}/incoming/doc{i}.txt", "w") as f:
-            f.write(words + "\n")
+            f.write(words.replace(" ", "\n", 20) + "\n")
     job = C.CorpusJob(corpus_path=f"{tmp_dir}/corpus", sink_path=f"{tmp_dir}/out",
                       max_iter=2, optimizer="online")
     q = C.start(doc_stream(spark, "text", path=f"{tmp_dir}/incoming"), job, f"{tmp_dir}/ckpt",
@@ -175,5 +175,33 @@ def test_text_file_stream_names_documents_by_path(spark, tmp_dir):
     names = sorted(os.path.basename(r.doc_name)
                    for r in spark.read.parquet(job.corpus_path).collect())
     assert names == ["doc0.txt", "doc1.txt", "doc2.txt"]
+    # a term at a line's end is a term
+    assert {len(r.terms) for r in spark.read.parquet(job.corpus_path).collect()} == {60}
     notices = sorted(r.value for r in spark.read.json(f"{tmp_dir}/out/topic=tcmeta").collect())
     assert all(v.startswith("New doc received: ") and v.endswith(".txt") for v in notices)
+
+
+def test_restart_without_the_checkpoint_is_refused(spark, tmp_dir, docs):
+    """Two waves, then a start that has lost the checkpoint: no document twice."""
+    src = f"{tmp_dir}/in"
+    job = C.CorpusJob(corpus_path=f"{tmp_dir}/corpus", sink_path=f"{tmp_dir}/out", max_iter=2, optimizer="online")
+    for i in range(2):
+        _write_jsonl(f"{src}/w{i}.json", [{"doc_name": n, "content": t} for n, t in docs[i * 30:i * 30 + 30]])
+        _run_available(spark, src, job, None)
+    assert os.path.isdir(f"{tmp_dir}/corpus_checkpoint/offsets")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        _run_available(spark, src, job, f"{tmp_dir}/new_checkpoint")
+    assert spark.read.parquet(job.corpus_path).count() == 60
+
+
+def test_a_batch_of_blank_documents_does_not_refit(spark, tmp_dir, docs):
+    job = C.CorpusJob(corpus_path=f"{tmp_dir}/corpus", sink_path=f"{tmp_dir}/out", max_iter=2, optimizer="online")
+    schema = "doc_name string, content string"
+    job.process(spark.createDataFrame(docs[:40], schema), 0)
+    job.process(spark.createDataFrame([("blank", " \t")], schema), 1)
+    assert sorted(os.listdir(f"{tmp_dir}/out/topic=tcdata")) == ["batch_id=0"]
+    # a replay of an earlier batch sees the corpus of its time
+    job.process(spark.createDataFrame(docs[40:60], schema), 2)
+    first = spark.read.json(f"{tmp_dir}/out/topic=tcdata/batch_id=0").first().value
+    job.process(spark.createDataFrame(docs[:40], schema), 0)
+    assert set(json.loads(spark.read.json(f"{tmp_dir}/out/topic=tcdata/batch_id=0").first().value)) == set(json.loads(first))

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from termflow.operators.topics import (describe_topics, fit_numeric_topics, fit_text_topics,
                                        load_model, save_model, topics_matrix)
 from termflow.plans.topics import topic_scores
@@ -67,12 +69,27 @@ def test_text_lda_invariants(spark):
     assert [s.score for s in scores] == sorted((s.score for s in scores), reverse=True)
 
 
-def test_seed_repeats(spark, planted):
-    a = describe_topics(fit_text_topics(planted, k=3, optimizer="online", max_iter=10, seed=5))
-    b = describe_topics(fit_text_topics(planted, k=3, optimizer="online", max_iter=10, seed=5))
-    key = ["topic", "rank"]
-    assert [r.term_idx for r in a.orderBy(*key).collect()] == [
-        r.term_idx for r in b.orderBy(*key).collect()]
+def test_seed_fixes_em_whatever_the_partitions(spark, planted):
+    """The features' partitions and order are fixed, so the input's do not matter."""
+    def weights(docs):
+        fit = fit_text_topics(docs, k=3, max_iter=8, seed=5)
+        return {(r.topic, r.term_idx): r.weight for r in topics_matrix(fit.model, spark).collect()}
+    a, b = weights(planted.repartition(2)), weights(planted.repartition(5))
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
+def test_online_reads_every_document():
+    from termflow.operators.topics import lda
+
+    assert lda(3, "online").getSubsamplingRate() == 1.0
+
+
+def test_em_keeps_each_terms_count(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    fit = fit_text_topics(docs, k=4, max_iter=3)
+    mass = {r.term_idx: r.m for r in topics_matrix(fit.model, spark).groupBy("term_idx").agg(F.sum("weight").alias("m")).collect()}
+    assert len(mass) == fit.vocab_size
+    assert all(abs(mass[r.term_idx] - r.cnt) < 1e-6 for r in fit.vocab.collect())
 
 
 def test_numeric_lda_and_save_load(spark, tmp_dir):
@@ -94,10 +111,11 @@ def test_numeric_lda_and_save_load(spark, tmp_dir):
 
 
 def test_empty_document_kept(spark):
-    rows = [(0, "zzzz"), (1, "apple hammer " + " ".join(w for g in GROUPS for w in g))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    from termflow.operators.tokens import doc_terms
-    from termflow.operators.vectors import count_vectors
-    feats = count_vectors(doc_terms(df), ["apple", "hammer"])
-    got = {r.doc_id: r.features.numNonzeros() for r in feats.collect()}
-    assert got == {0: 0, 1: 2}
+    from termflow.operators.vectors import sparse_vectors
+
+    tf = spark.createDataFrame([(1, 0, 2), (1, 3, 1), (2, 1, 5)], "doc_id long, term_idx long, tf long")
+    ids = spark.createDataFrame([(0,), (1,), (2,), (2,)], "doc_id long")
+    got = {r.doc_id: r.features for r in sparse_vectors(tf, ids, 4, 3).collect()}
+    assert {k: v.toArray().tolist() for k, v in got.items()} == {
+        0: [0, 0, 0, 0], 1: [2, 0, 0, 1], 2: [0, 5, 0, 0]}
+    assert got[0].numNonzeros() == 0
