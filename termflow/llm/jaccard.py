@@ -159,10 +159,12 @@ def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent
             take = prefix_size(n, percent)
             if len(seen) > 1_000_000:
                 seen.clear()
+            known = b.column("doc_id").is_valid().to_pylist()
             for i, c in enumerate(of.tolist()):
-                if c in seen:
+                if c in seen or not known[i]:
                     take[i] = 0
-                seen.add(c)
+                else:
+                    seen.add(c)
             first = np.concatenate([[0], np.cumsum(take)])
             at = np.repeat(ends[:-1], take) + np.arange(first[-1]) - np.repeat(first[:-1], take)
             # Where the early shingles end in the global order: level, then hash.
