@@ -9,7 +9,7 @@ overwrites its own output instead of adding to it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from termflow.functions.constants import (DOC_TOPIC, DOC_TOPIC_PATTERN,  # noqa: F401
                                           NOTICE_TOPIC, SCORE_TOPIC)
@@ -36,21 +36,13 @@ def as_documents(records: DataFrame) -> DataFrame:
                           F.col("value").cast("string").alias("content"))
 
 
-def read_messages(spark: SparkSession, fmt: str, options: dict | None = None,
-                  path: str | None = None, schema=None) -> DataFrame:
-    """Batch read of a message source (one poll of everything available)."""
-    r = spark.read.format(fmt).options(**(options or {}))
-    if schema is not None:
-        r = r.schema(schema)
-    return r.load(path) if path else r.load()
-
-
 def write_messages(messages: DataFrame, fmt: str, topic: str | None = None,
                    options: dict | None = None, path: str | None = None,
                    batch_id: int | None = None) -> None:
     """Write messages. Kafka: ``topic`` option (or a ``topic`` column per
     row, the per-topic fan-out). Files: ``path/topic=<t>[/batch_id=<n>]``,
-    overwritten as a unit."""
+    overwritten as a unit; messages with a ``topic`` column and no batch id are
+    appended, so send those once."""
     if fmt == "kafka":
         w = messages.write.format("kafka").options(**(options or {}))
         if topic:

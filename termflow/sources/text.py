@@ -45,18 +45,22 @@ def numeric_vectors(lines: DataFrame, value_col: str = "value", strict: bool = T
     return lines.select(*cols, parse_doubles(value_col, strict).alias("values"))
 
 
-def manifest_documents(spark: SparkSession, manifest_path: str) -> DataFrame:
+def manifest_documents(spark: SparkSession, manifest_path: str, root: str | None = None) -> DataFrame:
     """A text file listing one path per line → ``doc_name, content`` with the
     content normalised as the file feeder sent it (each line + one space).
 
     The listed files are read by Spark in one distributed scan, then joined
     back to the manifest on the path, so a manifest naming a file twice
-    yields it twice, as the feeder did.
+    yields it twice, as the feeder did. For a manifest too long for the driver
+    give the ``root`` folder of all listed files: it is scanned as a whole, and
+    the manifest stays a table.
     """
     manifest = spark.read.text(manifest_path).select(F.col("value").alias("doc_name"))
-    # The reader needs the file list on the driver, as any file scan does.
-    paths = [r.doc_name for r in manifest.distinct().collect()]
-    files = (spark.read.text(paths, wholetext=True)
+    if root is not None:
+        scan = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
+    else:
+        scan = spark.read.text([r.doc_name for r in manifest.distinct().collect()], wholetext=True)
+    files = (scan
              .select(_path_key(F.col("_metadata.file_path")).alias("_key"),
                      normalize_lines("value").alias("content")))
     return (manifest.withColumn("_key", _path_key(F.col("doc_name")))

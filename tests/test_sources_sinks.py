@@ -43,6 +43,9 @@ def test_manifest_and_feeder(spark, tmp_dir):
     _write(f"{tmp_dir}/manifest.txt", f"{a}\n{b}\n".encode())
     docs = {r.doc_name: r.content for r in manifest_documents(spark, f"{tmp_dir}/manifest.txt").collect()}
     assert docs == {a: "Hello world second line ", b: "only line "}
+    _write(f"{tmp_dir}/docs/not_listed.txt", b"other")
+    rooted = manifest_documents(spark, f"{tmp_dir}/manifest.txt", root=f"{tmp_dir}/docs")
+    assert {r.doc_name: r.content for r in rooted.collect()} == docs
     n = feed(spark, f"{tmp_dir}/manifest.txt", fmt="json", path=f"{tmp_dir}/out")
     assert n == 2
     back = spark.read.json(f"{tmp_dir}/out/topic=docs")
