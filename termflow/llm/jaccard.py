@@ -284,9 +284,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     id that its document reaches over links."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(count_levels(docs, text, slot_bits))
-    rows, path = written(sketches(docs, doc_id, text, levels, slot_bits, percent), "sketches")
-    known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    paths = [path]
+    full, full_path = written(sketches(docs, doc_id, text, levels, slot_bits, percent), "sketches")
+    paths = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df, at = written(df, name)
@@ -295,11 +294,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # Buckets: classes that share an early shingle, with how many share it, and
     # the smallest and the largest of them.
-    early = (known.select("class", F.explode("early").alias("shingle"))
+    early = (full.where("n > 0 AND doc_id IS NOT NULL").select("class", F.explode("early").alias("shingle"))
              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle").distinct())
     shared = early.groupBy("shingle").agg(F.count("*").alias("size"), F.min("class").alias("low"),
                                           F.max("class").alias("high")).where("size > 1")
     buckets = kept(early.join(shared.hint("shuffle_hash"), "shingle"), "buckets")
+    rows = kept(full.drop("early"), "rows")
+    drop_written(spark, full_path)
+    known = rows.where("n > 0 AND doc_id IS NOT NULL")
     active = buckets.groupBy("class").agg(F.collect_list("shingle").alias("early"))
     facts = known.groupBy("class").agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "last", *BITS)])
     fronts = kept(active.join(facts, "class"), "fronts")
@@ -311,7 +313,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         ids = kept(fronts.select("doc_id", "class").join(members, "class"), "members")
         sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids,
                              levels, slot_bits), "sets")
-        return kept(relabelled(parts, checkpoint(similar(near, sets, percent))), "parts")
+        links = checkpoint(similar(near, sets, percent))
+        for _ in range(3):  # what this round has written
+            drop_written(spark, paths.pop())
+        return kept(relabelled(parts, links), "parts")
 
     # All with a bucket's smallest class, then the others with its largest.
     parts = joined(buckets.where("class <> low").select(F.col("low").alias("a"), F.col("class").alias("b")).distinct())
