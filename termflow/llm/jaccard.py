@@ -325,15 +325,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # All other pairs across components; a bucket's largest component only as partner.
     rest = (buckets.where("class <> low AND class <> high AND size > 3").select("shingle", "class")
-            .join(fronts.select("class", "n", *BITS).join(parts, "class"), "class"))
+            .join(fronts.select("class", "n", "early", *BITS).join(parts, "class"), "class"))
     most = (rest.groupBy("shingle", "part").count()
             .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"))
             .where("parts > 1").select("shingle", "largest"))
-    columns = ("shingle", "class", "part", "n", *BITS)
+    # A pair is formed once, at the smallest early shingle that the two share; where
+    # that bucket has one of them as its smallest or largest, they were compared.
+    columns = ("shingle", "class", "part", "n", "early", *BITS)
     left = prefixed(rest.join(most, "shingle").where("part <> largest"), "l_", *columns, "largest")
     across = left.join(prefixed(rest, "r_", *columns), (
         F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_part") != F.col("r_part")) & (
-        (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent))
+        (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent)
+        & (F.array_min(F.array_intersect("l_early", "r_early")) == F.col("l_shingle")))
     parts = joined(across.select(F.least("l_class", "r_class").alias("a"), F.greatest("l_class", "r_class").alias("b")).distinct())
 
     # Classes to components, components to their smallest id; rows of one id are one document.
