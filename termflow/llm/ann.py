@@ -8,8 +8,13 @@ back and are pruned again when they have too many. A query runs a beam search in
 every shard of its dimension; the cosines of what it finds are then computed in
 double precision on the original vectors.
 
-Every row is indexed. Equal vectors are one node, which stands for all its ids,
-so a large group of copies neither crowds the graph nor hides other vectors.
+Every row is indexed. Equal vectors are one node, which stands for all its ids.
+A crowd, more vectors close together than a node has edges, would fill its edges
+and the beam with itself; so one of its vectors stands for it in the graph, and
+the crowd has an index of its own, with crowds of a smaller radius in turn. A
+query also searches each crowd that can hold one of its nearest by the angles to
+its leader and from there to its farthest member. A crowd of about one direction
+(near or scaled copies) is compared whole.
 
 Defined results: rows whose vector is null, empty or zero, or holds a null or a
 non-finite component, take no part; a query sees rows of its own dimension only,
@@ -41,6 +46,12 @@ class Settings:
     alpha: float = 1.44
     batch: int = 512
     query_beam: int = 96
+    same_gap: float = 1e-3
+
+    def crowd_gap(self, dim: int) -> float:
+        """How near the members of the widest crowds are to their leader: nearer
+        than random directions of that dimension are to each other."""
+        return 1 - min(max(3.2 / dim**0.5, 0.4), 0.7)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -162,24 +173,105 @@ def build_graph(nodes: np.ndarray, s: Settings) -> tuple[np.ndarray, int]:
     return edges, start
 
 
+@dataclass(frozen=True)
+class Part:
+    """The index of some of a shard's vectors. ``members`` are their numbers; a part
+    without edges is compared whole. A crowd is its leader, the similarity of its
+    farthest member with the leader, and its part."""
+    members: np.ndarray
+    edges: np.ndarray | None = None
+    start: int = 0
+    crowds: tuple[tuple[int, float, Part], ...] = ()
+
+
+def crowds_of(nodes: np.ndarray, gap: float, least: int) -> list[tuple[int, np.ndarray]]:
+    """Disjoint sets of more than ``least`` nodes within ``gap`` of one of them, and
+    that one first; nodes with the most others around them come first."""
+    near = np.concatenate([(nodes[a:a + 512] @ nodes.T >= 1 - gap).sum(1) for a in range(0, len(nodes), 512)])
+    free = np.ones(len(nodes), bool)
+    found = []
+    for leader in np.argsort(-near, kind="stable").tolist():
+        if near[leader] <= least:
+            break
+        if free[leader]:
+            own = np.flatnonzero(free & (nodes @ nodes[leader] >= 1 - gap))
+            if len(own) > least:
+                free[own] = False
+                found.append((leader, own))
+    return found
+
+
+def build_part(nodes: np.ndarray, members: np.ndarray, gap: float, s: Settings) -> Part:
+    place = nodes[members]
+    alone, crowds = np.ones(len(members), bool), []
+    for leader, own in crowds_of(place, gap, s.degree):
+        alone[own], alone[leader] = False, True
+        least = float((place[own] @ place[leader]).min())
+        radius = max(0.0, 1 - least)
+        part = Part(members[own]) if radius < s.same_gap else build_part(nodes, members[own], radius / 4, s)
+        crowds.append((int(members[leader]), least, part))
+    edges, start = build_graph(place[alone], s)
+    return Part(members[alone], edges, start, tuple(crowds))
+
+
 def build(ids: np.ndarray, vectors: np.ndarray, s: Settings = Settings()) -> bytes:
     """A shard's index: the graph over its distinct vectors, and the ids of each."""
     distinct, node = np.unique(vectors, axis=0, return_inverse=True)
     order = np.lexsort((ids, node.ravel()))
     nodes = unit(distinct).astype(np.float32)
-    edges, start = build_graph(nodes, s)
-    return pickle.dumps((distinct, nodes, edges, start, ids[order],
+    part = build_part(nodes, np.arange(len(nodes)), s.crowd_gap(nodes.shape[1]), s)
+    return pickle.dumps((distinct, nodes, part, ids[order],
                          np.searchsorted(node.ravel()[order], np.arange(len(distinct) + 1))))
 
 
+class Found:
+    """The nodes found for each query of a block, and a bound of its nearest."""
+
+    def __init__(self, queries: np.ndarray, least: int):
+        self.near: list[list[np.ndarray]] = [[] for _ in queries]
+        self.best = np.full((len(queries), least), -np.inf, np.float32)
+
+    def add(self, rows: np.ndarray, found: np.ndarray, sims: np.ndarray, known: np.ndarray) -> None:
+        """Nodes of some of the queries (-1: none); ``known`` ones count only once."""
+        for r, near in zip(rows.tolist(), found):
+            self.near[r].append(near[near >= 0])
+        sims = np.where(np.isin(found, known), -np.inf, sims)
+        self.best[rows] = -np.sort(-np.concatenate([self.best[rows], sims], 1), axis=1)[:, :self.best.shape[1]]
+
+
+def explore(part: Part, nodes: np.ndarray, queries: np.ndarray, rows: np.ndarray, beam: int, found: Found,
+            leader: int = -1) -> None:
+    """Search a part for the queries of the given rows, then its crowds."""
+    known = np.array([leader])
+    if part.edges is None:
+        near = np.broadcast_to(part.members, (len(rows), len(part.members)))
+        found.add(rows, near, queries[rows] @ nodes[part.members].T, known)
+        return
+    local, sims = beam_search(nodes[part.members], part.edges, part.start, queries[rows], beam)
+    found.add(rows, np.where(local < 0, -1, part.members[local]), sims, known)
+    if not part.crowds:
+        return
+    leaders = nodes[[c[0] for c in part.crowds]]
+    angle = np.arccos(np.clip(queries[rows] @ leaders.T, -1, 1))
+    # The most promising crowds come first, so that the others are more often ruled out.
+    for c in np.argsort(angle.min(0), kind="stable").tolist():
+        top, least, inner = part.crowds[c]
+        reach = np.cos(np.maximum(0, angle[:, c] - np.arccos(np.clip(least, -1, 1)) - 1e-3))
+        some = rows[reach >= found.best[rows, -1]]
+        if len(some):
+            explore(inner, nodes, queries, some, beam, found, top)
+
+
 def find(data: bytes, query_ids: np.ndarray, vectors: np.ndarray, k: int, beam: int) -> Iterator[tuple]:
-    distinct, nodes, edges, start, ids, first = pickle.loads(data)
+    distinct, nodes, part, ids, first = pickle.loads(data)
+    beam = max(beam, k + 1)
     for at in range(0, len(vectors), 256):
         asked = vectors[at:at + 256]
-        found, _ = beam_search(nodes, edges, start, unit(asked).astype(np.float32), max(beam, k + 1))
+        found = Found(asked, k + 1)
+        explore(part, nodes, unit(asked).astype(np.float32), np.arange(len(asked)), beam, found)
         who, vec, score = [], [], []
-        for q, v, near in zip(query_ids[at:at + 256], asked, found):
-            near = near[near >= 0]
+        for q, v, parts in zip(query_ids[at:at + 256], asked, found.near):
+            near = np.unique(np.concatenate(parts))
             cos = cosines(v, distinct[near])
             hits = []
             # Of equal vectors the k smallest ids other than the query's are enough.

@@ -102,6 +102,39 @@ def test_recall_with_a_large_group_of_copies_and_small_shards(spark):
     assert found / (5 * len(want)) >= 0.95 and all(len(s) == 5 and s == sorted(s, reverse=True) for s in scores.values())
 
 
+def crowded(kind, n=4096, dim=64):
+    """Vectors of which a third are near or scaled copies of one, and which ones."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(n, dim))
+    copies = rng.choice(n, n // 3, replace=False)
+    v[copies] = v[copies[0]]
+    if kind == "scaled":
+        v[copies] *= rng.uniform(.1, 10, size=(len(copies), 1))
+    else:
+        v[copies] += kind * rng.normal(size=(len(copies), dim))
+    return v, np.isin(np.arange(n), copies)
+
+
+@pytest.mark.parametrize("kind", [.01, .1, .3, .8, "scaled"])
+def test_recall_beside_a_crowd_in_a_full_shard(kind):
+    v, copies = crowded(kind)
+    ids = np.arange(len(v))
+    asked = ids[::20]
+    hits = {}
+    for found in ann.find(ann.build(ids, v), asked, v[asked], 5, ann.Settings().query_beam):
+        for q, i, score in zip(*found):
+            if i != q:
+                hits.setdefault(int(q), {})[int(i)] = score
+    u = ann.unit(v)
+    recall = []
+    for q in asked.tolist():
+        best = np.sort(np.delete(u @ u[q], q))[::-1][:5]
+        got = np.sort(list(hits[q].values()))[::-1][:5]
+        recall.append((got >= best[-1] - 1e-12).sum() / 5)
+    recall = np.array(recall)
+    assert recall.mean() >= 0.95 and recall[~copies[asked]].mean() >= 0.95
+
+
 def test_pruning_keeps_diverse_edges():
     nodes = ann.unit(np.array([[1, 0], [1, .01], [1, .02], [0, 1], [1, -.3]])).astype(np.float32)
     kept = ann.robust_prune(nodes, np.array([0]), np.array([[0, 1, 2, 3, 4, -1]]), 4, 1.2)
