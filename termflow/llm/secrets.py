@@ -3,8 +3,8 @@
 Three rules find assignments, access keys and hex digests. Beside them, runs of
 token characters are scored with two character models, one of random strings
 and one of ordinary identifiers, both first-order and learned from labelled
-samples. A run is a secret when the log-likelihood ratio of the two reaches
-``threshold``. Positions count code points and an end is exclusive.
+samples, over all texts of the corpus. A run is a secret when the log-likelihood
+ratio of the two reaches ``threshold``. Positions count code points and an end is exclusive.
 
 Positions come from the parts between the matches, so a scan is linear in the
 text, also with very many matches. A cheap test of the whole text comes before
@@ -12,12 +12,15 @@ each rule and spares most texts the search.
 
 Defined results: a null or empty text has no spans; overlapping spans of the
 rules all stay; runs that overlap a rule's span add none; repeated rows have
-equal results; with no samples every ratio is 0 and no run is a secret; other
-columns stay as they are.
+equal results; with no samples of a label (no rule matches in the whole corpus)
+every ratio is 0, no run is a secret and a warning is logged; other columns stay
+as they are. With only a few matches in the whole corpus the model of random
+strings is weak, and runs that are rare among the words can reach the threshold.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from math import log
@@ -26,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from termflow.llm.common import free_name, source, whole_text
 
+logger = logging.getLogger(__name__)
+
 # The rules.
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -122,14 +127,16 @@ def fit(samples: DataFrame) -> list[float]:
     column ``token`` and a ``label``, 1 for random strings and 0 for ordinary
     identifiers. The first character follows state 0. Null tokens and labels
     count for nothing. The result has ``STATES ** 2`` numbers, whatever the input."""
-    chars = samples.where("token IS NOT NULL AND label IS NOT NULL AND token <> ''").select(
-        (F.col("label") > 0).cast("int").alias("label"), states(F.col("token")).alias("s"))
-    pairs = chars.select("label", F.explode(F.transform(F.col("s"), lambda c, i: F.coalesce(
+    tokens = samples.where("token IS NOT NULL AND label IS NOT NULL AND token <> ''").groupBy(
+        (F.col("label") > 0).cast("int").alias("label"), "token").agg(F.count("*").alias("n"))
+    pairs = tokens.select("label", "n", states(F.col("token")).alias("s")).select("label", "n", F.explode(F.transform(F.col("s"), lambda c, i: F.coalesce(
         F.get("s", i - 1), F.lit(0)) * STATES + c)).alias("pair"))
     counts = [[0] * STATES**2, [0] * STATES**2]
-    for r in pairs.groupBy("label", "pair").count().collect():  # at most 2 * STATES ** 2 rows
+    for r in pairs.groupBy("label", "pair").agg(F.sum("n").alias("count")).collect():  # at most 2 * STATES ** 2 rows
         counts[r["label"]][r["pair"]] = r["count"]
     if not any(counts[0]) or not any(counts[1]):
+        logger.warning("no samples of %s: no ratio is learned, the rules alone find secrets",
+                     "random strings" if any(counts[0]) else "ordinary identifiers")
         return [0.0] * STATES**2
     single = [[sum(c[a * STATES + b] for a in range(STATES)) for b in range(STATES)] for c in counts]
     after = [[sum(c[a * STATES:(a + 1) * STATES]) for a in range(STATES)] for c in counts]
@@ -176,20 +183,29 @@ def redact(docs: DataFrame, ratios: list[float], text: str = "text", threshold:
     return docs.withColumn(text, F.when(F.col(text).isNotNull(), column))
 
 
-def samples(docs: DataFrame, max_docs: int = 2000) -> DataFrame:
-    """Labelled samples of a corpus: what the rules find are random strings, the
-    words of what is left of the same texts ordinary identifiers. Taken from the
-    ``max_docs`` documents whose ids come first by a hash; that bounds the broadcast."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    texts = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(whole_text("text").alias("text"))
-    cleared = F.col("text")
-    for rule in RULES:
-        cleared = F.regexp_replace(cleared, rule.pattern, " ")
-    random = texts.select(F.explode(base_spans(F.col("text"))["value"]).alias("token"), F.lit(1).alias("label"))
-    words = texts.select(F.explode(F.regexp_extract_all(cleared, F.lit("[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0)))
-                         .alias("token"), F.lit(0).alias("label"))
-    return random.where("length(token) >= 16").unionAll(words)
+def samples(docs: DataFrame) -> DataFrame:
+    """Labelled samples of a corpus: what the rules find in all its texts are random
+    strings, the words of what is left ordinary identifiers."""
+    def found(t: Column, rule: Rule) -> Column:
+        values = F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(rule.group))
+        kept = F.filter(values, lambda v: F.length(v) >= max(rule.least, 16))
+        return F.coalesce(F.when(rule.possible(t), kept), F.array().cast("array<string>"))
+
+    def cleared(text: Column, rule: Rule) -> Column:
+        return let(text, lambda t: F.when(rule.possible(t), F.regexp_replace(t, rule.pattern, " ")).otherwise(t))
+
+    def words(t: Column) -> Column:
+        for rule in RULES:
+            t = cleared(t, rule)
+        return F.regexp_extract_all(t, F.lit("[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0))
+
+    def labelled(tokens: Column, label: int) -> Column:
+        return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(label).alias("label")))
+
+    both = let(whole_text("text"), lambda t: F.concat(
+        labelled(F.concat(*[found(t, r) for r in RULES]), 1), labelled(words(t), 0)))
+    # explode_outer: explode would have the texts searched a second time, in a filter.
+    return docs.select(F.explode_outer(both).alias("sample")).select("sample.token", "sample.label")
 
 
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

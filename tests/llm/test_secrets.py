@@ -7,7 +7,7 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
-from termflow.llm.secrets import KINDS, MASK, fit, log_ratio, op4_secret_scans, redact, scan
+from termflow.llm.secrets import KINDS, MASK, fit, log_ratio, op4_secret_scans, redact, samples, scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -86,6 +86,28 @@ def test_no_samples(spark):
     assert scan(docs.limit(0), ratios).collect() == []
 
 
+def test_samples_of_every_document(spark):
+    """Only the last documents by a hash of their ids have a rule match."""
+    rng = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    ids = [r.id for r in spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()]
+    words = "user account identifier number value total create update delete message".split()
+    texts = {i: " ".join(rng.choice(words) for _ in range(20)) for i in ids}
+    for i in ids[-500:]:
+        texts[i] += " token=" + "".join(rng.choice(letters) for _ in range(40))
+    docs = spark.createDataFrame([*texts.items(), (None, "password=Qz81LmWx72RtVb90"), (-1, None)], "doc_id long, text string")
+    got = samples(docs)
+    assert got.where("label = 1").count() == 501
+    assert got.where("label = 0").count() == 3000 * 20
+    other = spark.createDataFrame([(1, "see kx8Zq2Lm9Vb4Tn8Rw1Zc6Yt5Gh3Jd7Fp there")], "doc_id long, text string")
+    assert [s.kind for s in scan(other, fit(got)).first().spans] == [3]
+
+
+def test_a_corpus_without_matches_is_reported(spark, caplog):
+    docs = spark.createDataFrame([(1, "ordinary words without anything else")], "doc_id long, text string")
+    assert not any(fit(samples(docs))) and "no samples of random strings" in caplog.text
+
+
 def test_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in op4_secret_scans(spark, sf).collect()}
