@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from termflow.llm.common import source, whole_text
+from termflow.llm.common import free_name, source, whole_text
 from termflow.llm.library import ids_with_end
 from termflow.session import checkpoint
 
@@ -183,7 +183,7 @@ def left_over(where: np.ndarray, fill: np.ndarray, capacity: int) -> np.ndarray:
     return np.isin(where, some)
 
 
-def packer(capacity: int, level: int, last: bool):
+def packer(capacity: int, level: int, last: bool, shards: int):
     """Packs the pieces of one shard, given as a table with a column ``shard``."""
 
     def packed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -194,7 +194,7 @@ def packer(capacity: int, level: int, last: bool):
         length = group["length"].to_numpy()
         where, offset, fill = pack_shard(length, capacity)
         settled = np.full(len(length), last) | ~left_over(where, fill, capacity)
-        number = (level << 56) + (key[0].as_py() << 20) + where
+        number = (level << 56) + (key[0].as_py() << 56 - shards.bit_length()) + where
         for name, column in (("sequence_id", number), ("offset", offset), ("settled", settled)):
             group = group.append_column(name, pa.array(column))
         return group
@@ -206,6 +206,9 @@ def pack(pieces: DataFrame, capacity: int, shard: int = SHARD) -> DataFrame:
     """``pieces`` (with a column ``length`` of 1 to ``capacity``) with the columns
     ``sequence_id`` and ``offset``."""
     columns = pieces.columns
+    # The salt deals equal rows apart; the checkpoint fixes it.
+    salt = free_name(pieces, "salt")
+    pieces = pieces.withColumn(salt, F.monotonically_increasing_id())
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, " \
              "sequence_id bigint, offset bigint, settled boolean"
     pieces = checkpoint(pieces)
@@ -220,12 +223,12 @@ def pack(pieces: DataFrame, capacity: int, shard: int = SHARD) -> DataFrame:
         last = n <= shard or before is not None and 2 * n > before
         before = n
 
-        key = F.pmod(F.xxhash64(F.lit(level), *[c for c in columns if c != "length"]), F.lit(shards)).alias("shard")
-        got = checkpoint(rest.select(*columns, key).repartition(shards, "shard").groupBy("shard").applyInArrow(packer(capacity, level, last), schema))
-        out = out.unionByName(got.where("settled").drop("settled"))
+        key = F.pmod(F.xxhash64(F.lit(level), salt), F.lit(shards)).alias("shard")
+        got = checkpoint(rest.select(*columns, salt, key).repartition(shards, "shard").groupBy("shard").applyInArrow(packer(capacity, level, last, shards), schema))
+        out = out.unionByName(got.where("settled").drop("settled", salt))
         if last:
             return out
-        rest = got.where("NOT settled").select(*columns)
+        rest = got.where("NOT settled").select(*columns, salt)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) -> DataFrame:

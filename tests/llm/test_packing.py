@@ -70,6 +70,16 @@ def test_many_shards(spark):
     assert pack(df.limit(0), 100).collect() == []
 
 
+def test_equal_rows_are_dealt_apart(spark):
+    df = spark.createDataFrame([(None, 30)] * 640, "doc_id long, length long")
+    got = pack(df, 100, shard=64).toPandas()
+    # Ten shards in the first round, numbered from bit 52 on.
+    first = got.sequence_id[got.sequence_id < 2 << 56]
+    shards = (first % (1 << 56)) // (1 << 52)
+    assert shards.nunique() == 10 and shards.value_counts().max() <= 128
+    assert len(got) == 640 and got.groupby("sequence_id").length.sum().max() <= 100
+
+
 def checked(packed, rows, capacity=2048):
     library = Tokenizer.from_file(PATH)
     want = []
