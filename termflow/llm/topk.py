@@ -13,13 +13,16 @@ Defined results: rows whose vector is null or empty, or holds a null or a
 non-finite component, take no part; a zero vector does; a query sees rows of its
 own dimension only, and no row of its own id; repeated rows of one id and vector
 are one row, and rows of one id with several vectors have the best of their
-scores; ties go to the smaller vec_id; an empty table gives no rows.
+scores; ties go to the smaller vec_id; an empty table gives no rows. Components
+of any size are exact; a score among a shard's best that does not fit a bigint
+ends the query with an error.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from math import floor
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,10 +35,20 @@ K = 5
 
 
 def quantised(vectors: np.ndarray) -> np.ndarray:
-    ints = np.floor(256.0 * vectors)
-    if np.abs(ints).max(initial=0) >= 1 << 25:
-        raise ValueError("components beyond 2 ** 17 would overflow the sums")
-    return ints.astype(np.int64)
+    """floor(256 * x) of each component: 64-bit integers, or Python's where one is too large."""
+    if np.abs(vectors).max(initial=0) < 2.0**53:
+        return np.floor(256.0 * vectors).astype(np.int64)
+    # From 2 ** 53 on every double is an integer.
+    flat = [int(x) * 256 if abs(x) >= 2.0**53 else floor(256.0 * x) for x in vectors.ravel().tolist()]
+    return np.array(flat, object).reshape(vectors.shape)
+
+
+def scores(ints: np.ndarray, query: np.ndarray) -> list[int]:
+    """The inner products of rows with a query, in Python's integers where a sum could overflow."""
+    large = ints.dtype == object or query.dtype == object
+    if large or np.abs(ints).max(0, initial=0).astype(float) @ np.abs(query).astype(float) >= 2.0**62:
+        ints, query = ints.astype(object), query.astype(object)
+    return [int(x) for x in ints @ query]
 
 
 def packed(bits: np.ndarray) -> np.ndarray:
@@ -135,9 +148,11 @@ def find(data: bytes, query_ids: np.ndarray, vectors: np.ndarray, k: int = K) ->
             # Rows stand in order of their ids, so the first ties are those of the smallest.
             rows = np.concatenate([rows, ties[:k * (1 + spare) - len(rows)]])
             best: dict[int, int] = {}
-            for r, s in zip(ids[rows].tolist(), (ints[rows] @ q[i]).tolist()):
+            for r, s in zip(ids[rows].tolist(), scores(ints[rows], q[i])):
                 best[r] = max(s, best.get(r, s))
             for r, s in sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]:
+                if not -2**63 <= s < 2**63:
+                    raise OverflowError(f"the score of rows {qid[i]} and {r} does not fit a bigint")
                 who.append(qid[i])
                 vec.append(r)
                 score.append(s)

@@ -67,6 +67,16 @@ def test_odd_rows(spark):
         assert f(table.limit(0), asked).collect() == [] and f(table, asked.limit(0)).collect() == []
 
 
+def test_large_components(spark):
+    rows = [(0, [1.5, 0.0]), (1, [2.0**17, 1e300]), (2, [2.0**40, -1e300]), (3, [-2.0**44, 5.0]), (4, [1.0, 1.0]), (5, [2.0**17, 7.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [[int(256 * x) if x < 1e200 else int(x) * 256 for x in v] for _, v in rows]
+    got = rows_of(topk.exact_top_k(table, table.where("vec_id = 0")))
+    assert got == brute(range(6), ints, lambda a, b: sum(x * y for x, y in zip(a, b)))
+    with pytest.raises(OverflowError):
+        list(topk.find(topk.build(np.arange(2), np.full((2, 1), 2.0**40)), np.array([9]), np.full((1, 1), 2.0**40)))
+
+
 def cosine_hits(ids, v, k=5):
     u = v / np.linalg.norm(v, axis=1)[:, None]
     out = {}
