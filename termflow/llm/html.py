@@ -7,7 +7,7 @@ are not displayed leave no text, blocks stand on lines of their own with a blank
 line where a page has a margin, list items have their markers and indentation,
 preformatted text keeps its white space, and the cells of a table are aligned in
 columns. What hides an element: its kind, the ``hidden`` attribute, its style,
-simple rules of the page's style sheets, a closed ``details`` or ``dialog``.
+simple rules of the page's style sheets (not those in ``@`` blocks), a closed ``details`` or ``dialog``.
 
 Defined results: a null or empty page has the empty text; a page is read whole,
 however long or deeply nested; a tag that never ends drops what follows it, as
@@ -50,6 +50,7 @@ _NAME = re.compile(r"[a-zA-Z][^\t\n\f\r />]*")
 _ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>=][^\s/>=]*+|=[^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?""")
 _OPEN_QUOTE = re.compile(r"[ \t\n\r\f]*+=[ \t\n\r\f]*+[\"']")
 _RULE = re.compile(r"([^{}]*+)\{([^{}]*+)\}")
+_CSS_MARK = re.compile(r"""\\.|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[@{};]""", re.S)
 _SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
 
 
@@ -302,10 +303,7 @@ class Parser:
     def sheet(self, css: str) -> None:
         """Keep the rules with simple selectors that decide what is displayed."""
         css = re.sub(r"/\*.*?(\*/|\Z)", "", css, flags=re.S)
-        css = re.sub(r"@[^{};]*;", "", css)
-        if "@" in css:
-            return  # rules that hold under conditions
-        for selectors, body in _RULE.findall(css):
+        for selectors, body in _RULE.findall(without_at_rules(css)):
             if re.search(r"display|visibility|white-space", body, re.I):
                 for s in selectors.split(","):
                     m = _SIMPLE.match(s.strip())
@@ -313,6 +311,31 @@ class Parser:
                         self.rules.append(((m[1] or "").lower(), m[2] or "", body))
 
 
+def without_at_rules(css: str) -> str:
+    """A sheet without its ``@...;`` and ``@...{...}``, whose end is that of their
+    braces; one without end takes the rest. Strings and escapes are passed over."""
+    out, at, depth, last = [], 0, 0, 0
+    start, base = -1, 0  # of the at-rule that is open
+    for m in _CSS_MARK.finditer(css):
+        mark = m[0]
+        if mark == "@":
+            # In a rule's body only where a declaration can begin.
+            if start < 0 and (depth == 0 or not css[last:m.start()].strip()):
+                out.append(css[at:m.start()])
+                start, base = m.start(), depth
+            continue
+        if mark not in "{};":
+            continue
+        last = m.end()
+        depth = max(0, depth + (mark == "{") - (mark == "}"))
+        if start >= 0 and mark != "{" and depth <= base:
+            # A brace that closes the rule around an at-rule without a block stays.
+            at, start = m.start() if depth < base else m.end(), -1
+    if start < 0:
+        out.append(css[at:])
+    return "".join(out)
+
+
 def declared(body: str, found: dict[str, str]) -> None:
     for part in body.lower().split(";"):
         key, colon, value = part.partition(":")

@@ -91,6 +91,18 @@ def test_no_word_of_a_page_is_lost(spark):
         assert "".join(want) == "".join(got)
 
 
+@pytest.mark.parametrize("sheet, shown", [
+    (".x{display:none} @media print{p{color:red}}", False),
+    ("@font-face{font-family:a} @media print{p{display:none} b{color:red}} .x{display:none}", False),
+    ("@import 'a{b'; .x{display:none}", False),
+    (".x{background:url(a@2x.png);display:none}", False),
+    ("@media print{.x{display:none}}", True),
+    ("@media print{b{color:red} .x{display:none}", True),
+    (".x{color:red; @media print{.x{display:none}}}", True)])
+def test_plain_rules_beside_at_blocks(sheet, shown):
+    assert page_text(f"<style>{sheet}</style><p class=x>some</p><p>yes") == ("some\n\nyes" if shown else "yes")
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("a b <p> </p> <div> </div> <ul> <li> </ul> <table> <tr> <td> </table> </td> <b> </b> <br> <pre> </pre> "
                                 "<ol> </ol> <dl> <dd> <th> <thead> <caption> </tr> <span> </span> <select> <option> </select>".split()
