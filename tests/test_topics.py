@@ -119,3 +119,24 @@ def test_empty_document_kept(spark):
     assert {k: v.toArray().tolist() for k, v in got.items()} == {
         0: [0, 0, 0, 0], 1: [2, 0, 0, 1], 2: [0, 5, 0, 0]}
     assert got[0].numNonzeros() == 0
+
+
+@pytest.mark.parametrize("shape, whole", [("lda_topic_shape", "lda_text_topics"), ("topic_score_shape", "lda_scores")])
+def test_shapes_are_of_the_published_fit(monkeypatch, shape, whole):
+    """Both ask for the same fit; nothing is fitted here."""
+    from termflow.plans import topics
+
+    class Asked(Exception):
+        pass
+
+    def asked(docs, **settings):
+        raise Asked(settings)
+
+    monkeypatch.setattr(topics, "documents", lambda spark, sf_dir: None)
+    monkeypatch.setattr(topics, "fit_text_topics", asked)
+    settings = []
+    for name in (shape, whole):
+        with pytest.raises(Asked) as e:
+            topics.QUERIES[name](None, "")
+        settings.append(e.value.args[0])
+    assert settings[0] == settings[1]
