@@ -9,6 +9,7 @@ from termflow.llm.html import op1_html_extraction
 from termflow.llm.jaccard import op2_ngram_jaccard_join
 from termflow.llm.packing import op10_best_fit_packing
 from termflow.llm.secrets import op4_secret_scans
+from termflow.llm.substrings import ORACLE_SQL as SUBSTRINGS_SQL, op12_substring_dedup
 from termflow.llm.topk import ORACLE_SQL as TOPK_SQL, op6_exact_top_k
 from termflow.llm.toxicity import op8_toxicity
 from termflow.llm.warc import ORACLE_SQL as WARC_SQL, op7_warc_archives
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_wavelet_token_files": op9_wavelet_token_files,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_substring_dedup": op12_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_top_k": TOPK_SQL,
     "op7_warc_archives": WARC_SQL,
+    "op12_substring_dedup": SUBSTRINGS_SQL,
 }

@@ -53,13 +53,16 @@ class Words:
         parts = [raw[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist())]
         return b"\n".join(parts).decode("utf-8", "replace").split("\n")
 
-    def hashes(self, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each whole word (or of the given byte ranges)."""
+    def hashes(self, start: np.ndarray | None = None, end: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each whole word (or of the given byte ranges). Under a
+        seed that is not known, no two words can be made that share one."""
         start = self.start if start is None else start
         end = self.end if end is None else end
         length = end - start
         lanes = np.lib.stride_tricks.as_strided(self.buf[:8].view(np.uint64), (len(self.buf) - 7,), (1,))
-        h = mix((lanes[start] & _LOW[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = mix((lanes[start] & _LOW[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                + np.uint64(seed & 2**64 - 1))
+        h = mix(h ^ np.uint64((seed * 0xD6E8FEB86659FD93 + 1) >> 7 & 2**64 - 1)) if seed else h
         more = np.flatnonzero(length > 8)
         at = start[more] + 8
         while len(more):
