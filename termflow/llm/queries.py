@@ -14,6 +14,7 @@ from termflow.llm.topk import ORACLE_SQL as TOPK_SQL, op6_exact_top_k
 from termflow.llm.toxicity import op8_toxicity
 from termflow.llm.warc import ORACLE_SQL as WARC_SQL, op7_warc_archives
 from termflow.llm.wavelet import op9_wavelet_token_files
+from termflow.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_wavelet_token_files": op9_wavelet_token_files,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_substring_dedup": op12_substring_dedup,
 }
 
