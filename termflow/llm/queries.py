@@ -8,6 +8,7 @@ from termflow.llm.bpe import op3_bpe_encoding
 from termflow.llm.html import op1_html_extraction
 from termflow.llm.jaccard import op2_ngram_jaccard_join
 from termflow.llm.packing import op10_best_fit_packing
+from termflow.llm.ranked import ORACLE_SQL as RANKED_SQL, op13_ranked_search
 from termflow.llm.secrets import op4_secret_scans
 from termflow.llm.substrings import ORACLE_SQL as SUBSTRINGS_SQL, op12_substring_dedup
 from termflow.llm.topk import ORACLE_SQL as TOPK_SQL, op6_exact_top_k
@@ -29,10 +30,12 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_top_k": TOPK_SQL,
     "op7_warc_archives": WARC_SQL,
     "op12_substring_dedup": SUBSTRINGS_SQL,
+    "op13_ranked_search": RANKED_SQL,
 }
