@@ -45,8 +45,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from termflow.llm.common import drop_written, source, whole_text, written
+from termflow.llm.common import source, whole_text
 from termflow.llm.words import cut, mix
+from termflow.session import checkpoint
 
 WINDOW = 35
 #: Words of a gram, of a window of 35: twenty grams stand in a window.
@@ -59,8 +60,8 @@ FLUSH = 1 << 20
 HOT = 100
 #: Bytes of the merged sketch that may be broadcast.
 BROADCAST_BYTES = 64 << 20
-#: Windows of which a task remembers that it has met them.
-SEEN = 2_000_000
+#: Slots, as a power of two, in which a task remembers the windows that it has met.
+SEEN_BITS = 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 RUN = "anchor bigint, id bigint, mark bigint, start int, hashes binary, repeated bigint"
 
@@ -220,7 +221,8 @@ def candidate_runs(texts: DataFrame, window: int, gram: int, seed: int, bits: in
     windows a task has met twice before, which have their windows marked already."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        # Windows met by this task, the last of each slot, and how often, up to 2.
+        slot_key, slot_met = np.zeros(1 << SEEN_BITS, np.uint64), np.zeros(1 << SEEN_BITS, np.int64)
         for whole in batches:
             for b in batches_of(whole):
                 w = Windows(b.column("text"), window, gram, seed)
@@ -251,14 +253,15 @@ def candidate_runs(texts: DataFrame, window: int, gram: int, seed: int, bits: in
                 order = np.lexsort((np.arange(len(known)), known))
                 ordered = known[order]
                 head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-                nth = np.empty(len(known), np.int64)
-                nth[order] = np.arange(len(known)) - np.maximum.accumulate(np.where(head, np.arange(len(known)), 0))
-                nth += np.isin(known, once).astype(np.int64) + np.isin(known, twice)
-                met = nth > 1
-                if len(twice) + len(once) > SEEN:
-                    once, twice = np.empty(0, np.uint64), np.empty(0, np.uint64)
-                twice = np.union1d(twice, known[nth == 1])
-                once = np.union1d(once, known[~met])
+                first = np.flatnonzero(head)
+                count = np.diff(np.append(first, len(known)))
+                uniq = ordered[first]
+                slot = (uniq >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+                before = np.where(slot_key[slot] == uniq, slot_met[slot], 0)
+                slot_key[slot] = uniq
+                slot_met[slot] = np.where(slot_key[slot] == uniq, np.minimum(before + count, 2), 0)
+                met = np.empty(len(known), bool)
+                met[order] = np.arange(len(known)) - np.repeat(first - before, count) > 1
                 # Runs by anchor; windows of a hot anchor each by itself; marks that are sure.
                 send = (np.bincount(of, ~met, len(run)) > 0) & ~hot
                 single = np.flatnonzero(~met & hot[of])
@@ -351,23 +354,18 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(BLOCK_BITS - 6, (size // 16).bit_length())
     sketch = merged_sketch(texts, window, gram, seed, bits)
-    shared, paths = None, []
+    shared = None
     if 2 * ROWS << bits - 3 <= broadcast_bytes:
         blocks = np.zeros((ROWS, 2, 1 << bits - 3), np.uint8)
         step = 1 << min(bits, BLOCK_BITS) - 3
-        for r in sketch.toLocalIterator():
+        for r in sketch.collect():  # bounded by broadcast_bytes
             for plane, data in enumerate((r["often"], r["hot"])):
                 blocks[r["row"], plane, r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(data, np.uint8)
         shared = spark.sparkContext.broadcast(blocks)
         likely = texts
     else:
-        sketch, path = written(sketch, "sketch")
-        paths.append(path)
-        likely = joined_estimates(texts, sketch, window, gram, seed, bits)
-    marks, path = written(repeated_windows(candidate_runs(likely, window, gram, seed, bits, shared)), "repeated")
-    drop_written(spark, *paths)
-    if shared is not None:
-        shared.unpersist()
+        likely = joined_estimates(texts, checkpoint(sketch), window, gram, seed, bits)
+    marks = repeated_windows(candidate_runs(likely, window, gram, seed, bits, shared))
     spans = marks.groupBy(F.col("id").alias("s_id"), F.col("mark").alias("s_mark")).agg(
         F.collect_list("start").alias("starts"), F.collect_list("repeated").alias("bits"))
     rows = texts.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left")
