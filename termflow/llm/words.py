@@ -1,8 +1,7 @@
 """Arrow batches of texts cut into words, and a table of words' ids.
 
 A word is a run between ASCII white space. Words are found and hashed for a
-whole batch at once, from 8-byte lanes of the text buffer; the bytes of short
-words are their own key. Used by the tokenising operators (a text's ids are
+whole batch at once, from 8-byte lanes of the text buffer. Used by the tokenising operators (a text's ids are
 those of its words, because the word tokenizer drops white space and no rule
 of it looks across: NFC composes nothing over a space, lower-casing works on
 single code points, and every alternative of its split pattern excludes white
@@ -11,6 +10,7 @@ space) and by the shingle and feature hashing ones.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -60,9 +60,12 @@ class Words:
         end = self.end if end is None else end
         length = end - start
         lanes = np.lib.stride_tricks.as_strided(self.buf[:8].view(np.uint64), (len(self.buf) - 7,), (1,))
-        h = mix((lanes[start] & _LOW[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                + np.uint64(seed & 2**64 - 1))
-        h = mix(h ^ np.uint64((seed * 0xD6E8FEB86659FD93 + 1) >> 7 & 2**64 - 1)) if seed else h
+        h, size = lanes[start] & _LOW[np.minimum(length, 8)], length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        if seed:
+            keys = mix(np.arange(1, 3, dtype=np.uint64) + np.uint64(seed & 2**64 - 1))
+            h = mix(mix(h ^ keys[0]) + size ^ keys[1])
+        else:
+            h = mix(h + size)
         more = np.flatnonzero(length > 8)
         at = start[more] + 8
         while len(more):
@@ -103,12 +106,14 @@ class WordTable:
     ``encode_new`` gets distinct words as strings and returns all their ids in
     one array and where each word's ids end. The table starts anew beyond
     ``limit`` words. Words of more than 64 bytes are encoded each time, so the
-    table's keys are hashes of at most eight lanes.
+    table's keys are hashes of at most eight lanes, under a seed that the table draws
+    itself: no text can be made whose words take the ids of others.
     """
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  limit: int = 2_000_000):
         self.encode_new, self.limit = encode_new, limit
+        self.seed = secrets.randbits(64) | 1
         self.clear()
 
     def clear(self) -> None:
@@ -135,7 +140,7 @@ class WordTable:
         at, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
         long = words.end - words.start > LONGEST
         short = np.flatnonzero(~long)
-        key = words.hashes(words.start[short], words.end[short])
+        key = words.hashes(words.start[short], words.end[short], self.seed)
         order = np.argsort(key)
         ordered = key[order]
         head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(key) else np.empty(0, np.int64)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from termflow.llm.bpe import WordBpe, bpe_round_trip, decode, op3_bpe_encoding
 from termflow.llm.library import LibraryEncoder
-
+from termflow.llm.words import Words, cut, mix
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -102,3 +103,35 @@ def test_unknown_id():
     with pytest.raises(ValueError):
         MODELS[0].decode(pa.array([[10**6]], pa.list_(pa.int32())))
     assert MODELS[0].decode(pa.array([[], None], pa.list_(pa.int32()))).to_pylist() == ["", ""]
+
+
+def colliding_words(n):
+    """Pairs of words with the same unkeyed hash, as they can be made in seconds."""
+    rng = np.random.default_rng(0)
+    pairs = [("uugnoyeywqsspuzt", 'eddhzacd&*e/y"yt')]
+    while len(pairs) < n:
+        a, c = rng.integers(97, 123, (2, 200_000, 16)).astype(np.uint8)
+        first = [mix(x[:, :8].copy().view(np.uint64).ravel() + np.uint64(16 * 0x9E3779B97F4A7C15 & 2**64 - 1)) for x in (a, c)]
+        second = (first[0] + a[:, 8:].copy().view(np.uint64).ravel() - first[1]).view(np.uint8).reshape(-1, 8)
+        good = ((second > 32) & (second < 127)).all(axis=1)
+        pairs += [(bytes(x).decode(), bytes(y[:8]).decode() + bytes(z).decode()) for x, y, z in zip(a[good], c[good], second[good])]
+    return pairs[:n]
+
+
+def test_words_made_to_collide_keep_their_ids():
+    pairs = colliding_words(1001)
+    words = cut(pa.array([f"{a} {b}" for a, b in pairs]))
+    h = words.hashes()
+    assert (h[::2] == h[1::2]).all() and not (words.hashes(seed=5)[::2] == words.hashes(seed=5)[1::2]).any()
+    texts = [w for p in pairs for w in p]
+    for model in (WordBpe(PATH), LibraryEncoder(PATH)):
+        assert ids_of(model, texts) == wanted(texts)
+
+
+def test_lengths_are_part_of_a_key():
+    # Under additive keys a word of 7 bytes and one of 8 could share a hash whatever the seed.
+    short = np.frombuffer(b"abcdefg\0", np.uint64)
+    long = (short - np.uint64(0x9E3779B97F4A7C15)).tobytes()
+    buf = np.frombuffer(b"abcdefg" + long + bytes(8), np.uint8).copy()
+    words = Words(buf, np.array([0, 7]), np.array([7, 15]), np.array([0, 2]))
+    assert len(set(words.hashes().tolist())) == 1 and len(set(words.hashes(seed=9).tolist())) == 2
