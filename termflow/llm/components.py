@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from termflow.session import checkpoint
 
+#: Edges of one task that writes them.
+EDGES = 20_000
+
 
 def star_roots(edges: DataFrame) -> DataFrame:
     """The smallest node of the component of every node that has an edge, but for
@@ -19,7 +22,7 @@ def star_roots(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     now = checkpoint(edges.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).distinct())
-    print_of = None
+    print_of, parts = None, None
     while True:
         both = now.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(
             now.select(F.col("root").alias("u"), F.col("node").alias("v")))
@@ -29,7 +32,9 @@ def star_roots(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("node"), F.col("m").alias("root")),
             F.struct(F.col("v").alias("node"), F.col("m").alias("root")))).alias("e")).select("e.*")
-        now = checkpoint(small.where("node <> root").distinct())
+        small = small.where("node <> root").distinct()
+        now = checkpoint(small if parts is None else small.coalesce(parts))  # few files where few edges are left
         was, print_of = print_of, now.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
+        parts = 1 + print_of[0] // EDGES
         if was == print_of:
             return now

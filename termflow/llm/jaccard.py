@@ -1,54 +1,58 @@
 """N-gram Jaccard join by vertical partitioning, without all pairs of a group.
 
 Documents are sets of hashed word shingles. All shingles stand in one global
-order, rare ones first: by the level of their document count (counted in a
-fixed number of hash slots over the whole corpus), then by hash. Two sets with
-a Jaccard similarity of at least t share a shingle among the first
-``n - ceil(t * n) + 1`` of either, so only documents that meet there can link.
+order, rare ones first: by the level of their document count (every other
+shingle is counted, over the whole corpus, see ``levels.py``), then by hash. Two sets
+with a Jaccard similarity of at least t share a shingle among the first
+``n - ceil(t * n) + 1`` of either, so only documents that meet there can link. Early
+shingles that are known to stand in one document alone meet nobody and go nowhere.
 
-The order is cut into fragments. For a candidate pair the overlap is counted in
+The hash order is cut into fragments. For a candidate pair the overlap is counted in
 each fragment by itself, and the partial counts are summed per pair. Before that,
 exact bounds drop pairs that cannot reach t: their sizes, the parities of their
 shingles on 512 bits (sets differ in at least as many shingles as in bits), and
 the overlap of their early shingles with all that may follow. Only the sets of
 pairs that are left are cut and sent.
 
-Equal sets are one class and stand for all their copies. In a bucket of classes
-that share an early shingle, all are first compared with the smallest one, then,
-where their components still differ, with the largest one; only then all pairs
-across different components are compared, members of a bucket's largest
-component with outsiders alone. So a group of many near copies costs a few
-comparisons for each, and every link between two components is still found.
+Equal sets are one class and stand for all their copies. Classes whose shingles are
+frequent on average, the likely originals of near copies, come first. Every class is first
+compared with the first class of most of its buckets (a bucket: the classes that
+share an early shingle). Then all pairs across different components are compared, members
+of a bucket's largest component with outsiders alone. So a group of many near
+copies costs a few comparisons for each, and every link between two components
+is still found.
 
 Defined results: a null or empty text, or one without words, has no shingles
 and links with nothing; a row without an id links with nothing and its
 component is null; rows with one id are one document: its component is the
 smallest that its rows reach; ties do not arise, the component is a minimum; an
-empty table gives no rows. Other columns play no part. Shingles and classes are
-64-bit hashes.
+empty table gives no rows. Other columns play no part. Shingles are 64-bit hashes
+keyed anew in every run, sets are told apart by 112 bits.
 """
 
 from __future__ import annotations
 
-import zlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from termflow.llm.common import drop_written, free_name, source, whole_text, written
+from termflow.llm.common import drop_written, free_name, shared_folder, source, whole_text, written
 from termflow.llm.components import star_roots
+from termflow.llm.levels import Levels, counted, in_parts, slices
 from termflow.llm.words import cut, mix
 from termflow.session import checkpoint
 
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Slots of the document counts; one byte of each goes to every task. More slots
-#: separate counts better: one for every ten shingles of the corpus does.
-SLOT_BITS = 24
+#: The rank of shingles that were not counted: behind counts of up to 8.
+UNCOUNTED = 8
 FRAGMENTS = 8
+#: Members of a large bucket that one task compares with the others.
+BUCKET = 256
 #: Rows of ids that may be broadcast: 16 MB.
 BROADCAST_IDS = 1_000_000
 #: 64-bit words of parities.
@@ -57,10 +61,10 @@ BITS = tuple(f"bits{i}" for i in range(PARITY))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: pa.Array, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, sorted, and where each begins."""
     words = cut(texts, lower=True)
-    h = words.hashes()
+    h = words.hashes(seed=seed)
     size = np.diff(words.first)
     rows, hashes = [], []
     full = np.maximum(size - WORDS + 1, 0)
@@ -93,95 +97,83 @@ def sums(value: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends[1:]] - total[ends[:-1]]
 
 
-def set_classes(value: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each set as a signed number; equal sets, equal hashes."""
-    return mix(sums(mix(value ^ _STEP), ends) + np.diff(ends).astype(np.uint64)).view(np.int64)
+def set_classes(value: np.ndarray, ends: np.ndarray, score: np.ndarray | None = None) -> np.ndarray:
+    """16 bytes for each set: 14 of a hash, equal for equal sets, behind two for a
+    ``score`` under 2^16 of the set, by which classes sort."""
+    n = np.diff(ends).astype(np.uint64)
+    both = np.column_stack([mix(sums(mix(value ^ _STEP), ends) + n), mix(sums(mix(value + _STEP), ends) ^ n)])
+    as_bytes = np.ascontiguousarray(both).view(np.uint8).reshape(len(n), 16)
+    as_bytes[:, :2] = 0 if score is None else score.astype(">u2").view(np.uint8).reshape(len(n), 2)
+    return as_bytes
 
 
-def slots(value: np.ndarray, bits: int) -> np.ndarray:
-    return (value >> np.uint64(64 - bits)).astype(np.int64)
+def oddity(rank: np.ndarray, counted: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """A score of each set: small where its shingles are frequent on average, as
+    they are in the original of many near copies."""
+    size = np.maximum(np.bincount(row[counted], minlength=rows), 1)
+    return np.maximum(0, 65535 - 800 * np.bincount(row[counted], rank[counted], rows) // size).astype(np.uint16)
 
 
-def count_levels(docs: DataFrame, text: str, bits: int = SLOT_BITS) -> np.ndarray:
-    """The level of each slot's document count: 0 up to twice the mean, then about
-    one more for each doubling. A task counts by slot (up to 255, which can only
-    lower a level), and the tasks' counts are summed by block of slots. The driver
-    gets a byte for each slot, whatever the input."""
-    size = 1 << min(bits, 16)
+def is_counted(value: np.ndarray) -> np.ndarray:
+    """The shingles that are counted: every other one by its hash."""
+    return value & np.uint64(1) == 0
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.zeros(1 << bits, np.uint8)
-        for b in batches:
-            value, _ = shingle_sets(b.column(0))
-            slot, n = np.unique(slots(value, bits), return_counts=True)
-            got[slot] = np.minimum(got[slot] + n, 255)
-        for i, part in enumerate(got.reshape(-1, size) if got.any() else ()):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()),
-                                              "counts": [zlib.compress(part, 1)]})
 
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for b in batches:
-            for c in b.column(1):
-                total += np.frombuffer(zlib.decompress(c.as_buffer()), np.uint8)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "sum": pa.array([int(total.sum())]),
-                                          "code": [scale(total).astype(np.uint8).tobytes()]})
-
-    parts = (docs.select(whole_text(text).alias("text")).mapInArrow(count, "block int, counts binary")
-             .groupBy("block").applyInArrow(add, "block int, sum bigint, code binary").collect())
-    code = np.zeros(1 << bits, np.uint8)
-    for r in parts:
-        code[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["code"], np.uint8)
-    base = scale(max(1.0, 2 * sum(r["sum"] for r in parts) / len(code)))
-    return np.maximum(0, np.ceil((np.arange(256) - base) / 4)).astype(np.uint8)[code]
-
-
-def scale(count) -> np.ndarray:
-    """Four steps for each doubling."""
-    return np.floor(4 * np.log2(np.asarray(count) + 1.0))
+def ranks(levels: Levels, part: int, value: np.ndarray) -> np.ndarray:
+    """The first part of the global order: shingles known to be of one row, then rare
+    ones, then those that were not counted, then frequent ones."""
+    level = levels.of(part, value)
+    return np.where(is_counted(value), level, np.uint8(UNCOUNTED)).astype(np.uint8)
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, levels, bits: int, percent: int) -> DataFrame:
+def sketches(docs: DataFrame, levels: Levels, percent: int, seed: int) -> DataFrame:
     """Rows of id, set size, class, where the early shingles end in the order, the
-    parities of the set, and the early shingles; of the copies that one task meets only the first has these."""
+    parities of the set, and those of the early shingles that another row may have;
+    of the copies that one task meets only the first has these."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen = levels.value, set()
-        for b in batches:
-            value, ends = shingle_sets(b.column("text"))
-            n, of = np.diff(ends), set_classes(value, ends)
-            row = np.repeat(np.arange(len(n)), n)
-            value = value[np.lexsort((value, level[slots(value, bits)], row))]
-            take = prefix_size(n, percent)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            known = b.column("doc_id").is_valid().to_pylist()
-            for i, c in enumerate(of.tolist()):
-                if c in seen or not known[i]:
-                    take[i] = 0
-                else:
-                    seen.add(c)
-            first = np.concatenate([[0], np.cumsum(take)])
-            at = np.repeat(ends[:-1], take) + np.arange(first[-1]) - np.repeat(first[:-1], take)
-            # Where the early shingles end in the global order: level, then hash.
-            last = np.zeros(len(n), np.int64)
-            some = n > 0
-            end = value[ends[:-1][some] + prefix_size(n, percent)[some] - 1]
-            last[some] = level[slots(end, bits)].astype(np.int64) << 56 | (end >> np.uint64(8)).astype(np.int64)
-            parity = parities(value, row, len(n))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(of), pa.array(last),
-                 *[pa.array(parity[:, i].copy()) for i in range(PARITY)],
-                 pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value[at].view(np.int64)))],
-                ["doc_id", "n", "class", "last", *BITS, "early"])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(
-        sketch, f"doc_id bigint, n bigint, class bigint, last bigint, {', '.join(f'{b} bigint' for b in BITS)}, "
-                "early array<bigint>")
+        seen = set()
+        for whole in batches:
+            for part, b in slices(whole):
+                value, ends = shingle_sets(b.column("text"), seed)
+                n = np.diff(ends)
+                row = np.repeat(np.arange(len(n)), n)
+                parity = parities(value, row, len(n))
+                rank = ranks(levels, part, value)
+                of = set_classes(value, ends, oddity(rank, is_counted(value), row, len(n)))
+                order = np.lexsort((value, rank, row))
+                value, rank = value[order], rank[order]
+                take = prefix_size(n, percent)
+                # Where the early shingles end in the global order: rank, then hash.
+                last = np.zeros(len(n), np.int64)
+                some = n > 0
+                end = ends[:-1][some] + take[some] - 1
+                last[some] = rank[end].astype(np.int64) << 56 | (value[end] >> np.uint64(8)).astype(np.int64)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                known = b.column("doc_id").is_valid().to_pylist()
+                classes = [c.tobytes() for c in of]
+                for i, c in enumerate(classes):
+                    if c in seen or not known[i]:
+                        take[i] = 0
+                    else:
+                        seen.add(c)
+                at = np.repeat(ends[:-1], take) + np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
+                shared = rank[at] > 0
+                size = np.bincount(np.repeat(np.arange(len(n)), take)[shared], minlength=len(n))
+                first = np.concatenate([[0], np.cumsum(size)])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(last),
+                     *[pa.array(parity[:, i].copy()) for i in range(PARITY)],
+                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value[at[shared]].view(np.int64)))],
+                    ["doc_id", "n", "class", "last", *BITS, "early"])
+
+    return docs.mapInArrow(sketch, f"doc_id bigint, n bigint, class binary, last bigint, {', '.join(f'{b} bigint' for b in BITS)}, "
+                                   "early array<bigint>")
 
 
 def parities(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -193,32 +185,27 @@ def parities(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(rows, PARITY)
 
 
-def segments(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, levels, bits: int) -> DataFrame:
-    """The sets of the wanted (doc_id, class) rows, cut into fragments of the order."""
+def segments(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+    """The sets of the wanted (doc_id, class) rows, cut into fragments."""
 
     def cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value
-        for b in batches:
-            value, ends = shingle_sets(b.column("text"))
-            right = set_classes(value, ends) == b.column("class").to_numpy()
-            row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-            # Rare shingles by ranges of their hash, then all frequent ones.
-            part = (value >> np.uint64(32)).astype(np.int64) * (FRAGMENTS - 1) >> 32
-            part = np.where(level[slots(value, bits)] > 0, FRAGMENTS - 1, part)
-            mine = right[row]
-            row, part, value = row[mine], part[mine], value[mine]
-            order = np.lexsort((part, row))
-            row, part, value = row[order], part[order], value[order]
-            first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
-            ends = np.append(first, len(row))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("class").take(pa.array(row[first])), pa.array(part[first], pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value.view(np.int64)))],
-                ["class", "fragment", "shingles"])
-
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    return texts.join(wanted, "doc_id").select("class", "text").mapInArrow(
-        cut_sets, "class bigint, fragment int, shingles array<bigint>")
+        for whole in batches:
+            for _, b in slices(whole):
+                value, ends = shingle_sets(b.column("text"), seed)
+                asked = np.frombuffer(b"".join(b.column("class").to_pylist()), np.uint8).reshape(-1, 16)
+                right = (set_classes(value, ends)[:, 2:] == asked[:, 2:]).all(axis=1)
+                row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+                fragment = (value >> np.uint64(32)).astype(np.int64) * FRAGMENTS >> 32
+                mine = right[row]
+                row, fragment, value = row[mine], fragment[mine], value[mine]
+                first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(fragment, prepend=-1) != 0))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("class").take(pa.array(row[first])), pa.array(fragment[first], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(value.view(np.int64)))],
+                    ["class", "fragment", "shingles"])
+
+    return docs.join(wanted, "doc_id").select("class", "text", F.lit(0).cast("long").alias("part")).mapInArrow(
+        cut_sets, "class binary, fragment int, shingles array<bigint>")
 
 
 def can_link(a: str, b: str, percent: int) -> Column:
@@ -231,31 +218,20 @@ def can_link(a: str, b: str, percent: int) -> Column:
             & (100 * (na + nb - apart) >= percent * (na + nb + apart)))
 
 
-def prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in columns])
+def early_enough(a: str, b: str, common: Column, percent: int) -> Column:
+    """Whether two sets can link by the overlap of their early shingles. All
+    shingles that they share up to the first end of the two are among these; of the
+    others the set that ends first has no more than it has late shingles."""
+    na, nb, ends_a, ends_b = (F.col(c) for c in (f"{a}n", f"{b}n", f"{a}last", f"{b}last"))
 
+    def late(c: str) -> Column:
+        return F.expr(f"({c}n * {percent} + 99) div 100 - 1")
+    most = common + F.when(ends_a < ends_b, late(a)).when(ends_b < ends_a, late(b)).otherwise(F.greatest(late(a), late(b)))
+    return 100 * most >= percent * (na + nb - most)
 
-def promising(pairs: DataFrame, fronts: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes of different parts that can link by their sizes,
-    parities and the overlap of their early shingles. All shingles that they share
-    up to the first end of the two are among these; of the others the set that ends
-    first has no more than it has late shingles."""
-    known = fronts.drop("early", "last", "doc_id").join(parts, "class")
-    columns = ("class", "n", "part", *BITS)
-    near = (pairs.join(prefixed(known, "a_", *columns), F.col("a") == F.col("a_class"))
-            .join(prefixed(known, "b_", *columns), F.col("b") == F.col("b_class"))
-            .where((F.col("a_part") != F.col("b_part")) & can_link("a_", "b_", percent)).select("a", "b"))
-
-    def late(c: str) -> str:
-        return f"(({c}n * {percent} + 99) div 100 - 1)"
-    columns = ("class", "n", "last", "early")
-    fully = (near.join(prefixed(fronts, "a_", *columns), F.col("a") == F.col("a_class"))
-             .join(prefixed(fronts, "b_", *columns), F.col("b") == F.col("b_class"))
-             .select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb"),
-                     (F.size(F.array_intersect("a_early", "b_early")) + F.expr(
-                         f"CASE WHEN a_last < b_last THEN {late('a_')} WHEN b_last < a_last THEN {late('b_')} "
-                         f"ELSE greatest({late('a_')}, {late('b_')}) END")).alias("most")))
-    return fully.where(100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).drop("most")
+
+def prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(prefix + c) for c in columns])
 
 
 def similar(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,66 +254,76 @@ def relabelled(parts: DataFrame, links: DataFrame) -> DataFrame:
     return parts.join(roots, "part", "left").select("class", F.coalesce("root", "part").alias("part"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
-                    slot_bits: int = SLOT_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, and component_id, the smallest
     id that its document reaches over links."""
     spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(count_levels(docs, text, slot_bits))
-    full, full_path = written(sketches(docs, doc_id, text, levels, slot_bits, percent), "sketches")
-    paths = []
+    docs, copies = in_parts(docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")), "texts")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    folder = shared_folder(spark, "levels")
+    seed = secrets.randbits(64) | 1
+
+    def counted_shingles(texts: pa.Array) -> np.ndarray:
+        value, _ = shingle_sets(texts, seed)
+        return value[is_counted(value)]
+
+    levels = counted(docs, size, counted_shingles, folder)
+    full, path = written(sketches(docs, levels, percent, seed), "sketches")
+    docs = docs.select("doc_id", "text")
+    paths = [folder, *copies, path]
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df, at = written(df, name)
         paths.append(at)
         return df
 
-    # Buckets: classes that share an early shingle, with how many share it, and
-    # the smallest and the largest of them.
-    early = (full.where("n > 0 AND doc_id IS NOT NULL").select("class", F.explode("early").alias("shingle"))
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shingle").distinct())
-    shared = early.groupBy("shingle").agg(F.count("*").alias("size"), F.min("class").alias("low"),
-                                          F.max("class").alias("high")).where("size > 1")
-    buckets = kept(early.join(shared.hint("shuffle_hash"), "shingle"), "buckets")
-    rows = kept(full.drop("early"), "rows")
-    drop_written(spark, full_path)
-    known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    active = buckets.groupBy("class").agg(F.collect_list("shingle").alias("early"))
+    # Buckets: classes that share an early shingle, and the smallest of them.
+    known = full.where("n > 0 AND doc_id IS NOT NULL")
+    early = known.select("class", F.explode("early").alias("shingle")).distinct()
+    shared = early.groupBy("shingle").agg(F.count("*").alias("size"), F.min("class").alias("low")).where("size > 1")
+    buckets = kept(early.join(shared.select("shingle", "low"), "shingle"), "buckets")
+    met = buckets.groupBy("class", "low").agg(F.collect_list("shingle").alias("early"))
+    active = met.groupBy("class").agg(F.max(F.struct(F.size("early"), "low"))["low"].alias("low"),
+                                      F.flatten(F.collect_list("early")).alias("early"))
     facts = known.groupBy("class").agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "last", *BITS)])
     fronts = kept(active.join(facts, "class"), "fronts")
-    parts = fronts.select("class", F.col("class").alias("part"))
 
-    def joined(pairs: DataFrame) -> DataFrame:
-        near = kept(promising(pairs, fronts, parts, percent), "pairs")
+    def linked(near: DataFrame, parts: DataFrame) -> DataFrame:
+        near = kept(near, "pairs")
         members = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        ids = kept(fronts.select("doc_id", "class").join(members, "class"), "members")
-        sets = kept(segments(docs, doc_id, text, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids,
-                             levels, slot_bits), "sets")
-        links = checkpoint(similar(near, sets, percent))
-        for _ in range(3):  # what this round has written
-            drop_written(spark, paths.pop())
-        return kept(relabelled(parts, links), "parts")
-
-    # All with a bucket's smallest class, then the others with its largest.
-    parts = joined(buckets.where("class <> low").select(F.col("low").alias("a"), F.col("class").alias("b")).distinct())
-    parts = joined(buckets.where("class <> low AND class <> high").select(
-        F.col("class").alias("a"), F.col("high").alias("b")).distinct())
-
-    # All other pairs across components; a bucket's largest component only as partner.
-    rest = (buckets.where("class <> low AND class <> high AND size > 3").select("shingle", "class")
-            .join(fronts.select("class", "n", "early", *BITS).join(parts, "class"), "class"))
-    most = (rest.groupBy("shingle", "part").count()
-            .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"))
-            .where("parts > 1").select("shingle", "largest"))
-    # A pair is formed once, at the smallest early shingle that the two share; where
-    # that bucket has one of them as its smallest or largest, they were compared.
-    columns = ("shingle", "class", "part", "n", "early", *BITS)
-    left = prefixed(rest.join(most, "shingle").where("part <> largest"), "l_", *columns, "largest")
-    across = left.join(prefixed(rest, "r_", *columns), (
-        F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_part") != F.col("r_part")) & (
+        ids = fronts.select("doc_id", "class").join(members, "class")
+        sets = kept(segments(docs, F.broadcast(ids) if near.count() <= BROADCAST_IDS // 2 else ids, seed), "sets")
+        return checkpoint(relabelled(parts, similar(near, sets, percent)))
+
+    # First each class with the smallest one of most of its buckets.
+    facts = ("class", "n", *BITS)
+    first = (prefixed(fronts, "b_", *facts, "low").where("b_low < b_class")
+             .join(prefixed(fronts, "a_", *facts), F.col("b_low") == F.col("a_class")).where(can_link("a_", "b_", percent))
+             .select(F.col("a_class").alias("a"), F.col("b_class").alias("b"), F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
+    parts = linked(first, fronts.select("class", F.col("class").alias("part")))
+
+    # Then all pairs across components; a bucket's largest component only as partner.
+    # A pair is formed once, at the smallest early shingle that the two share.
+    # Partners in a large bucket are dealt over several tasks, and a member meets each of these.
+    labelled = buckets.select("shingle", "class").join(parts, "class")
+    most = (labelled.groupBy("shingle", "part").count()
+            .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"),
+                                    F.sum("count").alias("members"))
+            .where("parts > 1").select("shingle", "largest", F.expr(f"int(members div {BUCKET} + 1)").alias("salts")))
+    rest = (labelled.join(most, "shingle").join(fronts.select("class", "n", "last", "early", *BITS), "class")
+            .withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")).cast("int")))
+    facts = ("shingle", "class", "part", "n", "last", "early", *BITS)
+    left = prefixed(rest.where("part <> largest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))),
+                    "l_", *facts, "largest", "salt")
+    both = F.array_intersect("l_early", "r_early")
+    across = left.join(prefixed(rest, "r_", *facts, "salt"), (
+        F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_salt") == F.col("r_salt")) & (F.col("l_part") != F.col("r_part")) & (
         (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent)
-        & (F.array_min(F.array_intersect("l_early", "r_early")) == F.col("l_shingle")))
-    parts = joined(across.select(F.least("l_class", "r_class").alias("a"), F.greatest("l_class", "r_class").alias("b")).distinct())
+        & (F.array_min(both) == F.col("l_shingle")) & early_enough("l_", "r_", F.size(both), percent))
+    swap = F.col("l_class") > F.col("r_class")
+    across = across.select(*[F.when(swap, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(x) for x, c in (("a", "class"), ("na", "n"))],
+                           *[F.when(swap, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(x) for x, c in (("b", "class"), ("nb", "n"))])
+    parts = linked(across.distinct(), parts)
 
     # Classes to components, components to their smallest id; rows of one id are one document.
     part = F.coalesce("part", "class")
@@ -349,10 +335,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         of = of.join(roots, "part", "left").select("doc_id", F.coalesce("root", "part").alias("part"))
     smallest = of.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     component = of.distinct().join(smallest, "part").select("doc_id", "component_id")
-    out = checkpoint(rows.select("doc_id", "n").join(component, "doc_id", "left").select(
+    out = checkpoint(full.select("doc_id", "n").join(component, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
     drop_written(spark, *paths)
-    levels.unpersist()
     return out
 
 

@@ -86,7 +86,7 @@ def test_random_groups(spark):
         doc += 1
     rng.shuffle(rows)
     rows = [(d * 7 % 1009, t) for d, t in rows]
-    checked(spark, rows, slot_bits=8)
+    checked(spark, rows)
 
 
 def test_a_large_group_of_near_copies(spark):
@@ -99,7 +99,7 @@ def test_a_large_group_of_near_copies(spark):
             copy[rng.randrange(40)] = f"n{rng.randrange(10**6)}"
         rows.append((d, " ".join(copy)))
     rows += [(1000 + d, "the same words in every one of these") for d in range(60)]
-    checked(spark, rows, slot_bits=10)
+    checked(spark, rows)
 
 
 def test_edge_rows(spark):
@@ -107,9 +107,9 @@ def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, "  \n"), (4, "short text"), (9, "Short  TEXT"), (5, same), (None, same), (6, same.upper()),
             (7, same), (7, "quite another text of seven words here"), (8, "quite another text of seven words here"),
             (8, "quite another text of seven words here"), (None, None)]
-    checked(spark, rows, slot_bits=6)
+    checked(spark, rows)
     empty = spark.createDataFrame([], "doc_id long, text string")
-    assert near_duplicates(empty, slot_bits=6).collect() == []
+    assert near_duplicates(empty).collect() == []
 
 
 def test_one_document_of_each_group_stays(spark):
