@@ -13,7 +13,7 @@ from termflow.sources.tables import read_table
 #: Rows and bytes of one Arrow batch between the JVM and Python, so that a
 #: batch of long texts stays small in a worker's memory.
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-              "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 #: The folder of the package, which Python workers on this machine import it from.

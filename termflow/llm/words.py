@@ -10,6 +10,7 @@ space) and by the shingle and feature hashing ones.
 
 from __future__ import annotations
 
+import ctypes
 import secrets
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -21,9 +22,25 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Words of more bytes are not kept in the table.
 LONGEST = 64
+#: Bytes of text whose words are worked on at once.
+SLICE = 2 << 20
 _LOW = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 
 
+def give_back_memory() -> None:
+    """Let arrays of 1 MB and more go back to the system as soon as they are freed:
+    a Python worker is used for many tasks, and would else stay as large as at
+    its largest batch."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):  # another C library: it stays as it is
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+give_back_memory()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -100,6 +117,18 @@ def cut(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> Word
     return Words(buf, start, end, np.searchsorted(start, off))
 
 
+def text_slices(texts: pa.Array, size: int = SLICE) -> list[pa.Array]:
+    """A batch of texts in slices of about ``size`` bytes, one text at least."""
+    data = texts.cast(pa.large_binary())
+    end = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1] if len(data) else np.zeros(1, np.int64)
+    out, first = [], 0
+    while first < len(data):
+        stop = max(first + 1, int(np.searchsorted(end, end[first] + size, side="right")) - 1)
+        out.append(data.slice(first, stop - first))
+        first = stop
+    return out
+
+
 class WordTable:
     """Ids of texts through a table of the words met so far.
 
@@ -111,7 +140,7 @@ class WordTable:
     """
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 limit: int = 2_000_000):
+                 limit: int = 500_000):
         self.encode_new, self.limit = encode_new, limit
         self.seed = secrets.randbits(64) | 1
         self.clear()
@@ -133,7 +162,15 @@ class WordTable:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and for each text and one past the
-        last where its ids begin."""
+        last where its ids begin. The work on words goes by slices of the batch."""
+        parts = [self.encode_slice(t) for t in text_slices(texts)]
+        if len(parts) == 1:
+            return parts[0]
+        base = np.cumsum([0] + [len(flat) for flat, _ in parts])
+        return (np.concatenate([flat for flat, _ in parts] or [np.empty(0, np.uint32)]),
+                np.concatenate([ends[:-1] + b for (_, ends), b in zip(parts, base)] + [base[-1:]]))
+
+    def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = cut(texts)
         if len(self.keys) > self.limit:
             self.clear()
