@@ -22,7 +22,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from termflow.operators.topics import FEATURE_PARTITIONS  # noqa: E402
 from termflow.plans import QUERIES  # noqa: E402
 from termflow.session import local_session  # noqa: E402
 
@@ -60,7 +59,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
-                      "feature_partitions": FEATURE_PARTITIONS, "sf": float(m.group(1)) if m else sf_dir}))
+                      "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 
 

@@ -72,18 +72,19 @@ def doc_term_table(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
                       max_broadcast_bytes)
 
 
-def sparse_vectors(tf: DataFrame, ids: DataFrame, size: int, partitions: int,
+def sparse_vectors(tf: DataFrame, ids: DataFrame, size: int, partitions: int | None = None,
                    id_col: str = "doc_id") -> DataFrame:
     """``id_col, features``: each document's counts as a sparse vector of
     ``size`` places; a document without terms has an empty one and is kept.
 
     A vector is assembled from its own rows and written in the columns that
     Spark ML stores a vector in, so reading the files back gives vectors. The
-    frame has ``partitions`` partitions, dealt by id and sorted by it: EM draws
-    its start from partition numbers and row order, so with both fixed a seed
-    gives the same start on any machine.
+    frame has ``partitions`` partitions (None: as many as a shuffle), dealt by id and sorted
+    by it: the EM of ``pyspark.ml`` draws its start from partition numbers and row
+    order, so with both fixed a seed gives the same start on any machine.
     """
     spark = tf.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (tf.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct(
         F.col("term_idx").cast("int").alias("i"), F.col("tf").cast("double").alias("v")))).alias("e")))
     rows = ids.select(id_col).distinct().join(rows, id_col, "left")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a frame as Parquet under the checkpoint folder and read it back;
+    the frame and its folder, which the caller deletes when nothing reads it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 #: Inputs from this size on arrive in enough file splits of their own.
 SMALL_INPUT = 1 << 30
 
@@ -105,10 +114,17 @@ def spread(df: DataFrame, min_partitions: int | None = None, small: int = SMALL_
     return df
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop file system of a path: local, HDFS and object-store paths alike."""
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    return bool(hadoop_fs(spark, path).exists(hadoop_path(spark, path)))
 
 
 def stream_checkpoint(spark: SparkSession, data_path: str, location: str | None = None) -> str:
@@ -127,11 +143,8 @@ def stream_checkpoint(spark: SparkSession, data_path: str, location: str | None
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder (recursively) through the Hadoop file system of the
-    path, so it works for local, HDFS and object-store paths alike."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Delete a folder (recursively)."""
+    fs, p = hadoop_fs(spark, path), hadoop_path(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
 
 

@@ -97,7 +97,7 @@ def test_numeric_lda_and_save_load(spark, tmp_dir):
     # a 12 x 11 matrix of small counts, the shape of the original sample
     rows = [(i, [float(rnd.randint(0, 9)) for _ in range(11)]) for i in range(12)]
     vec = spark.createDataFrame(rows, "id long, values array<double>")
-    model = fit_numeric_topics(vec, k=3, seed=1)
+    model = fit_numeric_topics(vec, k=3, seed=1, optimizer="ml-em")
     assert model.vocabSize() == 11
     m = topics_matrix(model, spark)
     assert m.count() == 33
@@ -108,6 +108,9 @@ def test_numeric_lda_and_save_load(spark, tmp_dir):
     save_model(model, path)
     again = load_model(path)
     assert np.allclose(model.topicsMatrix().toArray(), again.topicsMatrix().toArray())
+    ours = topics_matrix(fit_numeric_topics(vec.drop("id"), k=3, seed=1), spark)
+    mass = {r.term_idx: r.m for r in ours.groupBy("term_idx").agg(F.sum("weight").alias("m")).collect()}
+    assert all(abs(mass[p] - sum(v[p] for _, v in rows)) < 1e-9 for p in range(11))
 
 
 def test_empty_document_kept(spark):
