@@ -10,8 +10,8 @@
 
 Every step inside a batch is a DataFrame job; nothing per row runs in
 Python and no Spark call is made from inside a task. A replayed batch id
-rewrites the same corpus partition and the same output folders, so the
-result does not change.
+rewrites the same corpus partition (or finds it in the table), and messages go
+through an outbox: what was sent is not sent or computed again.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from termflow.operators.vocab import CorpusTooSmall
 from termflow.plans.topics import topic_scores
 from termflow.session import path_exists, stream_checkpoint
 from termflow.sinks.messages import NOTICE_TOPIC, SCORE_TOPIC, write_messages
+from termflow.sinks.outbox import Outbox, with_headers
+from termflow.streaming.snapshots import SnapshotTable
 
 log = logging.getLogger(__name__)
 
@@ -57,6 +59,9 @@ class CorpusJob:
     # the whole corpus, so a larger value bounds the cost of a fast stream;
     # documents after the last refit then stay unpublished until the next one.
     min_new_docs: int = 1
+    # Small batches from which the corpus is compacted: it is then a table with versions
+    # (streaming/snapshots.py) instead of a folder for each batch. 0: never.
+    compact_after: int = 0
 
     @property
     def _marker(self) -> str:
@@ -67,9 +72,29 @@ class CorpusJob:
             return -1
         return int(spark.read.json(self._marker).first()["batch_id"])
 
-    def _write(self, df: DataFrame, topic: str, batch_id: int) -> None:
-        write_messages(df, self.sink_format, topic=topic, options=self.sink_options,
-                       path=self.sink_path, batch_id=batch_id)
+    def _outbox(self, spark) -> Outbox:
+        return Outbox(spark, f"{self.corpus_path.rstrip('/')}_outbox")
+
+    def _write(self, df: DataFrame | None, topic: str, batch_id: int, spark) -> None:
+        """Send a batch's messages, once: a replay sends what the outbox has, or nothing."""
+        def deliver(messages: DataFrame) -> None:
+            messages = with_headers(messages) if self.sink_format == "kafka" else messages.drop("message_id")
+            write_messages(messages, self.sink_format, topic=topic, options=self.sink_options,
+                           path=self.sink_path, batch_id=batch_id)
+        self._outbox(spark).send(topic, batch_id, df, deliver)
+
+    def _keep(self, docs: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """Store the batch's documents; the batch and the corpus as of it."""
+        spark = docs.sparkSession
+        if self.compact_after:
+            table = SnapshotTable(spark, self.corpus_path, self.compact_after)
+            table.append(batch_id, docs)
+            table.vacuum()
+            corpus = table.read()
+        else:
+            docs.write.mode("overwrite").parquet(f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}")
+            corpus = spark.read.parquet(self.corpus_path)
+        return corpus.filter(F.col("batch_id") == F.lit(batch_id)), corpus.filter(F.col("batch_id") <= F.lit(batch_id))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """The per-batch action (``foreachBatch``)."""
@@ -86,19 +111,19 @@ class CorpusJob:
         if batch.isEmpty():
             return
         named = batch.filter(F.col("doc_name").isNotNull())
-        self._write(named.select(notice("doc_name").alias("value")), self.notice_topic, batch_id)
+        self._write(named.select(notice("doc_name").alias("value")), self.notice_topic, batch_id, spark)
         # Each document is tokenised once, when it arrives: its term array is
         # stored next to its contents, and every later refit reads the arrays.
         docs = doc_terms(batch.filter(is_not_blank("content")), "content", None,
                          self.normalize, keep=("doc_name", "content"))
-        here = f"{self.corpus_path.rstrip('/')}/batch_id={batch_id}"
-        docs.write.mode("overwrite").parquet(here)
-        if spark.read.parquet(here).isEmpty():
+        here, corpus = self._keep(docs, batch_id)  # a replay sees the corpus of its time
+        if here.isEmpty():
             return  # only blank documents: nothing new to fit
-        # Up to this batch, so that a replay sees the corpus of its time.
-        corpus = spark.read.parquet(self.corpus_path).filter(F.col("batch_id") <= F.lit(batch_id))
+        if self._outbox(spark).has(self.score_topic, batch_id):
+            self._write(None, self.score_topic, batch_id, spark)  # a replay does not fit again
+            return
         if self.scope == "batch":
-            corpus = corpus.filter(F.col("batch_id") == F.lit(batch_id))
+            corpus = here
         if self.min_new_docs > 1:
             last = self._last_fit(spark)
             new_docs = corpus.filter((F.col("batch_id") > F.lit(last))
@@ -115,7 +140,7 @@ class CorpusJob:
             log.warning("batch %s: %s; no scores published", batch_id, e)
             return
         scores = topic_scores(describe_topics(fit), self.top)
-        self._write(score_message(scores), self.score_topic, batch_id)
+        self._write(score_message(scores), self.score_topic, batch_id, spark)
         if self.min_new_docs > 1:
             spark.createDataFrame([(batch_id,)], "batch_id long").write.mode(
                 "overwrite").json(self._marker)
