@@ -7,7 +7,9 @@ are not displayed leave no text, blocks stand on lines of their own with a blank
 line where a page has a margin, list items have their markers and indentation,
 preformatted text keeps its white space, and the cells of a table are aligned in
 columns. What hides an element: its kind, the ``hidden`` attribute, its style,
-simple rules of the page's style sheets (not those in ``@`` blocks), a closed ``details`` or ``dialog``.
+simple rules of the page's style sheets for screens (not those in ``@`` blocks), a closed ``details``
+or ``dialog``, an ``object`` that has data. Cells with a column to their right wrap at
+80 characters, so that columns are aligned at any width.
 
 Defined results: a null or empty page has the empty text; a page is read whole,
 however long or deeply nested; a tag that never ends drops what follows it, as
@@ -28,7 +30,7 @@ from termflow.llm.common import source
 # How HTML's elements behave.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
-HIDDEN = frozenset("head title script style template noscript noframes noembed iframe object audio video canvas "
+HIDDEN = frozenset("head title script style template noscript noframes noembed iframe audio video canvas "
                    "datalist rp area base link meta param source track defs desc metadata".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup "
@@ -42,7 +44,8 @@ SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 CELLS = frozenset(("td", "th"))
 SCOPE = frozenset("applet caption html table td th marquee object template button".split())
 INDENTED = frozenset(("blockquote", "dd"))
-#: Deeper tables are rendered as plain blocks; wider columns are not padded further.
+#: Tables in more tables than this are laid out as blocks (browsers bound the depth of
+#: their trees, too). Columns with another one to their right wrap at this width.
 TABLE_DEPTH, COLUMN = 40, 80
 
 _SPACE = " \t\n\r\f"
@@ -194,14 +197,20 @@ class Parser:
             return
         if self.stack[-1].tag == "head" and tag not in HIDDEN:
             self.cut(len(self.stack) - 1)  # the body begins
-        in_table = self.stack[-1].tag in ("table", "tr") or self.stack[-1].tag in SECTIONS
+        if tag in ("table", "input", "textarea") and self.opened.get("select"):
+            self.close(("select",), frozenset(("template",)))
+        if tag == "table" and self.opened.get("table"):
+            # A table that begins outside of the cells of the one that is open ends that one.
+            i = self.open_in(("table", "td", "th", "caption", "template"), frozenset())
+            if self.stack[i].tag == "table":
+                self.cut(i)
         self.imply(tag)
         if tag in CELLS or tag == "tr" or tag in SECTIONS or tag == "caption":
             if self.open_in(("table",), frozenset(("template",))) < 0:
                 return  # outside of a table such tags are nothing
         node = Node(tag, attributes)
         top = self.stack[-1].tag
-        if in_table and (top == "table" or top == "tr" or top in SECTIONS) and not (
+        if (top == "table" or top == "tr" or top in SECTIONS) and not (
                 tag in CELLS or tag == "tr" or tag in SECTIONS or tag in ("caption", "colgroup", "col", "script", "style", "template")):
             self.before_table(node)
             if tag not in VOID and not closed:
@@ -291,7 +300,7 @@ class Parser:
         content = page[at:m.start() if m else len(page)]
         node = self.stack[-1]
         self.cut(len(self.stack) - 1)
-        if tag == "style":
+        if tag == "style" and on_screen(node.attributes.get("media", "")):
             self.sheet(content)
         elif tag in ("textarea", "title", "xmp"):
             node.children.append(content if tag == "xmp" else unescape(content))
@@ -311,6 +320,12 @@ class Parser:
                         self.rules.append(((m[1] or "").lower(), m[2] or "", body))
 
 
+def on_screen(media: str) -> bool:
+    """Whether a sheet for these media is used on a screen."""
+    parts = [p.strip() for p in media.lower().split(",")]
+    return not media.strip() or any(re.match(r"(only\s+)?(all|screen)\b|\(|not\s+(?!all\b|screen\b)", p) for p in parts)
+
+
 def without_at_rules(css: str) -> str:
     """A sheet without its ``@...;`` and ``@...{...}``, whose end is that of their
     braces; one without end takes the rest. Strings and escapes are passed over."""
@@ -461,7 +476,8 @@ def render(node: Node, rules: list[tuple[str, str, str]], depth: int = 0, visibl
         style = style_of(child, rules) if rules or "style" in attributes else {}
         display = style.get("display", "")
         if display == "none" or not display and (
-                tag in HIDDEN or "hidden" in attributes or tag == "dialog" and "open" not in attributes):
+                tag in HIDDEN or "hidden" in attributes or tag == "dialog" and "open" not in attributes
+                or tag == "object" and "data" in attributes):
             continue
         if parent.tag == "details" and "open" not in parent.attributes and tag != "summary":
             continue
@@ -594,6 +610,10 @@ def table_lines(table: Node, rules: list, depth: int, visible: bool, pre: bool)
             rows.append(cells)
     widths: dict[int, int] = {}
     for cells in rows:
+        some = [i for i, (_, _, text) in enumerate(cells) if any(text)]
+        for i in some[:-1]:
+            column, wide, text = cells[i]
+            cells[i] = column, wide, [part for line in text for part in wrapped(line, COLUMN * wide)]
         for column, wide, text in cells:
             if wide == 1:
                 widths[column] = max(widths.get(column, 0), min(COLUMN, max(map(len, text))))
@@ -617,6 +637,17 @@ def table_lines(table: Node, rules: list, depth: int, visible: bool, pre: bool)
     return lines
 
 
+def wrapped(line: str, width: int) -> list[str]:
+    """A line in parts of at most ``width`` characters, between words where it can."""
+    out = []
+    while len(line) > width:
+        at = line.rfind(" ", 1, width + 1)
+        at = at if line[:max(at, 0)].strip() else -1
+        out.append(line[:at] if at > 0 else line[:width])
+        line = line[at + 1:] if at > 0 else line[width:]
+    return [*out, line]
+
+
 def page_text(page: str | None) -> str:
     """The visible text of a page."""
     if not page:
@@ -637,7 +668,7 @@ def extract(html: Column) -> Column:
 
 
 def extract_pages(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    """``pages`` with the visible text of each."""
+    """``pages`` with the visible text of each; a column of the name ``text`` is replaced."""
     return pages.withColumn(text, extract(F.col(html)))
 
 

@@ -1,3 +1,4 @@
+import random
 from html.parser import HTMLParser
 
 import pytest
@@ -115,6 +116,57 @@ def test_any_nesting_keeps_each_word_once(parts):
         assert sum(c in "ab" for c in got) == sum(p in ("a", "b") for p in parts)
 
 
+SOUP = ("a b <p> </p> <div> </div> <ul> <li> </ul> <table> <tr> <td> </table> </td> <b> </b> <br> <pre> </pre> <ol> </ol> <dl> <dd> "
+        "<th> <thead> <tfoot> <caption> </caption> </tr> <span> </span> <h1> </h2> <center> <object> <col> <tbody> </tbody>").split() + [" ", "\n"]
+
+
+def test_twenty_thousand_soups_lose_no_letter():
+    rng = random.Random(20_000)
+    for _ in range(20_000):
+        parts = rng.choices(SOUP, k=rng.randrange(1, 40))
+        got = page_text("".join(parts))
+        assert sum(c in "ab" for c in got) == sum(p in ("a", "b") for p in parts), "".join(parts)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<table><table>a", "a"),
+    ("<table><tr><td>x</td></tr><table><tr><td>y", "x\n\ny"),
+    ("<table><tr><td>x</td></tr><table><p>lost</p><tr><td>y", "x\n\nlost\n\ny"),
+    ("<table><tr><td>x<table><tr><td>in", "x\n\nin"),
+    ("<select><option>one<table><tr><td>cell", "one\n\ncell"),
+    ("<style media=print>.x{display:none}</style><p class=x>seen", "seen"),
+    ("<style media='only screen and (min-width:1px)'>.x{display:none}</style><p class=x>hid<p>seen", "seen"),
+    ("<style media='print, screen'>.x{display:none}</style><p class=x>hid<p>seen", "seen"),
+    ("<style media='not screen'>.x{display:none}</style><p class=x>seen", "seen"),
+    ("<object>fallback</object>", "fallback"), ("<object data=a.swf>fallback</object>yes", "yes")])
+def test_found_in_browsers(page, text):
+    assert page_text(page) == text
+
+
+def cell_places(page):
+    """Line and place of each cell's first word, by an independent rule: the words are unique."""
+    return {w: (i, line.index(w)) for i, line in enumerate(page_text(page).split("\n")) for w in line.split()}
+
+
+def test_columns_are_aligned_at_any_width():
+    rng = random.Random(8)
+    for _ in range(60):
+        columns, n = rng.randrange(2, 5), 0
+        rows = []
+        for r in range(rng.randrange(2, 6)):
+            rows.append([" ".join(f"w{r}x{c}x{k}{'y' * rng.choice((0, 0, 5))}" for k in range(rng.choice((1, 1, 3, 40, 90)))) for c in range(columns)])
+        page = "<table>" + "".join("<tr>" + "".join(f"<td>{t}" for t in row) for row in rows) + "</table>"
+        places = cell_places(page)
+        words = [w for row in rows for t in row for w in t.split()]
+        assert sorted(places) == sorted(words)
+        for c in range(columns):
+            starts = {places[row[c].split()[0]][1] for row in rows}
+            assert len(starts) == 1, page  # all cells of a column begin at one place
+        for row in rows:
+            assert len({places[t.split()[0]][0] for t in row}) == 1  # and those of a row on one line
+        n += 1
+
+
 def test_long_and_deep_pages():
     assert page_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
     assert page_text("<table><tr><td>" * 300 + "deep").split() == ["deep"]
@@ -122,6 +174,7 @@ def test_long_and_deep_pages():
     assert page_text("<" * 20_000) == "<" * 20_000
     rows = "".join(f"<tr><td>{'x' * 10_000 if i == 0 else 'y'}<td>z" for i in range(2000))
     assert len(page_text(f"<table>{rows}</table>")) < 300_000
+    assert page_text(f"<table>{rows}</table>").count("x") == 10_000
 
 
 def test_rows(spark):
