@@ -48,6 +48,10 @@ class Settings:
     query_beam: int = 96
     same_gap: float = 1e-3
 
+    def beam_for(self, dim: int) -> int:
+        """The beam of a query: distances say less in more dimensions."""
+        return max(self.query_beam, dim // 2)
+
     def crowd_gap(self, dim: int) -> float:
         """How near the members of the widest crowds are to their leader: nearer
         than random directions of that dimension are to each other."""
@@ -217,11 +221,10 @@ def build_part(nodes: np.ndarray, members: np.ndarray, gap: float, s: Settings)
 def build(ids: np.ndarray, vectors: np.ndarray, s: Settings = Settings()) -> bytes:
     """A shard's index: the graph over its distinct vectors, and the ids of each."""
     distinct, node = np.unique(vectors, axis=0, return_inverse=True)
-    order = np.lexsort((ids, node.ravel()))
+    pairs = np.unique(np.column_stack([node.ravel(), ids]), axis=0)  # an id once for each of its vectors
     nodes = unit(distinct).astype(np.float32)
     part = build_part(nodes, np.arange(len(nodes)), s.crowd_gap(nodes.shape[1]), s)
-    return pickle.dumps((distinct, nodes, part, ids[order],
-                         np.searchsorted(node.ravel()[order], np.arange(len(distinct) + 1))))
+    return pickle.dumps((distinct, nodes, part, pairs[:, 1].copy(), np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1))))
 
 
 class Found:
@@ -262,9 +265,27 @@ def explore(part: Part, nodes: np.ndarray, queries: np.ndarray, rows: np.ndarray
             explore(inner, nodes, queries, some, beam, found, top)
 
 
+def best_ids(near: np.ndarray, cos: np.ndarray, ids: np.ndarray, first: np.ndarray, query: int, k: int) -> dict[int, float]:
+    """The cosines of the nearest ``k`` ids other than the query's (of equal ones as
+    many more as tie), each with its nearest vector; ``ids`` ascend within a node."""
+    best: dict[int, float] = {}
+    for n, c in sorted(zip(near.tolist(), cos.tolist()), key=lambda x: -x[1]):
+        if len(best) >= k and c < sorted(best.values(), reverse=True)[k - 1]:
+            break
+        new = 0  # of equal vectors the k smallest new ids are enough
+        for i in ids[first[n]:first[n + 1]]:
+            i = int(i)
+            if i != query and i not in best:
+                best[i] = c
+                new += 1
+                if new == k:
+                    break
+    return dict(sorted(best.items(), key=lambda h: (-h[1], h[0]))[:k])
+
+
 def find(data: bytes, query_ids: np.ndarray, vectors: np.ndarray, k: int, beam: int) -> Iterator[tuple]:
     distinct, nodes, part, ids, first = pickle.loads(data)
-    beam = max(beam, k + 1)
+    beam, every = max(beam, k + 1), set(ids.tolist())
     for at in range(0, len(vectors), 256):
         asked = vectors[at:at + 256]
         found = Found(asked, k + 1)
@@ -273,16 +294,12 @@ def find(data: bytes, query_ids: np.ndarray, vectors: np.ndarray, k: int, beam:
         for q, v, parts in zip(query_ids[at:at + 256], asked, found.near):
             near = np.unique(np.concatenate(parts))
             cos = cosines(v, distinct[near])
-            hits = []
-            # Of equal vectors the k smallest ids other than the query's are enough.
-            for n, c in zip(near[np.argsort(-cos, kind="stable")].tolist(), np.sort(cos)[::-1].tolist()):
-                if len(hits) >= k and c < hits[k - 1][1]:
-                    break
-                own = dict.fromkeys(ids[first[n]:min(first[n + 1], first[n] + (k + 1) * 4)].tolist())
-                if len(own) <= k and first[n + 1] > first[n] + (k + 1) * 4:
-                    own = dict.fromkeys(np.unique(ids[first[n]:first[n + 1]]).tolist())
-                hits += [(i, c) for i in own if i != q][:k]
-            for i, c in sorted(hits, key=lambda h: (-h[1], h[0]))[:2 * k]:
+            hits = best_ids(near, cos, ids, first, q, k)
+            if len(hits) < min(k, len(every) - (q in every)):
+                # Vectors of few ids have filled the beam: compare all.
+                near = np.arange(len(distinct))
+                hits = best_ids(near, cosines(v, distinct), ids, first, q, k)
+            for i, c in hits.items():
                 who.append(q)
                 vec.append(i)
                 score.append(c)
@@ -296,7 +313,7 @@ def nearest(table: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec: s
         return build(ids, vectors, settings)
 
     def finder(data, query_ids, vectors):
-        return find(data, query_ids, vectors, k, settings.query_beam)
+        return find(data, query_ids, vectors, k, settings.beam_for(vectors.shape[1]))
     return search(usable(table, vec_id, vec, zero=False), usable(queries, vec_id, vec, zero=False).distinct(),
                   indexer, finder, "double", k, shard_rows, BLOCK_ROWS)
 

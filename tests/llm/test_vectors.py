@@ -149,3 +149,38 @@ def test_pruning_keeps_diverse_edges():
     nodes = ann.unit(np.array([[1, 0], [1, .01], [1, .02], [0, 1], [1, -.3]])).astype(np.float32)
     kept = ann.robust_prune(nodes, np.array([0]), np.array([[0, 1, 2, 3, 4, -1]]), 4, 1.2)
     assert kept[0].tolist()[:1] == [1] and 2 not in kept[0] and 4 in kept[0]
+
+
+def test_one_id_with_many_near_vectors_leaves_room_for_others():
+    rng = np.random.default_rng(3)
+    for own in (30, 300):
+        base = rng.normal(size=16)
+        v = np.concatenate([base + 0.001 * rng.normal(size=(own, 16)), rng.normal(size=(20, 16))])
+        ids = np.array([1] * own + list(range(2, 22)))
+        got = list(ann.find(ann.build(ids, v), np.array([0]), base[None], 5, 96))
+        near = {}
+        for i, w in zip(ids.tolist(), v):
+            near[i] = max(near.get(i, -2), float(ann.cosines(base, w[None])[0]))
+        want = sorted(near, key=lambda i: (-near[i], i))[:5]
+        assert np.concatenate([g[1] for g in got]).tolist() == want
+
+
+@pytest.mark.parametrize("dim, clusters, mean", [(64, 0, 0), (256, 0, 0), (768, 0, 0), (64, 40, 0), (768, 40, 0), (256, 0, 2)])
+def test_recall_by_dimension(dim, clusters, mean):
+    rng = np.random.default_rng(dim + clusters)
+    v = rng.normal(size=(2000, dim)) + mean
+    if clusters:
+        v = rng.normal(size=(clusters, dim))[rng.integers(0, clusters, 2000)] + 0.5 * v
+    q = v[::50]
+    s = ann.Settings()
+    u = ann.unit(v)
+    found = dict()
+    for who, vec, _ in ann.find(ann.build(np.arange(2000), v), np.arange(0, 2000, 50), q, 5, s.beam_for(dim)):
+        for a, b in zip(who.tolist(), vec.tolist()):
+            found.setdefault(a, set()).add(b)
+    hit = 0
+    for a in range(0, 2000, 50):
+        cos = u @ u[a]
+        cos[a] = -2
+        hit += len(set(np.argsort(-cos)[:5].tolist()) & found[a])
+    assert hit / (5 * len(q)) >= 0.9
