@@ -41,6 +41,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 64 << 20, 50_000
 #: Revisits that may be broadcast: about 20 MB.
 BROADCAST_REVISITS = 200_000
+#: Bytes of an archive that are read at once, and that lie between records of one read.
+RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
 
 
 # --- records ---------------------------------------------------------------
@@ -244,31 +246,53 @@ def read_index(archives: DataFrame) -> DataFrame:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records at the given places, each read by its own range."""
+    """The records at the given places: neighbouring ones are read by one range."""
     made = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()),
                       ("target_uri", pa.string()), ("declared_bytes", pa.int64()), ("payload", pa.binary()),
                       ("declared_digest", pa.string())])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files: dict = {}
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
+        """Neighbouring records of a file, up to about RANGE_BYTES together: the file,
+        where they end, and their places."""
+        file, end, places = None, 0, []
         for b in batches:
-            rows, size = [], 0
-            for file, at, length in zip(*[b.column(c).to_pylist() for c in ("file", "at", "length")]):
-                if file not in files:
-                    if len(files) >= 64:
-                        files.popitem()[1].close()
+            for name, at, length in zip(*[b.column(c).to_pylist() for c in ("file", "at", "length")]):
+                if places and (name != file or at > end + GAP_BYTES or at + length - places[0][0] > RANGE_BYTES):
+                    yield file, end, places
+                    places = []
+                file, end = name, max(at + length, end if places else 0)
+                places.append((at, length))
+        if places:
+            yield file, end, places
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, opened_file, rows, size = None, None, [], 0
+        try:
+            for file, end, places in ranges(batches):
+                if file != name:
+                    if opened_file is not None:
+                        opened_file.close()
                     system, path = opened(file)
-                    files[file] = system.open_input_file(path)
-                rows.append(parse_record(zlib.decompress(files[file].read_at(length, at), wbits=31)))
-                size += len(rows[-1]["payload"] or b"")
-                if size >= 8 << 20:
-                    yield pa.RecordBatch.from_pylist(rows, schema=made)
-                    rows, size = [], 0
+                    name, opened_file = file, system.open_input_file(path)
+                first = places[0][0]
+                data = memoryview(opened_file.read_at(end - first, first))
+                for at, length in places:
+                    rows.append(parse_record(zlib.decompress(data[at - first:at - first + length], wbits=31)))
+                    size += len(rows[-1]["payload"] or b"")
+                    if size >= 4 << 20:
+                        yield pa.RecordBatch.from_pylist(rows, schema=made)
+                        rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=made)
+        finally:
+            if opened_file is not None:
+                opened_file.close()
 
+    # Records of one range of a file go to one task, in the order in which they stand there.
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.repartition(n).mapInArrow(
+    index = (index.withColumn("range", F.expr(f"at div {RANGE_BYTES}")).repartition(n, "file", "range")
+             .sortWithinPartitions("file", "at").drop("range"))
+    return index.mapInArrow(
         read, "page_id bigint, record_type string, refers_to bigint, target_uri string, declared_bytes bigint, "
               "payload binary, declared_digest string")
 
