@@ -42,6 +42,9 @@ class Ftrl:
     l2: float = 1.0
     epochs: int = 4
     max_rows: int = 16_384
+    #: Coordinates of all rows together that one task holds, 4 bytes each; rows that
+    #: follow in the order of their hash are not learned from.
+    max_coordinates: int = 1 << 26
 
 
 @dataclass
@@ -71,12 +74,14 @@ def distinct(text: np.ndarray, index: np.ndarray, bits: int) -> tuple[np.ndarray
     return key >> bits, key & ((1 << bits) - 1)
 
 
-def train(rows: list[tuple[np.ndarray, int]], s: Ftrl) -> Weights:
-    """Rows of (coordinates, label 0 or 1), in the order given, ``s.epochs`` times."""
+def train(rows: list[tuple[bytes, int]], s: Ftrl) -> Weights:
+    """Rows of (coordinates as 4-byte numbers, label 0 or 1), in the order given,
+    ``s.epochs`` times; one row's numbers are widened at a time."""
     z, n = np.zeros(1 << s.bits), np.zeros(1 << s.bits)
     zb = nb = 0.0
     for _ in range(s.epochs):
-        for index, label in rows:
+        for packed, label in rows:
+            index = np.frombuffer(packed, "<u4").astype(np.int64)
             zi, ni = z[index], n[index]
             root = np.sqrt(ni)
             w = np.where(np.abs(zi) > s.l1, -(zi - np.sign(zi) * s.l1) / ((s.beta + root) / s.alpha + s.l2), 0.0)
@@ -116,8 +121,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl(), doc_id: str
             .orderBy(order, "id", "label", F.length("index")).limit(s.max_rows))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(np.frombuffer(i, "<u4").astype(np.int64), int(y > 0)) for b in batches
-               for i, y in zip(b["index"].to_pylist(), b["label"].to_pylist())]
+        got, room = [], 4 * s.max_coordinates
+        for b in batches:
+            for i, y in zip(b["index"], b["label"].to_pylist()):
+                room -= len(i.as_buffer())
+                if room >= 0:
+                    got.append((i.as_py(), int(y > 0)))
         if got:
             w = train(got, s)
             yield pa.RecordBatch.from_pydict({"intercept": [w.intercept], "index": [w.index.astype("<i8").tobytes()],

@@ -42,7 +42,7 @@ def test_train_against_one_coordinate_at_a_time():
             n[i] += g * g
         zb += g - ((nb + g * g)**0.5 - nb**0.5) / s.alpha * wb
         nb += g * g
-    got = train(rows, s)
+    got = train([(np.asarray(index).astype("<u4").tobytes(), y) for index, y in rows], s)
     assert got.index.tolist() == [i for i in range(16) if abs(z[i]) > s.l1]
     assert np.allclose(got.weight, [weight(i) for i in got.index])
     assert np.isclose(got.intercept, -zb / ((s.beta + nb**0.5) / s.alpha))
