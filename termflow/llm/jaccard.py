@@ -15,7 +15,7 @@ the overlap of their early shingles with all that may follow. Only the sets of
 pairs that are left are cut and sent.
 
 Equal sets are one class and stand for all their copies. Classes whose shingles are
-frequent on average, the likely originals of near copies, come first. Every class is first
+about equally frequent, the likely originals of near copies, come first. Every class is first
 compared with the first class of most of its buckets (a bucket: the classes that
 share an early shingle). Then all pairs across different components are compared, members
 of a bucket's largest component with outsiders alone. So a group of many near
@@ -50,7 +50,7 @@ WORDS = 5
 PERCENT = 80
 #: The rank of shingles that were not counted: behind counts of up to 8.
 UNCOUNTED = 8
-FRAGMENTS = 8
+FRAGMENTS = 4
 #: Members of a large bucket that one task compares with the others.
 BUCKET = 256
 #: Rows of ids that may be broadcast: 16 MB.
@@ -108,10 +108,16 @@ def set_classes(value: np.ndarray, ends: np.ndarray, score: np.ndarray | None =
 
 
 def oddity(rank: np.ndarray, counted: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """A score of each set: small where its shingles are frequent on average, as
-    they are in the original of many near copies."""
-    size = np.maximum(np.bincount(row[counted], minlength=rows), 1)
-    return np.maximum(0, 65535 - 800 * np.bincount(row[counted], rank[counted], rows) // size).astype(np.uint16)
+    """A score of each set: the share of its shingles that are far more or less
+    frequent than its median one. The original of many near copies has few: it has
+    neither their changes nor the lines that some share with other documents."""
+    row, rank = row[counted], rank[counted].astype(np.int64)
+    rank = rank[np.lexsort((rank, row))]  # rows ascend as they are
+    ends = np.searchsorted(row, np.arange(rows + 1))
+    size = np.diff(ends)
+    median = rank[np.minimum(ends[:-1] + size // 2, max(len(rank) - 1, 0))] if len(rank) else np.zeros(rows, np.int64)
+    far = np.bincount(row[np.abs(rank - median[row]) > 2], minlength=rows)
+    return (65535 * far // np.maximum(size, 1)).astype(np.uint16)
 
 
 def is_counted(value: np.ndarray) -> np.ndarray:
