@@ -28,11 +28,11 @@ _LOW = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 
 
 def give_back_memory() -> None:
-    """Let arrays of 1 MB and more go back to the system as soon as they are freed:
+    """Let arrays of 8 MB and more go back to the system as soon as they are freed:
     a Python worker is used for many tasks, and would else stay as large as at
     its largest batch."""
     try:
-        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        ctypes.CDLL(None).mallopt(-3, 8 << 20)  # M_MMAP_THRESHOLD
     except (OSError, AttributeError):  # another C library: it stays as it is
         return
     pa.set_memory_pool(pa.system_memory_pool())
@@ -140,7 +140,7 @@ class WordTable:
     """
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 limit: int = 500_000):
+                 limit: int = 1_000_000):
         self.encode_new, self.limit = encode_new, limit
         self.seed = secrets.randbits(64) | 1
         self.clear()
