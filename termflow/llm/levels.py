@@ -28,7 +28,7 @@ from termflow.llm.files import opened, write_file
 
 #: Rows of a file in one part, and bytes of text for one block.
 PART_ROWS = 8192
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Nodes of a plan that keeps the rows of its files where they are.
 _PLAIN = {"Project", "Filter", "Relation", "SubqueryAlias"}
 
@@ -46,7 +46,7 @@ def in_parts(rows: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
     return rows.withColumn("part", F.xxhash64(F.col("_metadata.file_path"), at)), paths
 
 
-def slices(b: pa.RecordBatch, size: int = 4 << 20) -> Iterator[tuple[int, pa.RecordBatch]]:
+def slices(b: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[int, pa.RecordBatch]]:
     """A batch's rows by runs of one part with about ``size`` bytes of ``text``, one
     row at least, each with its part."""
     part = b.column("part").to_numpy()
