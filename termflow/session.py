@@ -114,6 +114,16 @@ def spread(df: DataFrame, min_partitions: int | None = None, small: int = SMALL_
     return df
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine find this package. On a cluster the package
+    is installed or sent with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 

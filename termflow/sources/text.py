@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termflow.functions.text import normalize_lines, parse_doubles, split_lines
+from termflow.sources.manifest import listed_files
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -49,18 +50,17 @@ def manifest_documents(spark: SparkSession, manifest_path: str, root: str | None
     """A text file listing one path per line → ``doc_name, content`` with the
     content normalised as the file feeder sent it (each line + one space).
 
-    The listed files are read by Spark in one distributed scan, then joined
-    back to the manifest on the path, so a manifest naming a file twice
-    yields it twice, as the feeder did. For a manifest too long for the driver
-    give the ``root`` folder of all listed files: it is scanned as a whole, and
-    the manifest stays a table.
+    Tasks read ranges of the manifest and the files that it names
+    (:mod:`termflow.sources.manifest`), so neither the list nor a file passes through the
+    driver. A file named twice comes twice, as the feeder sent it; a file that cannot
+    be read has null content. Where only Spark's own readers can open the listed files,
+    give the ``root`` folder of all of them: it is scanned as a whole, then joined with
+    the manifest on the path.
     """
+    if root is None:
+        return listed_files(spark, manifest_path).select("doc_name", normalize_lines("value").alias("content"))
     manifest = spark.read.text(manifest_path).select(F.col("value").alias("doc_name"))
-    if root is not None:
-        scan = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
-    else:
-        scan = spark.read.text([r.doc_name for r in manifest.distinct().collect()], wholetext=True)
-    files = (scan
+    files = (spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
              .select(_path_key(F.col("_metadata.file_path")).alias("_key"),
                      normalize_lines("value").alias("content")))
     return (manifest.withColumn("_key", _path_key(F.col("doc_name")))
