@@ -1,4 +1,4 @@
-"""Topic models fitted by EM as joins over a ``(doc, term, tf)`` table.
+"""Topic models fitted by EM over a ``(doc, term, tf)`` table.
 
 The model is the smoothed one of Asuncion et al. (2009), MAP estimation of LDA with
 priors ``alpha`` and ``eta`` over 1, as ``pyspark.ml``'s EM has it. Its state is two
@@ -8,11 +8,12 @@ tables, a row of ``k`` numbers for each document and for each term:
         ~ (N_wt + eta - 1) / (N_t + V (eta - 1)) * (N_dt + alpha - 1)
 
 A round looks up both rows for each row of the term table, divides ``tf`` by
-the shares, and sums by document and by term. Nothing of it lies on the driver or
-in one task: the term table is broadcast only up to a byte bound; beyond it
+the shares, and sums by document and by term. :func:`fit_tables` does so block by
+block of documents (``operators/blocks.py``): a block gets each of its terms once and sends
+its sum once. The same as joins (:func:`next_tables`, :func:`log_likelihood`) goes on
+from any two tables: the term table is broadcast only up to a byte bound; beyond it
 the most frequent terms are (numbers follow frequency), and the rest, none of which
-is hot, meets in a shuffle join. Both tables are written after every round, which cuts
-the lineage and survives lost executors.
+is hot, meets in a shuffle join. Nothing of either lies on the driver or in one task.
 
 The start comes from a hash of (document, term, topic, seed), not from partition
 numbers, so a seed gives one result on any number of partitions (but for the
@@ -23,8 +24,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from termflow.operators.blocks import Block, Rounds
 from termflow.operators.joins import MAX_BROADCAST_BYTES
 from termflow.session import delete_path, stored
 
@@ -46,11 +49,43 @@ def summed(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in columns])
 
 
-def start_shares(doc: Column, term: Column, k: int, seed: int) -> list[Column]:
-    """The first share of each topic, not yet scaled: 1 to 1000."""
-    at = (F.pmod(doc, F.lit(PRIME)) * DOC_FACTOR + term * TERM_FACTOR + seed) % PRIME
-    mixed = [(at * ROW_FACTOR + (TOPIC_FACTOR * t + SHIFT)) % PRIME for t in range(k)]
-    return [((m * m) % PRIME % 1000 + 1).cast("double") for m in mixed]
+def start_shares(at: np.ndarray, topic: int) -> np.ndarray:
+    """The first share of a topic, not yet scaled: 1 to 1000."""
+    m = np.fmod(at * ROW_FACTOR + (TOPIC_FACTOR * topic + SHIFT), PRIME)
+    return (np.fmod(m * m, PRIME) % 1000 + 1).astype(float)
+
+
+def first_sums(k: int, seed: int):
+    """The sums of a block's terms and documents before the first round."""
+
+    def first(block: Block) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fmod(block.to_rows(block.docs % PRIME) * DOC_FACTOR + block.terms[block.local] * TERM_FACTOR + seed, PRIME)
+        scale = block.tf / sum(start_shares(at, t) for t in range(k))
+        parts = (scale * start_shares(at, t) for t in range(k))
+        of_terms, of_docs = zip(*((block.by_term(g), block.by_doc(g)) for g in parts))
+        return np.array(of_terms), np.array(of_docs)
+
+    return first
+
+
+def em_step(k: int, vocab_size: int, alpha: float, eta: float):
+    """The sums of a block's terms and documents after one more round."""
+
+    def step(block: Block, of_terms: np.ndarray, totals: np.ndarray, of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = (of_terms + (eta - 1)) / (totals + vocab_size * (eta - 1))[:, None]
+
+        # The weights of a topic are made twice, so that only one topic's lie in memory.
+        def weight(t: int) -> np.ndarray:
+            return p[t][block.local] * block.to_rows(of_docs[t] + (alpha - 1))
+
+        scale = block.tf / sum(weight(t) for t in range(k))
+        new_terms, new_docs = np.empty_like(of_terms), np.empty_like(of_docs)
+        for t in range(k):
+            g = scale * weight(t)
+            new_terms[t], new_docs[t] = block.by_term(g), block.by_doc(g)
+        return new_terms, new_docs
+
+    return step
 
 
 @dataclass
@@ -130,17 +165,6 @@ def shares(rows: DataFrame, model: TopicTables, max_broadcast_bytes: int) -> Dat
                        *[(F.col("tf") * F.col(f"w{t}") / total).alias(f"s{t}") for t in range(k)])
 
 
-def first_tables(rows: DataFrame, k: int, seed: int, id_col: str, vocab_size: int, alpha: float | None = None,
-                 eta: float = ETA) -> TopicTables:
-    """The state before the first round."""
-    integral = dict(rows.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
-    doc = F.col(id_col).cast("long") if integral else F.xxhash64(id_col)
-    u = rows.select(id_col, "term_idx", "tf", *[c.alias(f"u{t}") for t, c in enumerate(start_shares(doc, F.col("term_idx"), k, seed))])
-    total = sum((F.col(f"u{t}") for t in range(1, k)), F.col("u0"))
-    s = u.select(id_col, "term_idx", *[(F.col("tf") * F.col(f"u{t}") / total).alias(f"n{t}") for t in range(k)])
-    return kept_tables(s, k, vocab_size, alpha or default_alpha(k), eta, id_col)
-
-
 def kept_tables(s: DataFrame, k: int, vocab_size: int, alpha: float, eta: float, id_col: str) -> TopicTables:
     n = names("n", k)
     terms, a = stored(summed(s, "term_idx", n), "em-terms")
@@ -177,17 +201,31 @@ def fit_tables(rows: DataFrame, k: int, vocab_size: int, rounds: int = 20, seed:
     term take no part; no rows give empty tables."""
     rows, path = stored(rows.where((F.col("tf") > 0) & F.col("term_idx").isNotNull() & F.col(id_col).isNotNull())
                         .select(id_col, F.col("term_idx").cast("long").alias("term_idx"), F.col("tf").cast("double").alias("tf")), "em-rows")
-    model, seen = first_tables(rows, k, seed, id_col, vocab_size, alpha, eta), []
+    alpha = alpha or default_alpha(k)
+    integral = dict(rows.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
+    doc = F.col(id_col).cast("long") if integral else F.xxhash64(id_col)
+    run = Rounds(rows.withColumn("doc", doc), id_col, k, rows.count(), first_sums(k, seed), em_step(k, vocab_size, alpha, eta))
+
+    def model() -> TopicTables:
+        terms, docs = run.tables()
+        return TopicTables(terms, k, vocab_size, alpha, eta, docs, id_col)
+
+    def seen() -> float:
+        return log_likelihood(rows, model(), max_broadcast_bytes) + log_prior(model())
+
+    posteriors = []
     for _ in range(rounds):
         if watch:
-            seen.append(log_likelihood(rows, model, max_broadcast_bytes) + log_prior(model))
-        old, model = model, next_tables(rows, model, max_broadcast_bytes)
-        old.delete()
+            posteriors.append(seen())
+        run.more(1)
     if watch:
-        seen.append(log_likelihood(rows, model, max_broadcast_bytes) + log_prior(model))
-    model.log_posteriors = seen
+        posteriors.append(seen())
+    made = model()
+    terms, a = stored(made.terms, "em-terms")
+    docs, b = stored(made.docs, "em-docs")
+    run.close()
     delete_path(rows.sparkSession, path)
-    return model
+    return TopicTables(terms, k, vocab_size, alpha, eta, docs, id_col, posteriors, [a, b])
 
 
 def fold_in(rows: DataFrame, model: TopicTables, rounds: int = 10, id_col: str = "doc_id",
