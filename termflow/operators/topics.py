@@ -7,7 +7,7 @@ The whole text path is
 
 The RDD LDA the original jobs used defaults to the EM optimizer while
 ``pyspark.ml`` LDA defaults to online; ``optimizer`` therefore defaults to
-``"em"`` here: EM as joins (``operators/em.py``). ``"ml-em"`` and ``"online"`` are those of
+``"em"`` here: EM in blocks (``operators/em.py``). ``"ml-em"`` and ``"online"`` are those of
 ``pyspark.ml``. The original set no seed; ours is a parameter so results repeat.
 """
 
