@@ -10,14 +10,15 @@ terms it meets, a shard's task its share of the terms; no task and not
 the driver holds a vocabulary. What a block gets comes in the order in which it sent, so
 numbers of terms go one way only.
 
-Blocks are made once and kept on the executors' disks; a round deals them to the tasks of
-its messages, some bytes for each count. Messages are written every few rounds, which
-cuts the lineage.
+Blocks are made once, dealt one to a partition, and kept so on the executors' disks; a
+round moves messages alone. Numbers travel as bytes, which Spark copies whole where it
+would copy a list number by number. Messages are written every few rounds, which cuts the
+lineage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,9 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 from termflow.session import delete_path, let_workers_import, stored
 
 #: Counts of a block, at most expected (a document is never cut), and of a small one.
-BLOCK_ROWS, SMALL_BLOCK_ROWS = 3 << 20, 1 << 16
+BLOCK_ROWS, SMALL_BLOCK_ROWS = 6 << 20, 1 << 16
 #: Counts in one row of a stored block.
 SLICE = 1 << 18
+#: Topics up to which a block holds so many counts; with more it holds fewer.
+BLOCK_TOPICS = 32
 #: Rounds between two writes of the messages.
 KEEP_EVERY = 5
 
@@ -52,6 +55,47 @@ def lists(arrays: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(values).cast(kind))
 
 
+#: What the lists hold that travel as bytes.
+KINDS = {"docs": pa.int64(), "sizes": pa.int32(), "terms": pa.int64(), "local": pa.int32(), "tf": pa.float64(),
+         "n": pa.float64(), "totals": pa.float64()}
+
+
+def packed(table: pa.Table) -> pa.Table:
+    """The table with its lists of numbers (none null) as bytes."""
+    for name in KINDS.keys() & set(table.column_names):
+        x = table[name].combine_chunks()
+        width = KINDS[name].byte_width
+        values = np.ascontiguousarray(x.flatten().to_numpy(zero_copy_only=False))
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(x).to_numpy(zero_copy_only=False))])
+        offsets = pa.array(ends * width).cast(pa.int32())  # fails beyond 2 GB
+        table = table.set_column(table.column_names.index(name), name, pa.Array.from_buffers(
+            pa.binary(), len(x), [None, offsets.buffers()[1], pa.py_buffer(values.view(np.uint8))]))
+    return table
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """What was :func:`packed`, as it was."""
+
+    def as_list(x: pa.Array, kind: pa.DataType) -> pa.Array:
+        x = x.cast(pa.binary())
+        _, offsets, values = x.buffers()
+        ends = np.frombuffer(offsets, np.int32)[x.offset:x.offset + len(x) + 1] // kind.byte_width
+        count = int(ends[-1]) if len(ends) else 0
+        numbers = pa.Array.from_buffers(kind, count, [None, values]) if count else pa.array([], kind)
+        return pa.ListArray.from_arrays(pa.array(ends if len(ends) else [0], pa.int32()), numbers)
+
+    for i, name in enumerate(table.column_names):
+        if name in KINDS:
+            kind = KINDS[name]
+            table = table.set_column(i, name, pa.chunked_array([as_list(x, kind) for x in table[name].chunks], pa.list_(kind)))
+    return table
+
+
+def schema(*columns: str, id_type: str = "bigint") -> str:
+    kinds = {"block": "int", "shard": "int", "part": "int", "of_docs": "boolean", "ids": f"array<{id_type}>"}
+    return ", ".join(f"{c} {kinds.get(c, 'binary')}" for c in columns)
+
+
 @dataclass
 class Block:
     """A block's rows, ordered by document and term: ``local`` numbers their terms in
@@ -69,7 +113,7 @@ class Block:
     def of(number: int, table: pa.Table) -> Block:
         table = table.sort_by("part")
         return Block(number, table["ids"].combine_chunks().flatten(), *[
-            flat(table[c]) for c in ("docs", "sizes", "terms", "local", "tf")])
+            flat(table[c]) for c in ("docs", "sizes", "terms")], flat(table["local"]).astype(np.intp), flat(table["tf"]))
 
     def by_doc(self, values: np.ndarray) -> np.ndarray:
         """Sums of a number of each row, for each document."""
@@ -185,35 +229,50 @@ class Rounds:
         spark = rows.sparkSession
         let_workers_import(spark)
         self.k, self.step, self.id_col, self.done, self.path = k, step, id_col, 0, None
-        self.blocks = blocks = block_count(count, spark.sparkContext.defaultParallelism)
-        self.id_type = rows.schema[id_col].dataType.simpleString()
+        self.blocks = blocks = block_count(-(-count * max(k, BLOCK_TOPICS) // BLOCK_TOPICS), spark.sparkContext.defaultParallelism)
+        self.id_type = id_type = rows.schema[id_col].dataType.simpleString()
         dealt = rows.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), id_col, "doc", "term_idx", "tf")
-        self.table = dealt.groupBy("block").applyInArrow(
-            cutter(id_col, blocks), f"block int, part int, ids array<{self.id_type}>, docs array<bigint>, sizes array<int>, "
-            "terms array<bigint>, local array<int>, tf array<double>").persist(StorageLevel.DISK_ONLY)
+        cut = cutter(id_col, blocks)
+
+        # A partition has whole blocks, so that its rows need no sort by block.
+        def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = list(batches)
+            whole = pa.Table.from_batches(parts) if parts else None
+            for number in pc.unique(whole["block"]) if parts else ():
+                yield from packed(cut((number,), whole.filter(pc.equal(whole["block"], number)))).to_batches()
+
+        # Kept as they are dealt, so that no round deals them again; counted, since Spark
+        # knows how a kept table is dealt once it is there.
+        self.table = dealt.repartitionById(blocks, "block").mapInArrow(
+            cut_all, schema("block", "part", "ids", "docs", "sizes", "terms", "local", "tf", id_type=id_type)
+        ).repartitionById(blocks, "block").persist(StorageLevel.DISK_ONLY)
+        self.table.count()
 
         def begin(key: tuple[pa.Scalar, ...], mine: pa.Table) -> pa.Table:
-            block = Block.of(key[0].as_py(), mine)
-            return messages(block, blocks, *first(block))
+            block = Block.of(key[0].as_py(), unpacked(mine))
+            return packed(messages(block, blocks, *first(block)))
 
-        self.schema = f"block int, shard int, of_docs boolean, ids array<{self.id_type}>, terms array<bigint>, n array<double>"
+        self.schema = schema("block", "shard", "of_docs", "ids", "terms", "n", id_type=id_type)
         self.sent = self.table.groupBy("block").applyInArrow(begin, self.schema)
 
     def more(self, rounds: int) -> None:
         k, blocks, step = self.k, self.blocks, self.step
+        answer = answerer(k, blocks)
 
         def go_on(key: tuple[pa.Scalar, ...], mine: pa.Table, got: pa.Table) -> pa.Table:
             if not len(mine):  # no document fell into this block
                 return pa.table({f.name: pa.array([], f.type) for f in empty})
-            block = Block.of(key[0].as_py(), mine)
-            return messages(block, blocks, *step(block, *received(got, k)))
+            block = Block.of(key[0].as_py(), unpacked(mine))
+            return packed(messages(block, blocks, *step(block, *received(unpacked(got), k))))
 
         empty = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("of_docs", pa.bool_()),
                            ("ids", pa.list_(arrow_type(self.table.schema["ids"].dataType.elementType))),
-                           ("terms", pa.list_(pa.int64())), ("n", pa.list_(pa.float64()))])
+                           ("terms", pa.binary()), ("n", pa.binary())])
         for _ in range(rounds):
-            back = self.sent.groupBy("shard").applyInArrow(answerer(k, blocks), "block int, shard int, n array<double>, totals array<double>")
-            self.sent = self.table.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(go_on, self.schema)
+            back = self.sent.repartitionById(blocks, "shard").groupBy("shard").applyInArrow(
+                lambda key, group: packed(answer(key, unpacked(group))), schema("block", "shard", "n", "totals"))
+            self.sent = self.table.groupBy("block").cogroup(
+                back.repartitionById(blocks, "block").groupBy("block")).applyInArrow(go_on, self.schema)
             self.done += 1
             if self.done % KEEP_EVERY == 0:
                 self.keep()
@@ -232,16 +291,17 @@ class Rounds:
         columns = ", ".join(f"n{t} double" for t in range(k))
 
         def of_terms(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-            _, terms, _, sums = term_sums(group, k)
+            _, terms, _, sums = term_sums(unpacked(group), k)
             return pa.table({"term_idx": pa.array(terms, pa.int64())} | {f"n{t}": sums[t] for t in range(k)})
 
         def of_docs(batches):
             for b in batches:
+                b = unpacked(pa.Table.from_batches([b]))
                 for ids, n in zip(b.column("ids"), b.column("n")):
                     values = n.values.to_numpy().reshape(k, -1)
                     yield pa.RecordBatch.from_arrays([ids.values, *map(pa.array, values)], [id_col, *[f"n{t}" for t in range(k)]])
 
-        return (self.sent.where("NOT of_docs").groupBy("shard").applyInArrow(of_terms, f"term_idx bigint, {columns}"),
+        return (self.sent.where("NOT of_docs").repartitionById(self.blocks, "shard").groupBy("shard").applyInArrow(of_terms, f"term_idx bigint, {columns}"),
                 self.sent.where("of_docs").select("ids", "n").mapInArrow(of_docs, f"`{id_col}` {self.id_type}, {columns}"))
 
     def close(self) -> None:

@@ -22,19 +22,23 @@ order of floating-point sums).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from termflow.operators.blocks import Block, Rounds
 from termflow.operators.joins import MAX_BROADCAST_BYTES
-from termflow.session import delete_path, stored
+from termflow.session import delete_path, let_workers_import, stored
 
 #: Fixed values of the start: a prime modulus and factors.
 PRIME = 2147483647
 DOC_FACTOR, TERM_FACTOR, ROW_FACTOR, TOPIC_FACTOR, SHIFT = 48271, 16807, 69621, 40692, 12345
 ETA = 1.1
+#: Counts that a step divides at once: their numbers stay in a core's cache.
+STEP_ROWS = 1 << 14
 
 
 def default_alpha(k: int) -> float:
@@ -60,8 +64,11 @@ def first_sums(k: int, seed: int):
 
     def first(block: Block) -> tuple[np.ndarray, np.ndarray]:
         at = np.fmod(block.to_rows(block.docs % PRIME) * DOC_FACTOR + block.terms[block.local] * TERM_FACTOR + seed, PRIME)
-        scale = block.tf / sum(start_shares(at, t) for t in range(k))
-        parts = (scale * start_shares(at, t) for t in range(k))
+        shares = np.empty((k, len(at)), np.int16)
+        for t in range(k):
+            shares[t] = start_shares(at, t)
+        scale = block.tf / shares.sum(axis=0)
+        parts = (scale * s for s in shares)
         of_terms, of_docs = zip(*((block.by_term(g), block.by_doc(g)) for g in parts))
         return np.array(of_terms), np.array(of_docs)
 
@@ -72,18 +79,23 @@ def em_step(k: int, vocab_size: int, alpha: float, eta: float):
     """The sums of a block's terms and documents after one more round."""
 
     def step(block: Block, of_terms: np.ndarray, totals: np.ndarray, of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        p = (of_terms + (eta - 1)) / (totals + vocab_size * (eta - 1))[:, None]
-
-        # The weights of a topic are made twice, so that only one topic's lie in memory.
-        def weight(t: int) -> np.ndarray:
-            return p[t][block.local] * block.to_rows(of_docs[t] + (alpha - 1))
-
-        scale = block.tf / sum(weight(t) for t in range(k))
-        new_terms, new_docs = np.empty_like(of_terms), np.empty_like(of_docs)
-        for t in range(k):
-            g = scale * weight(t)
-            new_terms[t], new_docs[t] = block.by_term(g), block.by_doc(g)
-        return new_terms, new_docs
+        # A line for each term and document, which a count reads at once.
+        p = np.ascontiguousarray(((of_terms + (eta - 1)) / (totals + vocab_size * (eta - 1))[:, None]).T)
+        d = np.ascontiguousarray((of_docs + (alpha - 1)).T)
+        doc, ones = block.to_rows(np.arange(len(d))), np.ones(k)
+        scale, new_docs = np.empty(len(doc)), np.zeros_like(d)
+        for i in range(0, len(doc), STEP_ROWS):
+            part = slice(i, i + STEP_ROWS)
+            of = doc[part]
+            w = p.take(block.local[part], axis=0)
+            w *= d.take(of, axis=0)
+            scale[part] = block.tf[part] / (w @ ones)
+            w *= scale[part, None]
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            new_docs[of[first]] += np.add.reduceat(w, first, axis=0)
+        # A term's probabilities are the same in all its rows.
+        new_terms = np.array([p[:, t] * block.by_term(scale * block.to_rows(d[:, t])) for t in range(k)])
+        return new_terms, new_docs.T
 
     return step
 
@@ -116,11 +128,21 @@ class TopicTables:
             ((F.col(c) + (self.eta - 1)) / (F.col(f"sum_{c}") + self.vocab_size * (self.eta - 1))).alias(f"p{t}")
             for t, c in enumerate(n)])
 
+    def all_terms(self) -> DataFrame:
+        """``term_idx, n0..`` of each number of the vocabulary, 0 for those that occur
+        nowhere. Where none is missing, as in any text fit, that is the table."""
+        weights = F.array(*names("n", self.k))
+        odd = F.exists(weights, lambda x: x.isNull() | F.isnan(x))
+        known = self.terms.agg(F.count("*"), F.count_distinct("term_idx"), F.min("term_idx"), F.max("term_idx"), F.count_if(odd)).first()
+        if tuple(known) == (self.vocab_size, self.vocab_size, 0, self.vocab_size - 1, 0):
+            return self.terms
+        numbers = self.terms.sparkSession.range(self.vocab_size).select(F.col("id").alias("term_idx"))
+        return numbers.join(self.terms, "term_idx", "left").fillna(0.0)
+
     def matrix(self) -> DataFrame:
         """``topic, term_idx, weight``: the tokens of each term in each topic, 0 for
         numbers that occur nowhere."""
-        numbers = self.terms.sparkSession.range(self.vocab_size).select(F.col("id").alias("term_idx"))
-        terms = numbers.join(self.terms, "term_idx", "left").fillna(0.0)
+        terms = self.all_terms()
         pairs = F.array(*[F.struct(F.lit(t).alias("topic"), F.col(c).alias("weight")) for t, c in enumerate(names("n", self.k))])
         return terms.select("term_idx", F.explode(pairs).alias("x")).select("x.topic", "term_idx", "x.weight")
 
@@ -129,9 +151,27 @@ class TopicTables:
         with their share of the topic's tokens; ties to the smaller number."""
         from pyspark.sql import Window
 
-        totals = self.matrix().groupBy("topic").agg(F.sum("weight").alias("total"))
+        k = self.k
+        let_workers_import(self.terms.sparkSession)
+
+        def heaviest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Of each topic the candidates of one task: ``n`` terms are kept at a time."""
+            terms, weights = np.empty((k, 0), np.int64), np.empty((k, 0))
+            for b in batches:
+                idx = b.column("term_idx").to_numpy()
+                of = [(np.append(terms[t], idx), np.append(weights[t], b.column(f"n{t}").to_numpy())) for t in range(k)]
+                best = [np.lexsort((i, -w))[:n] for i, w in of]
+                terms = np.array([i[o] for (i, _), o in zip(of, best)])
+                weights = np.array([w[o] for (_, w), o in zip(of, best)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(k, dtype=np.int32), terms.shape[1])), pa.array(terms.ravel()),
+                                              pa.array(weights.ravel())], ["topic", "term_idx", "weight"])
+
+        whole = self.all_terms()
+        totals = whole.agg(*[F.sum(c).alias(c) for c in names("n", k)]).select(F.explode(F.array(*[
+            F.struct(F.lit(t).alias("topic"), F.col(c).alias("total")) for t, c in enumerate(names("n", k))])).alias("x")).select("x.*")
         best = Window.partitionBy("topic").orderBy(F.desc("weight"), "term_idx")
-        top = self.matrix().withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < n)
+        top = whole.mapInArrow(heaviest, "topic int, term_idx long, weight double")
+        top = top.withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < n)
         return top.join(F.broadcast(totals), "topic").select(
             "topic", "rank", "term_idx", F.when(F.col("total") > 0, F.col("weight") / F.col("total")).otherwise(0.0).alias("weight"))
 

@@ -55,3 +55,42 @@ def test_a_block_sends_each_of_its_terms_once():
     terms = blocks.flat(sent["terms"])
     assert sorted(terms.tolist()) == sorted(set(rows["term_idx"].to_pylist())) and len(sent) == shards + 1
     assert abs(sum(x.values.to_numpy().sum() for x, d in zip(sent["n"], sent["of_docs"].to_pylist()) if not d) - n) < 1e-6
+
+
+def test_numbers_travel_as_bytes():
+    """Lists of numbers become bytes and come back the same, empty ones and parts of columns too."""
+    table = pa.table({"shard": pa.array([3, 1, 2], pa.int32()), "terms": pa.array([[5, 6], [], [7]], pa.list_(pa.int64())),
+                      "n": pa.array([[0.5], [1.5, -2.0, 3.0], []], pa.list_(pa.float64()))})
+    there = blocks.packed(table)
+    assert there["terms"].type == there["n"].type == pa.binary()
+    assert blocks.unpacked(there).to_pydict() == table.to_pydict()
+    cut = pa.concat_tables([there.slice(1, 2), there.slice(0, 1), there.slice(0, 0)])
+    assert blocks.unpacked(cut).to_pydict() == pa.concat_tables([table.slice(1), table.slice(0, 1)]).to_pydict()
+    assert blocks.unpacked(blocks.packed(table.slice(0, 0))).num_rows == 0
+
+
+def test_a_round_moves_messages_alone(spark, monkeypatch):
+    """Blocks are not dealt again in a round, and each has a partition of its own."""
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 200)
+    rows = counts(2, 60)
+    run = blocks.Rounds(spark.createDataFrame(rows, ROWS).selectExpr("*", "doc_id AS doc"), "doc_id", 2, len(rows),
+                        em.first_sums(2, 1), em.em_step(2, 30, 2.0, 1.1))
+    run.more(1)
+    round_of_blocks = run.sent._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "FlatMapCoGroupsInArrow" in round_of_blocks and "Exchange" not in round_of_blocks
+    assert run.blocks > 2 and run.table.rdd.getNumPartitions() == run.sent.rdd.getNumPartitions() == run.blocks
+    run.close()
+
+
+@pytest.mark.parametrize("size", [7, 9])
+def test_described_topics_rank_as_a_sort(spark, size):
+    """Ties to the smaller number, over several tasks; numbers that occur nowhere count as 0."""
+    weights = [(t, float(t % 3), float(5 - t % 2)) for t in range(7)]
+    model = em.TopicTables(spark.createDataFrame(weights, "term_idx long, n0 double, n1 double").repartition(4), 2, size, 2.0)
+    got = {(r.topic, r["rank"]): (r.term_idx, r.weight) for r in model.described(8).collect()}
+    full = weights + [(t, 0.0, 0.0) for t in range(7, size)]
+    for topic in (0, 1):
+        best = sorted(full, key=lambda r: (-r[1 + topic], r[0]))[:8]
+        total = sum(r[1 + topic] for r in full)
+        assert [got[topic, i] for i in range(len(best))] == [(r[0], r[1 + topic] / total) for r in best]
+    assert len(got) == 2 * min(8, size)
