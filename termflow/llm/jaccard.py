@@ -260,6 +260,35 @@ def relabelled(parts: DataFrame, links: DataFrame) -> DataFrame:
     return parts.join(roots, "part", "left").select("class", F.coalesce("root", "part").alias("part"))
 
 
+def across(buckets: DataFrame, fronts: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) of classes of different components that share an early
+    shingle and can link; members of a bucket's largest component meet outsiders alone.
+
+    Partners in a large bucket are dealt over several tasks, and a member meets each of
+    these. A class stands in many buckets, so what goes there is of a fixed size; the early
+    shingles of a pair are looked up once it is known to meet and to be near by its parities."""
+    labelled = buckets.select("shingle", "class").join(parts, "class")
+    most = (labelled.groupBy("shingle", "part").count()
+            .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"),
+                                    F.sum("count").alias("members"))
+            .where("parts > 1").select("shingle", "largest", F.expr(f"int(members div {BUCKET} + 1)").alias("salts")))
+    rest = (labelled.join(most, "shingle").join(fronts.select("class", "n", *BITS), "class")
+            .withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")).cast("int")))
+    facts = ("shingle", "class", "part", "n", *BITS)
+    left = prefixed(rest.where("part <> largest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))),
+                    "l_", *facts, "largest", "salt")
+    met = left.join(prefixed(rest, "r_", *facts, "salt"), (
+        F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_salt") == F.col("r_salt")) & (F.col("l_part") != F.col("r_part")) & (
+        (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent))
+    swap = F.col("l_class") > F.col("r_class")
+    met = met.select(*[F.when(swap, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(f"a_{c}") for c in ("class", "n")],
+                     *[F.when(swap, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(f"b_{c}") for c in ("class", "n")]).distinct()
+    near = (met.join(prefixed(fronts, "a_", "class", "last", "early"), "a_class")
+            .join(prefixed(fronts, "b_", "class", "last", "early"), "b_class")
+            .where(early_enough("a_", "b_", F.size(F.array_intersect("a_early", "b_early")), percent)))
+    return near.select(F.col("a_class").alias("a"), F.col("a_n").alias("na"), F.col("b_class").alias("b"), F.col("b_n").alias("nb"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, and component_id, the smallest
     id that its document reaches over links."""
@@ -309,27 +338,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = linked(first, fronts.select("class", F.col("class").alias("part")))
 
     # Then all pairs across components; a bucket's largest component only as partner.
-    # A pair is formed once, at the smallest early shingle that the two share.
-    # Partners in a large bucket are dealt over several tasks, and a member meets each of these.
-    labelled = buckets.select("shingle", "class").join(parts, "class")
-    most = (labelled.groupBy("shingle", "part").count()
-            .groupBy("shingle").agg(F.max(F.struct("count", "part"))["part"].alias("largest"), F.count("*").alias("parts"),
-                                    F.sum("count").alias("members"))
-            .where("parts > 1").select("shingle", "largest", F.expr(f"int(members div {BUCKET} + 1)").alias("salts")))
-    rest = (labelled.join(most, "shingle").join(fronts.select("class", "n", "last", "early", *BITS), "class")
-            .withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")).cast("int")))
-    facts = ("shingle", "class", "part", "n", "last", "early", *BITS)
-    left = prefixed(rest.where("part <> largest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))),
-                    "l_", *facts, "largest", "salt")
-    both = F.array_intersect("l_early", "r_early")
-    across = left.join(prefixed(rest, "r_", *facts, "salt"), (
-        F.col("l_shingle") == F.col("r_shingle")) & (F.col("l_salt") == F.col("r_salt")) & (F.col("l_part") != F.col("r_part")) & (
-        (F.col("r_part") == F.col("l_largest")) | (F.col("l_class") < F.col("r_class"))) & can_link("l_", "r_", percent)
-        & (F.array_min(both) == F.col("l_shingle")) & early_enough("l_", "r_", F.size(both), percent))
-    swap = F.col("l_class") > F.col("r_class")
-    across = across.select(*[F.when(swap, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(x) for x, c in (("a", "class"), ("na", "n"))],
-                           *[F.when(swap, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(x) for x, c in (("b", "class"), ("nb", "n"))])
-    parts = linked(across.distinct(), parts)
+    parts = linked(across(buckets, fronts, parts, percent), parts)
 
     # Classes to components, components to their smallest id; rows of one id are one document.
     part = F.coalesce("part", "class")

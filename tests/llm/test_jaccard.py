@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termflow.llm.components import star_roots
+from termflow.llm import jaccard
 from termflow.llm.jaccard import drop_near_duplicates, near_duplicates, op2_ngram_jaccard_join, shingle_sets
 
 
@@ -102,6 +103,34 @@ def test_a_large_group_of_near_copies(spark):
     checked(spark, rows)
 
 
+def test_what_meets_at_a_shingle_has_a_fixed_size(spark, monkeypatch):
+    """No set's early shingles are sent to each bucket where it stands."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(8):
+        text = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(6):
+            copy = list(text)
+            for _ in range(rng.randrange(6)):
+                copy[rng.randrange(60)] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    sent = []
+
+    def plan_of(df):
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        found = re.findall(r"\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(([^)]*)", plan)
+        sent.extend(x for x in found if "salt" in x[1])
+
+    made = jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: plan_of(df) or made(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked(spark, rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sent) == 2 and all("bits0" in columns and "early" not in columns for columns, _ in sent)
+
+
 def test_edge_rows(spark):
     same = "one two three four five six seven"
     rows = [(1, None), (2, ""), (3, "  \n"), (4, "short text"), (9, "Short  TEXT"), (5, same), (None, same), (6, same.upper()),
