@@ -96,6 +96,10 @@ def schema(*columns: str, id_type: str = "bigint") -> str:
     return ", ".join(f"{c} {kinds.get(c, 'binary')}" for c in columns)
 
 
+def stored_schema(id_type: str) -> str:
+    return schema("block", "part", "ids", "docs", "sizes", "terms", "local", "tf", id_type=id_type)
+
+
 @dataclass
 class Block:
     """A block's rows, ordered by document and term: ``local`` numbers their terms in
@@ -126,6 +130,27 @@ class Block:
         return np.repeat(of_docs, self.sizes)
 
 
+def block_rows(number: int, ids: pa.Array, docs: np.ndarray, sizes: np.ndarray, terms: np.ndarray, local: np.ndarray,
+               tf: np.ndarray, shards: int) -> pa.Table:
+    """A block as it is stored: its documents with the number of their rows, its distinct
+    terms, and the rows by document, where ``local`` is a place in ``terms``."""
+    order = np.lexsort((terms, terms % shards))
+    place = np.empty(len(terms), np.int32)
+    place[order] = np.arange(len(terms), dtype=np.int32)
+    local = place[local]
+    parts = range(0, len(tf), SLICE)
+    none = [None] * len(parts)
+    return pa.table({
+        "block": pa.array([number] * (1 + len(parts)), pa.int32()),
+        "part": pa.array(range(1 + len(parts)), pa.int32()),
+        "ids": pa.ListArray.from_arrays(pa.array([0] + [len(ids)] * (1 + len(parts)), pa.int32()), ids),
+        "docs": lists([docs, *none], pa.int64()),
+        "sizes": lists([sizes, *none], pa.int32()),
+        "terms": lists([terms[order], *none], pa.int64()),
+        "local": lists([None, *[local[i:i + SLICE] for i in parts]], pa.int32()),
+        "tf": lists([None, *[tf[i:i + SLICE] for i in parts]], pa.float64())})
+
+
 def cutter(id_col: str, shards: int) -> Callable:
     """Makes the rows (id, doc, term_idx, tf) of a block into a stored one."""
 
@@ -139,21 +164,8 @@ def cutter(id_col: str, shards: int) -> Callable:
         first = np.flatnonzero(np.diff(code, prepend=0))
         at = by_id[first]
         terms, local = np.unique(term, return_inverse=True)
-        order = np.lexsort((terms, terms % shards))
-        place = np.empty(len(terms), np.int32)
-        place[order] = np.arange(len(terms), dtype=np.int32)
-        local = place[local]
-        parts = range(0, len(tf), SLICE)
-        none = [None] * len(parts)
-        return pa.table({
-            "block": pa.array([key[0].as_py()] * (1 + len(parts)), pa.int32()),
-            "part": pa.array(range(1 + len(parts)), pa.int32()),
-            "ids": pa.ListArray.from_arrays(pa.array([0] + [len(first)] * (1 + len(parts)), pa.int32()), ids.take(pa.array(at))),
-            "docs": lists([group["doc"].to_numpy()[at], *none], pa.int64()),
-            "sizes": lists([np.diff(np.append(first, len(tf))), *none], pa.int32()),
-            "terms": lists([terms[order], *none], pa.int64()),
-            "local": lists([None, *[local[i:i + SLICE] for i in parts]], pa.int32()),
-            "tf": lists([None, *[tf[i:i + SLICE] for i in parts]], pa.float64())})
+        return block_rows(key[0].as_py(), ids.take(pa.array(at)), group["doc"].to_numpy()[at], np.diff(np.append(first, len(tf))),
+                          terms, local, tf, shards)
 
     return cut
 
@@ -226,11 +238,8 @@ class Rounds:
     first round, ``step(block, of_terms, totals, of_docs)`` those of a round."""
 
     def __init__(self, rows: DataFrame, id_col: str, k: int, count: int, first: Callable, step: Callable):
-        spark = rows.sparkSession
-        let_workers_import(spark)
-        self.k, self.step, self.id_col, self.done, self.path = k, step, id_col, 0, None
-        self.blocks = blocks = block_count(-(-count * max(k, BLOCK_TOPICS) // BLOCK_TOPICS), spark.sparkContext.defaultParallelism)
-        self.id_type = id_type = rows.schema[id_col].dataType.simpleString()
+        blocks = block_count(-(-count * max(k, BLOCK_TOPICS) // BLOCK_TOPICS), rows.sparkSession.sparkContext.defaultParallelism)
+        id_type = rows.schema[id_col].dataType.simpleString()
         dealt = rows.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), id_col, "doc", "term_idx", "tf")
         cut = cutter(id_col, blocks)
 
@@ -241,11 +250,23 @@ class Rounds:
             for number in pc.unique(whole["block"]) if parts else ():
                 yield from packed(cut((number,), whole.filter(pc.equal(whole["block"], number)))).to_batches()
 
+        let_workers_import(rows.sparkSession)
+        self._start(dealt.repartitionById(blocks, "block").mapInArrow(cut_all, stored_schema(id_type)), id_col, k, blocks, first, step)
+
+    @classmethod
+    def over(cls, table: DataFrame, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> Rounds:
+        """Rounds over blocks that are cut already (rows of :func:`block_rows`, packed)."""
+        run = cls.__new__(cls)
+        run._start(table, id_col, k, blocks, first, step)
+        return run
+
+    def _start(self, table: DataFrame, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> None:
+        let_workers_import(table.sparkSession)
+        self.k, self.step, self.id_col, self.done, self.path, self.blocks = k, step, id_col, 0, None, blocks
+        self.id_type = id_type = table.schema["ids"].dataType.elementType.simpleString()
         # Kept as they are dealt, so that no round deals them again; counted, since Spark
         # knows how a kept table is dealt once it is there.
-        self.table = dealt.repartitionById(blocks, "block").mapInArrow(
-            cut_all, schema("block", "part", "ids", "docs", "sizes", "terms", "local", "tf", id_type=id_type)
-        ).repartitionById(blocks, "block").persist(StorageLevel.DISK_ONLY)
+        self.table = table.repartitionById(blocks, "block").persist(StorageLevel.DISK_ONLY)
         self.table.count()
 
         def begin(key: tuple[pa.Scalar, ...], mine: pa.Table) -> pa.Table:

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from termflow.operators.blocks import Block, Rounds
+from termflow.operators.counted import CountedBlocks
 from termflow.operators.joins import MAX_BROADCAST_BYTES
 from termflow.session import delete_path, let_workers_import, stored
 
@@ -260,12 +261,26 @@ def fit_tables(rows: DataFrame, k: int, vocab_size: int, rounds: int = 20, seed:
         run.more(1)
     if watch:
         posteriors.append(seen())
-    made = model()
-    terms, a = stored(made.terms, "em-terms")
-    docs, b = stored(made.docs, "em-docs")
-    run.close()
+    made = finished(run, vocab_size, alpha, eta)
+    made.log_posteriors = posteriors
     delete_path(rows.sparkSession, path)
-    return TopicTables(terms, k, vocab_size, alpha, eta, docs, id_col, posteriors, [a, b])
+    return made
+
+
+def finished(run: Rounds, vocab_size: int, alpha: float, eta: float) -> TopicTables:
+    """The state after the last round, written; the rounds' own data is deleted."""
+    (terms, a), (docs, b) = (stored(t, name) for t, name in zip(run.tables(), ("em-terms", "em-docs")))
+    run.close()
+    return TopicTables(terms, run.k, vocab_size, alpha, eta, docs, run.id_col, paths=[a, b])
+
+
+def fit_blocks(counted: CountedBlocks, vocab: DataFrame, vocab_size: int, k: int, rounds: int = 20, seed: int = 42,
+               id_col: str = "doc_id", alpha: float | None = None, eta: float = ETA) -> TopicTables:
+    """:func:`fit_tables` on documents that are counted in blocks."""
+    alpha = alpha or default_alpha(k)
+    run = Rounds.over(counted.numbered(vocab), id_col, k, counted.blocks, first_sums(k, seed), em_step(k, vocab_size, alpha, eta))
+    run.more(rounds)
+    return finished(run, vocab_size, alpha, eta)
 
 
 def fold_in(rows: DataFrame, model: TopicTables, rounds: int = 10, id_col: str = "doc_id",

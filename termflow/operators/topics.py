@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termflow.functions.constants import (NUMERIC_TOPIC_COUNT, TAIL_DROP, TERMS_PER_TOPIC,
                                           TOPIC_COUNT)
-from termflow.operators.em import TopicTables, fit_tables, fold_in
+from termflow.operators.counted import CountedBlocks, dealt
+from termflow.operators.em import TopicTables, fit_blocks, fit_tables, fold_in
 from termflow.operators.tokens import doc_terms, explode_items
 from termflow.operators.vectors import doc_term_tf, sparse_vectors, term_table
+from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
 from termflow.session import checkpoint, ensure_checkpoint_dir, hadoop_fs, hadoop_path, path_exists
 
 
@@ -55,6 +57,13 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None
                     normalize: bool = True, partitions: int | None = None, **lda_params) -> TopicFit:
     """Fit LDA on a corpus of documents, with its whole vocabulary minus the
     dropped terms. Rows of one id are one document."""
+    if in_blocks(optimizer, lda_params) and id_col is not None:
+        ensure_checkpoint_dir(docs.sparkSession)
+        # Texts are dealt, not their terms: they are shorter.
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        rows, blocks = dealt(texts, "text", F.octet_length("text"), k)
+        return fit_counted(CountedBlocks(doc_terms(rows, "text", "id", normalize, keep=("block",)), blocks), id_col, k,
+                           max_iter, seed, drop, end, **lda_params)
     terms = doc_terms(docs, text_col, id_col, normalize)
     return fit_term_topics(terms, id_col, k, optimizer, max_iter, seed, drop, end, partitions,
                            **lda_params)
@@ -77,6 +86,9 @@ def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TO
     if id_col is None:
         id_col = "_doc"
         terms = checkpoint(terms.withColumn(id_col, F.monotonically_increasing_id()))
+    if in_blocks(optimizer, lda_params):
+        rows, blocks = dealt(terms.select(F.col(id_col).alias("id"), "terms"), "terms", F.octet_length(F.array_join("terms", " ")), k)
+        return fit_counted(CountedBlocks(rows, blocks), id_col, k, max_iter, seed, drop, end, **lda_params)
     tf, vocab, size = term_table(explode_items(terms, "terms", "term", keep=(id_col,)), id_col,
                                  drop, end)
     if optimizer == "em":
@@ -89,6 +101,21 @@ def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TO
     return TopicFit(model, vocab, size)
 
 
+def in_blocks(optimizer: str, params: dict) -> bool:
+    """Whether documents are counted in blocks. What watches its rounds reads a table of all rows."""
+    return optimizer == "em" and not params.keys() & {"watch", "max_broadcast_bytes"}
+
+
+def fit_counted(counted: CountedBlocks, id_col: str, k: int, max_iter: int, seed: int | None, drop: int, end: str,
+                **lda_params) -> TopicFit:
+    """Number the vocabulary of counted documents and fit."""
+    ranked = rank_terms(counted.term_counts())
+    vocab, size = vocabulary_from_ranked(ranked, drop, end), max(ranked.total - drop, 0)
+    model = fit_blocks(counted, vocab, size, k, max_iter, 42 if seed is None else seed, id_col, **lda_params)
+    counted.delete()
+    return TopicFit(model, vocab, size)
+
+
 def describe_topics(fit: TopicFit, terms_per_topic: int = TERMS_PER_TOPIC) -> DataFrame:
     """``topic, rank, term_idx, term, weight``: the heaviest terms of each
     topic, heaviest first, with their names.
