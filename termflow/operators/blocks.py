@@ -305,14 +305,16 @@ class Rounds:
         if old:
             delete_path(self.table.sparkSession, old)
 
-    def tables(self) -> tuple[DataFrame, DataFrame]:
-        """The sums of all terms (term_idx, n0..) and documents (the id, n0..)."""
+    def tables(self, means: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The sums (or means over blocks) of all terms (term_idx, n0..), and those of documents (the id, n0..)."""
         self.keep()
         k, id_col = self.k, self.id_col
         columns = ", ".join(f"n{t} double" for t in range(k))
 
         def of_terms(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-            _, terms, _, sums = term_sums(unpacked(group), k)
+            _, terms, at, sums = term_sums(unpacked(group), k)
+            if means:
+                sums /= np.bincount(at, minlength=len(terms))
             return pa.table({"term_idx": pa.array(terms, pa.int64())} | {f"n{t}": sums[t] for t in range(k)})
 
         def of_docs(batches):

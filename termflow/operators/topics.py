@@ -7,8 +7,8 @@ The whole text path is
 
 The RDD LDA the original jobs used defaults to the EM optimizer while
 ``pyspark.ml`` LDA defaults to online; ``optimizer`` therefore defaults to
-``"em"`` here: EM in blocks (``operators/em.py``). ``"ml-em"`` and ``"online"`` are those of
-``pyspark.ml``. The original set no seed; ours is a parameter so results repeat.
+``"em"`` here: EM in blocks (``operators/em.py``). ``"online"`` on texts is variational Bayes in the same
+blocks (``operators/online.py``); ``"ml-em"`` and ``"ml-online"`` are those of ``pyspark.ml``. The original set no seed; ours is a parameter so results repeat.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from termflow.functions.constants import (NUMERIC_TOPIC_COUNT, TAIL_DROP, TERMS_
                                           TOPIC_COUNT)
 from termflow.operators.counted import CountedBlocks, dealt
 from termflow.operators.em import TopicTables, fit_blocks, fit_tables, fold_in
+from termflow.operators.online import fit_online
 from termflow.operators.tokens import doc_terms, explode_items
 from termflow.operators.vectors import doc_term_tf, sparse_vectors, term_table
 from termflow.operators.vocab import rank_terms, vocabulary_from_ranked
@@ -42,7 +43,7 @@ class TopicFit:
 
 def lda(k: int, optimizer: str = "em", max_iter: int = 20, seed: int | None = 42,
         checkpoint_interval: int = 10, **params) -> LDA:
-    if optimizer == "online":
+    if optimizer.removeprefix("ml-") == "online":
         params = {"subsamplingRate": 1.0, **params}  # every document in every iteration
     est = LDA(k=k, optimizer=optimizer.removeprefix("ml-"), maxIter=max_iter,
               checkpointInterval=checkpoint_interval, featuresCol="features", **params)
@@ -63,7 +64,7 @@ def fit_text_topics(docs: DataFrame, text_col: str = "text", id_col: str | None
         texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         rows, blocks = dealt(texts, "text", F.octet_length("text"), k)
         return fit_counted(CountedBlocks(doc_terms(rows, "text", "id", normalize, keep=("block",)), blocks), id_col, k,
-                           max_iter, seed, drop, end, **lda_params)
+                           optimizer, max_iter, seed, drop, end, **lda_params)
     terms = doc_terms(docs, text_col, id_col, normalize)
     return fit_term_topics(terms, id_col, k, optimizer, max_iter, seed, drop, end, partitions,
                            **lda_params)
@@ -76,8 +77,9 @@ def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TO
     """:func:`fit_text_topics` from already tokenised documents
     (``terms ARRAY<STRING>``, e.g. stored with a stream's corpus).
 
-    All comes from the ``(doc, term, count)`` table; neither that nor the
-    vocabulary passes through the driver. EM keeps its state in two tables; ``pyspark.ml``
+    All comes from the documents' counts of terms; neither those nor the
+    vocabulary passes through the driver, nor do the topics' numbers of terms. ``pyspark.ml``
+    (``ml-em``, ``ml-online``, or ``online`` with its other settings)
     fits vectors in ``partitions`` partitions (None: as many as a shuffle has), which with
     the seed fix the start of its EM, and its online optimizer keeps k x vocabulary
     numbers on the driver.
@@ -88,7 +90,7 @@ def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TO
         terms = checkpoint(terms.withColumn(id_col, F.monotonically_increasing_id()))
     if in_blocks(optimizer, lda_params):
         rows, blocks = dealt(terms.select(F.col(id_col).alias("id"), "terms"), "terms", F.octet_length(F.array_join("terms", " ")), k)
-        return fit_counted(CountedBlocks(rows, blocks), id_col, k, max_iter, seed, drop, end, **lda_params)
+        return fit_counted(CountedBlocks(rows, blocks), id_col, k, optimizer, max_iter, seed, drop, end, **lda_params)
     tf, vocab, size = term_table(explode_items(terms, "terms", "term", keep=(id_col,)), id_col,
                                  drop, end)
     if optimizer == "em":
@@ -102,16 +104,20 @@ def fit_term_topics(terms: DataFrame, id_col: str | None = "doc_id", k: int = TO
 
 
 def in_blocks(optimizer: str, params: dict) -> bool:
-    """Whether documents are counted in blocks. What watches its rounds reads a table of all rows."""
+    """Whether documents are counted in blocks. What watches its rounds reads a table of all rows;
+    other settings of the online optimizer than its step's are those of ``pyspark.ml``."""
+    if optimizer == "online":
+        return params.keys() <= {"learningOffset", "learningDecay"}
     return optimizer == "em" and not params.keys() & {"watch", "max_broadcast_bytes"}
 
 
-def fit_counted(counted: CountedBlocks, id_col: str, k: int, max_iter: int, seed: int | None, drop: int, end: str,
-                **lda_params) -> TopicFit:
+def fit_counted(counted: CountedBlocks, id_col: str, k: int, optimizer: str, max_iter: int, seed: int | None, drop: int,
+                end: str, **lda_params) -> TopicFit:
     """Number the vocabulary of counted documents and fit."""
     ranked = rank_terms(counted.term_counts())
     vocab, size = vocabulary_from_ranked(ranked, drop, end), max(ranked.total - drop, 0)
-    model = fit_blocks(counted, vocab, size, k, max_iter, 42 if seed is None else seed, id_col, **lda_params)
+    fit = fit_online if optimizer == "online" else fit_blocks
+    model = fit(counted, vocab, size, k, max_iter, 42 if seed is None else seed, id_col, **lda_params)
     counted.delete()
     return TopicFit(model, vocab, size)
 
