@@ -44,6 +44,12 @@ def block_count(rows: int, parallelism: int) -> int:
     return max(1, -(-rows // BLOCK_ROWS), min(parallelism, rows // SMALL_BLOCK_ROWS))
 
 
+def whole_waves(blocks: int, parallelism: int) -> int:
+    """As many blocks as fill all cores some times over, at most a quarter larger: with one
+    block more than cores, all others wait for it in every round. Few blocks stay as they are."""
+    return blocks if blocks <= parallelism else -(-4 * blocks // (5 * parallelism)) * parallelism
+
+
 def flat(column: pa.ChunkedArray) -> np.ndarray:
     """All numbers of a column of lists, one list after the other."""
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False)

@@ -31,9 +31,9 @@ WORDS = 1 << 16
 def dealt(rows: DataFrame, payload: str, size: Column, k: int) -> tuple[DataFrame, int]:
     """Rows (id, ``payload``) with their block, a partition for each, and the number of
     blocks, which follows from the sum of ``size``, the bytes of text."""
-    spark = rows.sparkSession
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     count = (rows.agg(F.sum(size.cast("long"))).first()[0] or 0) // BYTES_OF_COUNT
-    blocks = bl.block_count(-(-count * max(k, bl.BLOCK_TOPICS) // bl.BLOCK_TOPICS), spark.sparkContext.defaultParallelism)
+    blocks = bl.whole_waves(bl.block_count(-(-count * max(k, bl.BLOCK_TOPICS) // bl.BLOCK_TOPICS), cores), cores)
     # Documents without an id are no one document: they are dealt by what they hold.
     place = F.xxhash64("id", F.when(F.col("id").isNull(), F.col(payload)))
     return rows.select("id", payload, F.pmod(place, F.lit(blocks)).cast("int").alias("block")).repartitionById(blocks, "block"), blocks

@@ -76,3 +76,10 @@ def test_no_row_of_a_document_and_a_term_is_shuffled(spark, docs, monkeypatch):
 
     monkeypatch.setattr(topics, "term_table", none)
     assert fit_text_topics(docs, k=2, max_iter=1).vocab_size > 0
+
+
+def test_blocks_fill_the_cores():
+    """No round ends with one block on one core, and blocks grow by a quarter at most."""
+    assert [blocks.whole_waves(n, 8) for n in (1, 5, 8, 9, 10, 11, 16, 100)] == [1, 5, 8, 8, 8, 16, 16, 80]
+    assert blocks.whole_waves(18, 12) == 24
+    assert all(blocks.whole_waves(n, c) % c == 0 and 5 * blocks.whole_waves(n, c) >= 4 * n for c in (1, 3, 8, 12) for n in range(c + 1, 200))
