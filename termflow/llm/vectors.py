@@ -1,8 +1,8 @@
 """Vector tables dealt into shards, and query blocks brought to every shard.
 
 A shard is a bounded number of vectors that one task indexes. Queries travel in
-blocks to each shard of their dimension, an equality join of blocks with shards;
-only shard results, a few rows for each query, meet again.
+blocks to each shard of their dimension, a sort-merge join of blocks with shards that
+holds one shard's index at a time; only shard results, a few rows for each query, meet again.
 """
 
 from __future__ import annotations
@@ -68,7 +68,8 @@ def search(table: DataFrame, queries: DataFrame, index: Callable[[np.ndarray, np
             .applyInArrow(indexed, "dim int, shard int, index binary"))
     asked = dealt(queries, blocks, "block").groupBy("dim", "block").applyInArrow(block, "dim int, ids binary, vectors binary")
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = (made.join(asked, ["dim", "shard"]).select("dim", "index", "ids", "vectors")
+    # Never broadcast: Spark knows the blocks' size before they are copied to every shard.
+    found = (asked.hint("merge").join(made, ["dim", "shard"]).select("dim", "index", "ids", "vectors")
              .mapInArrow(hits, f"{HITS} {score}"))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -67,6 +67,16 @@ def test_odd_rows(spark):
         assert f(table.limit(0), asked).collect() == [] and f(table, asked.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("operator", [ann.nearest, topk.exact_top_k])
+def test_query_blocks_copied_to_every_shard_are_not_broadcast(spark, operator):
+    rng = np.random.default_rng(3)
+    vectors = [(i, v) for i, v in enumerate(rng.normal(size=(240, 4)).tolist())]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(2).localCheckpoint()
+    found = operator(table, table.where("vec_id % 2 = 0"), shard_rows=8)
+    assert len(found.collect()) == 120 * 5
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_components(spark):
     rows = [(0, [1.5, 0.0]), (1, [2.0**17, 1e300]), (2, [2.0**40, -1e300]), (3, [-2.0**44, 5.0]), (4, [1.0, 1.0]), (5, [2.0**17, 7.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
