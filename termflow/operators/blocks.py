@@ -10,10 +10,11 @@ terms it meets, a shard's task its share of the terms; no task and not
 the driver holds a vocabulary. What a block gets comes in the order in which it sent, so
 numbers of terms go one way only.
 
-Blocks are made once, dealt one to a partition, and kept so on the executors' disks; a
-round moves messages alone. Numbers travel as bytes, which Spark copies whole where it
-would copy a list number by number. Messages are written every few rounds, which cuts the
-lineage.
+Blocks are made once and lie packed in files of the checkpoint folder, as do messages; Spark deals
+out references to them (``operators/parcels.py``), those of the blocks once, one to a partition. A block's
+own numbers stay where its task wrote them for its next one. Each half of a round is written as references, which
+cuts the lineage, and then the files that it has read are deleted: on disk are, besides the blocks,
+two sets of messages at most.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from termflow.session import delete_path, let_workers_import, stored
+from termflow.operators import parcels
+from termflow.session import delete_path, let_workers_import, new_folder, stored
 
 #: Counts of a block, at most expected (a document is never cut), and of a small one.
 BLOCK_ROWS, SMALL_BLOCK_ROWS = 6 << 20, 1 << 16
@@ -35,8 +37,10 @@ BLOCK_ROWS, SMALL_BLOCK_ROWS = 6 << 20, 1 << 16
 SLICE = 1 << 18
 #: Topics up to which a block holds so many counts; with more it holds fewer.
 BLOCK_TOPICS = 32
-#: Rounds between two writes of the messages.
-KEEP_EVERY = 5
+#: Columns of a block's reference, of those to its messages, and of those to a shard's answers.
+BLOCK = f"block int, {parcels.REFERENCE}"
+SENT = f"block int, shard int, of_docs boolean, {parcels.REFERENCE}"
+BACK = f"block int, shard int, {parcels.REFERENCE}"
 
 
 def block_count(rows: int, parallelism: int) -> int:
@@ -97,15 +101,6 @@ def unpacked(table: pa.Table) -> pa.Table:
     return table
 
 
-def schema(*columns: str, id_type: str = "bigint") -> str:
-    kinds = {"block": "int", "shard": "int", "part": "int", "of_docs": "boolean", "ids": f"array<{id_type}>"}
-    return ", ".join(f"{c} {kinds.get(c, 'binary')}" for c in columns)
-
-
-def stored_schema(id_type: str) -> str:
-    return schema("block", "part", "ids", "docs", "sizes", "terms", "local", "tf", id_type=id_type)
-
-
 @dataclass
 class Block:
     """A block's rows, ordered by document and term: ``local`` numbers their terms in
@@ -201,39 +196,70 @@ def term_sums(group: pa.Table, k: int) -> tuple[pa.Table, np.ndarray, np.ndarray
     return sent, terms, at, sums
 
 
-def answerer(k: int, blocks: int) -> Callable:
-    """A shard's answers: to each block the whole sums of the terms it sent, and to all
-    blocks the totals of the shard."""
+def put_block(folder: str, number: int, table: pa.Table) -> pa.Table:
+    """Write a block (a table of :func:`block_rows`); its reference."""
+    return parcels.put(folder, [table], "lz4").add_column(0, "block", pa.array([number], pa.int32()))
+
+
+def the_block(key: tuple[pa.Scalar, ...], mine: pa.Table) -> Block:
+    return Block.of(key[0].as_py(), parcels.get(mine)[0])
+
+
+def put_messages(up: str, own: str, sent: pa.Table) -> pa.Table:
+    """Write what goes to the shards, and apart from it what stays the block's own; the references."""
+    goes = pc.invert(sent["of_docs"])
+    return pa.concat_tables([
+        add_columns(parcels.put(folder, parcels.rows(part.drop_columns(["block", "shard", "of_docs"]))), part, "block", "shard", "of_docs")
+        for folder, part in ((up, sent.filter(goes)), (own, sent.filter(sent["of_docs"])))])
+
+
+def add_columns(references: pa.Table, of: pa.Table, *columns: str) -> pa.Table:
+    for i, c in enumerate(columns):
+        references = references.add_column(i, c, of[c])
+    return references
+
+
+def got_messages(references: pa.Table) -> pa.Table:
+    """A shard's messages from the blocks."""
+    references = references.filter(pc.invert(references["of_docs"]))
+    tables = [add_columns(t, references.slice(i, 1), "block", "of_docs") for i, t in enumerate(parcels.get(references))]
+    return pa.concat_tables(tables)
+
+
+def answerer(k: int, blocks: int, down: str) -> Callable:
+    """A shard's answers, written: to each block the whole sums of the terms it sent, and to all
+    blocks the totals of the shard. References to blocks' own numbers go back unread."""
 
     def answer(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        sent, _, at, sums = term_sums(group, k)
+        own = group.filter(group["of_docs"])
+        own = add_columns(own.select(parcels.NONE.names), pa.table({"block": own["block"], "shard": pa.array([-1] * len(own), pa.int32())}), "block", "shard")
+        if len(own) == len(group):
+            return own
+        sent, _, at, sums = term_sums(got_messages(group), k)
         ends = np.cumsum(pc.list_value_length(sent["terms"]).to_numpy())
         back: list[np.ndarray | None] = [None] * blocks
         for b, i, j in zip(sent["block"].to_pylist(), [0, *ends.tolist()], ends.tolist()):
             back[b] = sums[:, at[i:j]].ravel()
-        own = group.filter(group["of_docs"])
-        totals = [sums.sum(axis=1)] * blocks
-        return pa.table({
-            "block": pa.array([*range(blocks), *own["block"].to_pylist()], pa.int32()),
-            "shard": pa.array([key[0].as_py()] * blocks + [-1] * len(own), pa.int32()),
-            "n": lists([*back, *[x.values.to_numpy() for x in own["n"]]], pa.float64()),
-            "totals": lists([*totals, *[None] * len(own)], pa.float64())})
+        to = pa.table({"block": pa.array(range(blocks), pa.int32()), "shard": pa.array([key[0].as_py()] * blocks, pa.int32())})
+        totals = sums.sum(axis=1)
+        answers = (pa.table({"n": lists([x], pa.float64()), "totals": lists([totals], pa.float64())}) for x in back)
+        return pa.concat_tables([add_columns(parcels.put(down, answers), to, "block", "shard"), own])
 
     return answer
 
 
-def received(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def received(references: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The sums of a block's terms, the totals over all terms and the block's own
     documents' numbers, a line for each topic."""
-    table = table.sort_by("shard")
+    references = references.sort_by("shard")
     of_terms, totals, of_docs = [], np.zeros(k), np.empty((k, 0))
-    for shard, n, part in zip(table["shard"].to_pylist(), table["n"], table["totals"]):
-        values = n.values.to_numpy().reshape(k, -1)
+    for shard, part in zip(references["shard"].to_pylist(), parcels.get(references)):
+        values = flat(part["n"]).reshape(k, -1)
         if shard < 0:
             of_docs = values
         else:
             of_terms.append(values)
-            totals += part.values.to_numpy()
+            totals += flat(part["totals"])
     return np.concatenate(of_terms, axis=1), totals, of_docs
 
 
@@ -247,69 +273,78 @@ class Rounds:
         blocks = block_count(-(-count * max(k, BLOCK_TOPICS) // BLOCK_TOPICS), rows.sparkSession.sparkContext.defaultParallelism)
         id_type = rows.schema[id_col].dataType.simpleString()
         dealt = rows.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), id_col, "doc", "term_idx", "tf")
-        cut = cutter(id_col, blocks)
+        cut, folder = cutter(id_col, blocks), new_folder(rows.sparkSession, "em-blocks")
 
         # A partition has whole blocks, so that its rows need no sort by block.
         def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = list(batches)
             whole = pa.Table.from_batches(parts) if parts else None
             for number in pc.unique(whole["block"]) if parts else ():
-                yield from packed(cut((number,), whole.filter(pc.equal(whole["block"], number)))).to_batches()
+                yield from put_block(folder, number.as_py(), cut((number,), whole.filter(pc.equal(whole["block"], number)))).to_batches()
 
         let_workers_import(rows.sparkSession)
-        self._start(dealt.repartitionById(blocks, "block").mapInArrow(cut_all, stored_schema(id_type)), id_col, k, blocks, first, step)
+        self._start(dealt.repartitionById(blocks, "block").mapInArrow(cut_all, BLOCK), folder, id_type, id_col, k, blocks, first, step)
 
     @classmethod
-    def over(cls, table: DataFrame, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> Rounds:
-        """Rounds over blocks that are cut already (rows of :func:`block_rows`, packed)."""
+    def over(cls, table: DataFrame, folder: str, id_type: str, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> Rounds:
+        """Rounds over blocks that are cut already: ``table`` makes their references, and their files in ``folder``."""
         run = cls.__new__(cls)
-        run._start(table, id_col, k, blocks, first, step)
+        run._start(table, folder, id_type, id_col, k, blocks, first, step)
         return run
 
-    def _start(self, table: DataFrame, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> None:
-        let_workers_import(table.sparkSession)
-        self.k, self.step, self.id_col, self.done, self.path, self.blocks = k, step, id_col, 0, None, blocks
-        self.id_type = id_type = table.schema["ids"].dataType.elementType.simpleString()
+    def _start(self, table: DataFrame, folder: str, id_type: str, id_col: str, k: int, blocks: int, first: Callable, step: Callable) -> None:
+        self.spark = table.sparkSession
+        let_workers_import(self.spark)
+        self.k, self.step, self.id_col, self.id_type, self.done, self.blocks = k, step, id_col, id_type, 0, blocks
+        made, path = stored(table, "em-blocks")
         # Kept as they are dealt, so that no round deals them again; counted, since Spark
         # knows how a kept table is dealt once it is there.
-        self.table = table.repartitionById(blocks, "block").persist(StorageLevel.DISK_ONLY)
+        self.table = made.repartitionById(blocks, "block").persist(StorageLevel.DISK_ONLY)
         self.table.count()
+        # The folders of this half of a round's messages and own numbers, and what can go after it.
+        self.up, self.own = new_folder(self.spark, "em-up"), new_folder(self.spark, "em-own")
+        self.always, self.old, self.kept = [folder, path], [], False
+        up, own = self.up, self.own
 
         def begin(key: tuple[pa.Scalar, ...], mine: pa.Table) -> pa.Table:
-            block = Block.of(key[0].as_py(), unpacked(mine))
-            return packed(messages(block, blocks, *first(block)))
+            block = the_block(key, mine)
+            return put_messages(up, own, messages(block, blocks, *first(block)))
 
-        self.schema = schema("block", "shard", "of_docs", "ids", "terms", "n", id_type=id_type)
-        self.sent = self.table.groupBy("block").applyInArrow(begin, self.schema)
+        self.sent = self.table.groupBy("block").applyInArrow(begin, SENT)
 
     def more(self, rounds: int) -> None:
+        for _ in range(rounds):
+            self.keep()
+            self._round()
+
+    def _round(self) -> None:
         k, blocks, step = self.k, self.blocks, self.step
-        answer = answerer(k, blocks)
+        down, own, up = (new_folder(self.spark, f"em-{x}") for x in ("down", "own", "up"))
+        back, path = stored(self.sent.repartitionById(blocks, "shard").groupBy("shard").applyInArrow(answerer(k, blocks, down), BACK), "em-answers")
+        self._drop([self.up, *self.old])
 
         def go_on(key: tuple[pa.Scalar, ...], mine: pa.Table, got: pa.Table) -> pa.Table:
             if not len(mine):  # no document fell into this block
-                return pa.table({f.name: pa.array([], f.type) for f in empty})
-            block = Block.of(key[0].as_py(), unpacked(mine))
-            return packed(messages(block, blocks, *step(block, *received(unpacked(got), k))))
+                return nothing.empty_table()
+            block = the_block(key, mine)
+            return put_messages(up, own, messages(block, blocks, *step(block, *received(got, k))))
 
-        empty = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("of_docs", pa.bool_()),
-                           ("ids", pa.list_(arrow_type(self.table.schema["ids"].dataType.elementType))),
-                           ("terms", pa.binary()), ("n", pa.binary())])
-        for _ in range(rounds):
-            back = self.sent.repartitionById(blocks, "shard").groupBy("shard").applyInArrow(
-                lambda key, group: packed(answer(key, unpacked(group))), schema("block", "shard", "n", "totals"))
-            self.sent = self.table.groupBy("block").cogroup(
-                back.repartitionById(blocks, "block").groupBy("block")).applyInArrow(go_on, self.schema)
-            self.done += 1
-            if self.done % KEEP_EVERY == 0:
-                self.keep()
+        nothing = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("of_docs", pa.bool_()), *parcels.NONE])
+        self.old, self.up, self.own, self.kept = [path, down, self.own], up, own, False
+        self.sent = self.table.groupBy("block").cogroup(
+            back.repartitionById(blocks, "block").groupBy("block")).applyInArrow(go_on, SENT)
+        self.done += 1
 
     def keep(self) -> None:
-        """Write the last messages, in place of those written before."""
-        old = self.path
-        self.sent, self.path = stored(self.sent, "em-messages")
-        if old:
-            delete_path(self.table.sparkSession, old)
+        """Write the last messages; what they were made from is deleted."""
+        if not self.kept:
+            self.sent, path = stored(self.sent, "em-messages")
+            self._drop(self.old)
+            self.old, self.kept = [path], True
+
+    def _drop(self, paths: list[str]) -> None:
+        for path in paths:
+            delete_path(self.spark, path)
 
     def tables(self, means: bool = False) -> tuple[DataFrame, DataFrame]:
         """The sums (or means over blocks) of all terms (term_idx, n0..), and those of documents (the id, n0..)."""
@@ -318,28 +353,20 @@ class Rounds:
         columns = ", ".join(f"n{t} double" for t in range(k))
 
         def of_terms(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-            _, terms, at, sums = term_sums(unpacked(group), k)
+            _, terms, at, sums = term_sums(got_messages(group), k)
             if means:
                 sums /= np.bincount(at, minlength=len(terms))
             return pa.table({"term_idx": pa.array(terms, pa.int64())} | {f"n{t}": sums[t] for t in range(k)})
 
         def of_docs(batches):
             for b in batches:
-                b = unpacked(pa.Table.from_batches([b]))
-                for ids, n in zip(b.column("ids"), b.column("n")):
-                    values = n.values.to_numpy().reshape(k, -1)
-                    yield pa.RecordBatch.from_arrays([ids.values, *map(pa.array, values)], [id_col, *[f"n{t}" for t in range(k)]])
+                for part in parcels.get(pa.Table.from_batches([b])):
+                    ids, n = part["ids"].combine_chunks().flatten(), flat(part["n"]).reshape(k, -1)
+                    yield pa.RecordBatch.from_arrays([ids, *map(pa.array, n)], [id_col, *[f"n{t}" for t in range(k)]])
 
         return (self.sent.where("NOT of_docs").repartitionById(self.blocks, "shard").groupBy("shard").applyInArrow(of_terms, f"term_idx bigint, {columns}"),
-                self.sent.where("of_docs").select("ids", "n").mapInArrow(of_docs, f"`{id_col}` {self.id_type}, {columns}"))
+                self.sent.where("of_docs").select(*parcels.NONE.names).mapInArrow(of_docs, f"`{id_col}` {self.id_type}, {columns}"))
 
     def close(self) -> None:
         self.table.unpersist()
-        if self.path:
-            delete_path(self.table.sparkSession, self.path)
-
-
-def arrow_type(kind) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
+        self._drop([self.up, self.own, *self.old, *self.always])

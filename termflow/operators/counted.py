@@ -12,7 +12,7 @@ in any fit, but its terms count for the vocabulary.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from termflow.operators import blocks as bl
-from termflow.session import delete_path, let_workers_import, stored
+from termflow.operators.parcels import NONE
+from termflow.session import delete_path, let_workers_import, new_folder, stored
 
 #: Bytes of text that are taken for one (document, term) count; a term has five at least.
 BYTES_OF_COUNT = 16
@@ -136,21 +137,19 @@ class CountedBlocks:
         """``term, cnt`` over all documents."""
         return self.words().groupBy("term").agg(F.sum("cnt").alias("cnt"))
 
-    def numbered(self, vocab: DataFrame, more: tuple[int, ...] = ()) -> DataFrame:
-        """The blocks with the numbers of ``vocab`` (term, term_idx), to go rounds over; rows of other terms
-        are left out. Each block has the numbers ``more`` besides, without a row."""
+    def numbered(self, vocab: DataFrame, folder: str, more: tuple[int, ...] = ()) -> DataFrame:
+        """The blocks with the numbers of ``vocab`` (term, term_idx), to go rounds over, as files in ``folder`` and
+        references to them; rows of other terms are left out. Each block has the numbers ``more`` besides, without a row."""
         shards, more_terms = self.blocks, np.array(more, np.int64)
-        schema = bl.stored_schema(self.id_type)
         kept = ["block", "part", "ids", "docs", "sizes", "local", "tf"]
-        fields = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("ids", pa.list_(bl.arrow_type(
-            self.table.schema["ids"].dataType.elementType))), *[(c, pa.binary()) for c in ("docs", "sizes", "terms", "local", "tf")]])
+        nothing = pa.schema([("block", pa.int32()), *NONE])
 
         def cut(key: tuple[pa.Scalar, ...], mine: pa.Table, numbers: pa.Table) -> pa.Table:
             mine = bl.unpacked(mine).sort_by("part")
             place, number = numbers["local"].to_numpy(), numbers["term_idx"].to_numpy()
             local, tf, sizes = bl.flat(mine["local"]), bl.flat(mine["tf"]), bl.flat(mine["sizes"])
             if not len(number):
-                return pa.table({f.name: pa.array([], f.type) for f in fields})
+                return nothing.empty_table()
             # By number, so that a document's rows are in one order whatever the blocks' places.
             order = np.argsort(number)
             of = np.full(max(int(place.max()), int(local.max(initial=0))) + 1, -1)
@@ -162,13 +161,21 @@ class CountedBlocks:
             sizes = np.bincount(doc, minlength=len(sizes))
             have = np.flatnonzero(sizes)
             ids = mine["ids"].combine_chunks().flatten().take(pa.array(have))
-            return bl.packed(bl.block_rows(key[0].as_py(), ids, bl.flat(mine["docs"])[have], sizes[have],
-                                           np.append(number[order], more_terms), local[by], tf[by], shards)).select(fields.names)
+            return bl.put_block(folder, key[0].as_py(), bl.block_rows(key[0].as_py(), ids, bl.flat(mine["docs"])[have], sizes[have],
+                                                                      np.append(number[order], more_terms), local[by], tf[by], shards))
 
-        numbers = self.words().join(vocab.select("term", "term_idx"), "term").select(F.col("block").alias("to"), "local", F.col("term_idx").cast("long").alias("term_idx"))
+        # Never broadcast: Spark takes the rows of terms for as small as the lists they are made from.
+        numbers = self.words().hint("merge").join(vocab.select("term", "term_idx"), "term").select(F.col("block").alias("to"), "local", F.col("term_idx").cast("long").alias("term_idx"))
         mine = self.table.where("first IS NULL").select(*kept)
         return mine.repartitionById(shards, "block").groupBy("block").cogroup(
-            numbers.repartitionById(shards, "to").groupBy("to")).applyInArrow(cut, schema)
+            numbers.repartitionById(shards, "to").groupBy("to")).applyInArrow(cut, bl.BLOCK)
+
+    def rounds(self, vocab: DataFrame, id_col: str, k: int, first: Callable, step: Callable | None, more: tuple[int, ...] = ()) -> bl.Rounds:
+        """Rounds over the numbered blocks. The counts are deleted."""
+        folder = new_folder(self.table.sparkSession, "em-blocks")
+        run = bl.Rounds.over(self.numbered(vocab, folder, more), folder, self.id_type, id_col, k, self.blocks, first, step)
+        self.delete()
+        return run
 
     def delete(self) -> None:
         delete_path(self.table.sparkSession, self.path)

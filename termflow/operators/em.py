@@ -276,9 +276,9 @@ def finished(run: Rounds, vocab_size: int, alpha: float, eta: float) -> TopicTab
 
 def fit_blocks(counted: CountedBlocks, vocab: DataFrame, vocab_size: int, k: int, rounds: int = 20, seed: int = 42,
                id_col: str = "doc_id", alpha: float | None = None, eta: float = ETA) -> TopicTables:
-    """:func:`fit_tables` on documents that are counted in blocks."""
+    """:func:`fit_tables` on documents that are counted in blocks; the counts are deleted."""
     alpha = alpha or default_alpha(k)
-    run = Rounds.over(counted.numbered(vocab), id_col, k, counted.blocks, first_sums(k, seed), em_step(k, vocab_size, alpha, eta))
+    run = counted.rounds(vocab, id_col, k, first_sums(k, seed), em_step(k, vocab_size, alpha, eta))
     run.more(rounds)
     return finished(run, vocab_size, alpha, eta)
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from termflow.operators.blocks import Block, Rounds
+from termflow.operators.blocks import Block
 from termflow.operators.counted import CountedBlocks
 from termflow.operators.em import TopicTables, names
 from termflow.session import let_workers_import, stored
@@ -201,11 +201,11 @@ def start_totals(spark: SparkSession, vocab_size: int, k: int, seed: int) -> np.
 
 def fit_online(counted: CountedBlocks, vocab: DataFrame, vocab_size: int, k: int, rounds: int = 20, seed: int = 42,
                id_col: str = "doc_id", learningOffset: float = 1024.0, learningDecay: float = 0.51) -> TopicTables:
-    """Fit ``rounds`` rounds on documents that are counted in blocks. The table of terms has each topic's
-    expected counts."""
+    """Fit ``rounds`` rounds on documents that are counted in blocks; the counts are deleted. The table of
+    terms has each topic's expected counts."""
     spark = vocab.sparkSession
     steps = OnlineSteps(k, vocab_size, start_totals(spark, vocab_size, k, seed), seed, learningOffset, learningDecay)
-    run = Rounds.over(counted.numbered(vocab, steps.more()), id_col, k, counted.blocks, steps.first(), None)
+    run = counted.rounds(vocab, id_col, k, steps.first(), None, steps.more())
     for turn in range(1, rounds):
         run.step = steps.step(turn)
         run.more(1)

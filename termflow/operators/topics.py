@@ -118,7 +118,6 @@ def fit_counted(counted: CountedBlocks, id_col: str, k: int, optimizer: str, max
     vocab, size = vocabulary_from_ranked(ranked, drop, end), max(ranked.total - drop, 0)
     fit = fit_online if optimizer == "online" else fit_blocks
     model = fit(counted, vocab, size, k, max_iter, 42 if seed is None else seed, id_col, **lda_params)
-    counted.delete()
     return TopicFit(model, vocab, size)
 
 

@@ -82,12 +82,27 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder under the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+#: Spark's setting to delete an execution's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a frame as Parquet under the checkpoint folder and read it back;
-    the frame and its folder, which the caller deletes when nothing reads it."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    the frame and its folder, which the caller deletes when nothing reads it. The
+    shuffle files of the write go with its end, not when the driver collects garbage."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 #: Inputs from this size on arrive in enough file splits of their own.

@@ -1,10 +1,12 @@
 """Blocks of documents: equal to numpy on any number of blocks, each term sent once."""
 
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from termflow.operators import blocks, em
+from termflow.operators import blocks, em, parcels
 from termflow.operators.em import fit_tables
 from test_em import ROWS, counts, numpy_em
 
@@ -82,6 +84,43 @@ def test_a_round_moves_messages_alone(spark, monkeypatch):
     run.close()
 
 
+def test_files_of_earlier_rounds_are_gone(spark, monkeypatch):
+    """Disk holds two sets of messages at most, however many rounds there were."""
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 3000)
+    k, rows = 40, [(d, t, 1) for d in range(60) for t in range(d % 7, 400, 2)]
+
+    def sizes():
+        local = [Path(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+        shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+        return (sum(f.stat().st_size for d in local for f in d.rglob("shuffle_*.data")),
+                {str(f): f.stat().st_size for d in shared.glob("em-*") for f in d.rglob("*") if f.is_file()})
+
+    run = blocks.Rounds(spark.createDataFrame(rows, ROWS).selectExpr("*", "doc_id AS doc"), "doc_id", k, len(rows),
+                        em.first_sums(k, 1), em.em_step(k, 400, 2.0, 1.1))
+    assert run.blocks > 1
+    run.keep()
+    shuffled, there = sizes()
+    messages = sum(there[f] for f in there if "/em-up-" in f)
+    assert messages > run.blocks * 300 * k * 8
+    run.more(6)
+    run.keep()
+    after, now = sizes()
+    assert after - shuffled < messages
+    assert abs(sum(now.values()) - sum(there.values())) < messages / 2
+    run.close()
+    assert sum(sizes()[1].values()) <= sum(there.values()) - messages
+
+
+def test_parcels_come_back_as_they_were(tmp_dir):
+    tables = [pa.table({"a": [1, 2], "b": pa.array([[0.5], None], pa.list_(pa.float64()))}), pa.table({"c": ["x"]}),
+              pa.table({"a": pa.array([], pa.int64())})]
+    for compression in (None, "lz4"):
+        sent = parcels.put(f"file:{tmp_dir}/parcels", tables, compression)
+        assert parcels.get(sent) == tables and parcels.get(sent.take([2, 0])) == [tables[2], tables[0]]
+    assert len(set(sent["file"].to_pylist())) == 1 and len(list(Path(tmp_dir, "parcels").iterdir())) == 2
+    assert parcels.put(tmp_dir, []).num_rows == 0
+
+
 @pytest.mark.parametrize("size", [7, 9])
 def test_described_topics_rank_as_a_sort(spark, size):
     """Ties to the smaller number, over several tasks; numbers that occur nowhere count as 0."""

@@ -78,6 +78,15 @@ def test_no_row_of_a_document_and_a_term_is_shuffled(spark, docs, monkeypatch):
     assert fit_text_topics(docs, k=2, max_iter=1).vocab_size > 0
 
 
+def test_terms_of_blocks_are_not_broadcast(spark, docs, tmp_dir):
+    """Their lists look small to Spark, their rows grow with the corpus."""
+    rows, n = counted.dealt(docs.withColumnRenamed("doc_id", "id"), "text", F.octet_length("text"), 2)
+    got = counted.CountedBlocks(doc_terms(rows, "text", "id", keep=("block",)), n)
+    vocab = spark.createDataFrame([("a", 0)], "term string, term_idx long").localCheckpoint()
+    assert "Broadcast" not in got.numbered(vocab, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    got.delete()
+
+
 def test_blocks_fill_the_cores():
     """No round ends with one block on one core, and blocks grow by a quarter at most."""
     assert [blocks.whole_waves(n, 8) for n in (1, 5, 8, 9, 10, 11, 16, 100)] == [1, 5, 8, 8, 8, 16, 16, 80]
