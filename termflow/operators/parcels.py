@@ -26,10 +26,9 @@ NONE = pa.schema([("file", pa.string()), ("start", pa.int64()), ("size", pa.int6
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
-    uri = re.sub(r"^file:/*", "file:///", uri)
-    if not re.match(r"^\w+:", uri):
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
+    # Hadoop writes a local path as it is after the scheme, whatever its characters.
+    path = re.sub(r"^file:/*", "/", uri)
+    return fs.FileSystem.from_uri(uri) if re.match(r"^\w+:", path) else (fs.LocalFileSystem(), path)
 
 
 def put(folder: str, tables: Iterable[pa.Table], compression: str | None = None) -> pa.Table:
